@@ -202,7 +202,8 @@ def _published(spark: SparkSession, sf_dir: str) -> str:
     source, target = _trees(spark, sf_dir)
     how = {"keys": "path", "digest": ["text"]}
     first = tm.publish(target, store, "first import", "ann", 0, **how)
-    result = tm.run_plan(source, tm.read_latest(spark, store), "path", RULES)
+    latest = tm.read_latest(spark, store)
+    result = tm.run_plan(source, latest, "path", RULES, validate="source")
     tm.publish(result, store, "apply rules", "ben", first, **how)
     return store
 

@@ -1,5 +1,6 @@
 """Keep one keyed table in step with another, as Spark jobs."""
 
+from tablemirror import errors
 from tablemirror.functions import row_digest
 from tablemirror.operators import (
     change_summary,
@@ -24,6 +25,7 @@ __all__ = [
     "check_keys",
     "diff",
     "duplicate_keys",
+    "errors",
     "history",
     "in_scope",
     "latest_version",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablemirror.errors import SchemaError
 from tablemirror.functions.digest import digest_bytes, is_wide_type
-from tablemirror.operators.keys import check_keys
+from tablemirror.operators.keys import check_sides
 from tablemirror.schemas import (
     check_comparable,
     check_same_schema,
@@ -32,7 +32,7 @@ def diff(
     compare: Sequence[str] | None = None,
     keep_unchanged: bool = False,
     digest: Sequence[str] | None = None,
-    validate: bool = True,
+    validate: bool | str = True,
 ) -> DataFrame:
     """Key columns plus ``change``: added, deleted, modified or unchanged.
 
@@ -42,8 +42,8 @@ def diff(
     shuffle; if a side holds the digest as ``<column>__sha256``, the value is not
     read at all. All other columns are compared by value with ``<=>``.
 
-    ``validate=False`` leaves out the key check of both sides; a repeated key then
-    multiplies rows.
+    ``validate="source"`` leaves out the key check of the target, ``False`` that of both
+    sides; a repeated key then multiplies rows.
     """
     keys = key_list(keys)
     require_columns(source, keys)
@@ -57,9 +57,7 @@ def diff(
     if overlap:
         raise SchemaError(f"key columns cannot be compared as content: {', '.join(overlap)}")
     check_comparable(source, compare)
-    if validate:
-        check_keys(source, keys)
-        check_keys(target, keys)
+    check_sides(source, target, keys, validate)
 
     def narrowed(df: DataFrame, side: str) -> DataFrame:
         content = [_content(df, c, wide).alias(f"{side}_{i}") for i, c in enumerate(compare)]

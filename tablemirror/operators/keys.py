@@ -25,7 +25,11 @@ class KeyStats(NamedTuple):
 
     @property
     def small(self) -> bool:
-        return self.bytes <= BROADCAST_BYTES
+        return fits_broadcast(self)
+
+
+def fits_broadcast(*sizes: KeyStats) -> bool:
+    return sum(size.bytes for size in sizes) <= BROADCAST_BYTES
 
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -42,33 +46,61 @@ def null_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 def check_keys(df: DataFrame, keys: str | Sequence[str]) -> None:
     """Raise ``KeyCheckError`` if a key is null or not unique."""
-    checked_key_stats(df, keys)
+    checked_key_stats(keys, rows=df)
 
 
-def checked_key_stats(df: DataFrame, keys: str | Sequence[str]) -> KeyStats:
-    """``check_keys`` and ``key_stats`` in one job.
+def checked_key_stats(keys: str | Sequence[str], **sides: DataFrame) -> dict[str, KeyStats]:
+    """``check_keys`` and ``key_stats`` of several tables in one job.
 
-    Counting combines on the map side, so a key that holds a third of all rows
-    still sends one row per task. The driver sees one row.
+    Each table is aggregated on its own, so that one bucketed by its keys needs no
+    shuffle, and the stages run side by side. Counting combines on the map side: a key
+    that holds a third of all rows still sends one row per task. The driver sees one
+    row per table.
+    """
+    found = reduce(DataFrame.union, [_key_report(df, keys, side) for side, df in sides.items()])
+    stats = {}
+    for row in found.collect():
+        if row["bad"] is not None:
+            example = row["bad"].asDict()
+            n = example.pop("n")
+            fault = "null key" if None in example.values() else "duplicate key"
+            raise KeyCheckError(f"{row['side']}: {fault} {example}, {n} rows")
+        stats[row["side"]] = KeyStats(row["rows"] or 0, row["bytes"] or 0)
+    return stats
+
+
+def check_sides(
+    source: DataFrame,
+    target: DataFrame,
+    keys: str | Sequence[str],
+    validate: bool | str,
+) -> dict[str, KeyStats]:
+    """Check what ``validate`` asks for: True both, ``"source"`` the source only, False none.
+
+    A target that was read from a store has been checked when it was published.
     """
+    if validate not in (True, False, "source"):
+        raise KeyCheckError(f"validate must be True, False or 'source', not {validate!r}")
+    if not validate:
+        return {}
+    if validate == "source":
+        return checked_key_stats(keys, source=source)
+    return checked_key_stats(keys, source=source, target=target)
+
+
+def _key_report(df: DataFrame, keys: str | Sequence[str], side: str) -> DataFrame:
     keys = _checked(df, keys)
     bad = (F.col("n") > 1) | _any_null(keys)
-    found = (
+    return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("n"))
         .agg(
+            F.lit(side).alias("side"),
             F.sum("n").alias("rows"),
             F.sum(F.col("n") * _width(df, keys)).alias("bytes"),
             F.min(F.when(bad, F.struct(*keys, "n"))).alias("bad"),
         )
-        .first()
     )
-    if found["bad"] is not None:
-        example = found["bad"].asDict()
-        n = example.pop("n")
-        fault = "null key" if None in example.values() else "duplicate key"
-        raise KeyCheckError(f"{fault}: {example} ({n} rows)")
-    return KeyStats(found["rows"] or 0, found["bytes"] or 0)
 
 
 def key_stats(df: DataFrame, keys: str | Sequence[str]) -> KeyStats:

@@ -8,23 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemirror.errors import EmptySourceError
-from tablemirror.operators.keys import KeyStats, check_keys, checked_key_stats, key_stats
+from tablemirror.operators.keys import check_sides, key_stats
 from tablemirror.operators.scope import check_prefixes, in_scope, out_of_scope
 from tablemirror.schemas import check_same_schema, key_list
 
 
 def upsert(
-    source: DataFrame, target: DataFrame, keys: str | Sequence[str], validate: bool = True
+    source: DataFrame,
+    target: DataFrame,
+    keys: str | Sequence[str],
+    validate: bool | str = True,
 ) -> DataFrame:
     """All of ``source``, plus the target rows whose key is not in it."""
     keys = key_list(keys)
     check_same_schema(source, target)
-    if validate:
-        stats = checked_key_stats(source, keys)
-        check_keys(target, keys)
-    else:
-        stats = key_stats(source, keys)
-    return without(target, source, keys, stats).unionByName(source)
+    stats = check_sides(source, target, keys, validate).get("source") or key_stats(source, keys)
+    return without(target, source, keys, stats.small).unionByName(source)
 
 
 def mirror(
@@ -47,11 +46,15 @@ def mirror(
 
 
 def without(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], stats: KeyStats
+    target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool
 ) -> DataFrame:
-    """Target rows whose key is not in ``source``; a small key set spares the target its shuffle."""
+    """Target rows whose key is not in ``source``.
+
+    ``small`` says that the source's keys were measured and may be broadcast, which
+    spares the target its shuffle.
+    """
     gone = source.select(*keys)
-    return target.join(F.broadcast(gone) if stats.small else gone, list(keys), "left_anti")
+    return target.join(F.broadcast(gone) if small else gone, list(keys), "left_anti")
 
 
 def refuse_empty(source: DataFrame, prefixes: Sequence[str], column: str) -> None:

@@ -28,13 +28,21 @@ def select_required(
     ``on`` defaults to all columns of ``keys``. With ``validate=False`` the check
     for absent rows, and its job, is left out.
     """
+    rows, _ = required_rows(source, keys, on, validate)
+    return rows
+
+
+def required_rows(
+    source: DataFrame, keys: DataFrame, on: str | Sequence[str] | None, validate: bool
+) -> tuple[DataFrame, KeyStats]:
+    """``select_required``, and the size of the list it was given."""
     on, names, stats = _names(source, keys, on)
     if validate:
         absent = _absent(source, names, on, stats).limit(_SHOWN).collect()
         if absent:
             shown = ", ".join(str(tuple(r)) for r in absent)
             raise MissingKeysError(f"required rows are absent from the source: {shown}")
-    return _named(source, names, on, stats)
+    return _named(source, names, on, stats), stats
 
 
 def missing_required(

@@ -9,9 +9,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from tablemirror.errors import RuleError
-from tablemirror.operators.keys import check_keys, key_stats
+from tablemirror.operators.keys import check_sides, fits_broadcast, key_stats
 from tablemirror.operators.merge import refuse_empty, without
-from tablemirror.operators.required import select_required
+from tablemirror.operators.required import required_rows
 from tablemirror.operators.scope import (
     check_prefixes,
     check_scope_column,
@@ -60,7 +60,7 @@ def run_plan(
     required: DataFrame | None = None,
     column: str = "path",
     allow_empty_source: bool = True,
-    validate: bool = True,
+    validate: bool | str = True,
 ) -> DataFrame:
     """Upsert the ``required`` rows, then apply the prefix rules in order.
 
@@ -84,50 +84,42 @@ def run_plan(
         raise RuleError(f"scope column {column} must be a key column")
     mirrored = [r.prefix for r in rules if r.mode == MIRROR]
     upserted = [r.prefix for r in rules if r.mode == UPSERT]
-    if validate:
-        check_keys(source, keys)
-        check_keys(target, keys)
+    checked = check_sides(source, target, keys, validate).get("source")
     if mirrored and not allow_empty_source:
         refuse_empty(source, mirrored, column)
 
-    named = None
+    scopes = mirrored + upserted
+    rest = _outside(target, mirrored, column)
+    incoming, arriving, sizes = [], [], []
+    if upserted:
+        fresh = in_scope(source, upserted, column).select(*keys)
+        # The keys of the whole source bound those of any part of it.
+        size = checked if checked and checked.small else key_stats(fresh, keys)
+        arriving.append(fresh)
+        sizes.append(size)
     if required is not None:
         if set(required.columns) != set(keys):
             raise RuleError(f"the required list must have the key columns {', '.join(keys)}")
-        named = select_required(source, required, keys, validate=validate)
-        named = _outside(named, mirrored + upserted, column)  # the rest comes in by its rule
-    fresh = in_scope(source, upserted, column) if upserted else None
-
-    result = _kept(target, fresh, named, keys, mirrored, upserted, column)
-    for rows in (named, fresh, in_scope(source, mirrored, column) if mirrored else None):
-        if rows is not None:
-            result = result.unionByName(rows)
-    return result
-
-
-def _kept(
-    target: DataFrame,
-    fresh: DataFrame | None,
-    named: DataFrame | None,
-    keys: list[str],
-    mirrored: list[str],
-    upserted: list[str],
-    column: str,
-) -> DataFrame:
-    """Target rows that stay: not mirrored, not replaced by a ``fresh`` or ``named`` row."""
-    rest = _outside(target, mirrored, column)
-    arriving = [df for df in (fresh, named) if df is not None]
-    if not arriving:
-        return rest
-    merged = reduce(DataFrame.union, [df.select(*keys) for df in arriving])
-    stats = key_stats(merged, keys)
-    if stats.small or fresh is None:
-        return without(rest, merged, keys, stats)
-    touched = without(in_scope(target, upserted, column), fresh, keys, stats)
-    untouched = _outside(target, mirrored + upserted, column)
-    if named is not None:
-        untouched = without(untouched, named, keys, key_stats(named, keys))
-    return untouched.unionByName(touched)
+        named, size = required_rows(source, required, keys, bool(validate))
+        named = _outside(named, scopes, column)  # rows under a rule come in by it
+        incoming.append(named)
+        # Once checked, the list itself is the set of keys that arrive.
+        listed = _outside(required, scopes, column) if validate else named
+        arriving.append(listed.select(*keys))
+        sizes.append(size)
+    if scopes:
+        incoming.append(in_scope(source, scopes, column))
+
+    if fits_broadcast(*sizes):
+        kept = without(rest, reduce(DataFrame.union, arriving), keys, True) if arriving else rest
+    else:
+        kept = _outside(rest, upserted, column)
+        if required is not None:
+            kept = without(kept, arriving[-1], keys, sizes[-1].small)
+        if upserted:
+            touched = in_scope(rest, upserted, column)
+            kept = kept.unionByName(without(touched, arriving[0], keys, sizes[0].small))
+    return reduce(DataFrame.unionByName, incoming, kept)
 
 
 def _outside(df: DataFrame, prefixes: list[str], column: str) -> DataFrame:

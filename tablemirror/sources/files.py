@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.sources.paths import qualified
+from tablemirror.sources.paths import absolute
 
 
 def scan_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
@@ -13,19 +13,49 @@ def scan_files(spark: SparkSession, root: str, content: bool = False) -> DataFra
 
     ``content=True`` adds the bytes; a file over 2 GB then fails, while listing
     has no such limit. Compare trees with ``compare=["content"]``, since a new
-    time stamp alone is no change. Files and folders whose name starts with a dot
-    or an underscore are skipped, as everywhere in Spark. A missing root raises.
+    time stamp alone is no change. Empty files are rows of length 0, without a time
+    stamp; empty folders are none. Files and folders whose name starts with a dot or
+    an underscore are skipped, as everywhere in Spark. A missing root raises.
+
+    Spark keeps the file listing on the driver; very large trees are better scanned
+    one folder at a time.
     """
-    base = qualified(spark, root).rstrip("/") + "/"
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
+    base = absolute(spark, root).rstrip("/") + "/"
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    )
+    files = found.select(
+        _below(base, F.col("path")).alias("path"),
+        F.col("modificationTime").alias("modified"),
+        "length",
+        "content",
+    )
+    listed = found.inputFiles()
+    if len(listed) > files.count():
+        names = spark.createDataFrame([(name,) for name in listed], "name string")
+        files = files.unionByName(_empty_files(names, files, base))
+    return files if content else files.drop("content")
+
+
+def _empty_files(names: DataFrame, files: DataFrame, base: str) -> DataFrame:
+    """Listed files without a row: the reader gives none for a file of length 0."""
+    plain = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
+    last = F.substring_index("path", "/", -1)
+    hidden = last.startswith(".") | (last.startswith("_") & ~last.contains("="))
+    return (
+        names.select(_below(base, plain).alias("path"))
+        .filter(~hidden)
+        .join(files.select("path"), "path", "left_anti")
         .select(
-            F.substr("path", F.lit(len(base) + 1)).alias("path"),
-            F.col("modificationTime").alias("modified"),
-            "length",
-            "content",
+            "path",
+            F.lit(None).cast("timestamp").alias("modified"),
+            F.lit(0).cast("bigint").alias("length"),
+            F.lit(b"").alias("content"),
         )
     )
-    return files if content else files.drop("content")
+
+
+def _below(base: str, location: Column) -> Column:
+    """The part of a file's location that follows ``base``, whatever the scheme."""
+    path = F.regexp_replace(location, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.substr(path, F.lit(len(base) + 1))

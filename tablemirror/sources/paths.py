@@ -11,10 +11,10 @@ def _resolve(spark: SparkSession, path: str):
     return fs, hadoop_path
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """Absolute form with scheme, as Spark shows it in the ``path`` column."""
+def absolute(spark: SparkSession, path: str) -> str:
+    """Absolute form without scheme and host."""
     fs, p = _resolve(spark, path)
-    return fs.makeQualified(p).toString()
+    return fs.makeQualified(p).toUri().getPath()
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -33,7 +33,7 @@ from tablemirror.operators.diff import (
     change_summary,
     diff,
 )
-from tablemirror.operators.keys import check_keys
+from tablemirror.operators.keys import checked_key_stats
 from tablemirror.schemas import check_same_schema, key_list, require_columns
 from tablemirror.sources import paths
 
@@ -126,10 +126,9 @@ def publish(
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     rows.write.mode("overwrite").parquet(where)
     try:
-        written = spark.read.parquet(where)
-        if validate:
-            check_keys(written, keys)
-        counts = _count_changes(written, before, keys, wide)
+        written = spark.read.schema(rows.schema).parquet(where)
+        rows = checked_key_stats(keys, result=written)["result"].rows if validate else None
+        counts = _count_changes(written, before, keys, wide, rows)
         if not any(counts.values()) and not allow_empty:
             raise NothingChangedError(f"nothing changed since version {parent}")
     except Exception:
@@ -144,11 +143,15 @@ def publish(
 
 
 def _count_changes(
-    written: DataFrame, before: DataFrame | None, keys: list[str], wide: list[str]
+    written: DataFrame,
+    before: DataFrame | None,
+    keys: list[str],
+    wide: list[str],
+    rows: int | None,
 ) -> dict[str, int]:
     counts = dict.fromkeys((ADDED, MODIFIED, DELETED), 0)
     if before is None:
-        counts[ADDED] = written.count()
+        counts[ADDED] = written.count() if rows is None else rows
         return counts
     # Columns that only the parent holds a digest of are compared by value.
     drop = [c for c in before.columns if c.endswith(DIGEST_SUFFIX) and c not in written.columns]
