@@ -14,14 +14,16 @@ from pyspark.sql import types as T
 from tablemirror.errors import KeyCheckError
 from tablemirror.schemas import check_comparable, key_list, require_columns
 
-#: Key sets measured at or below this many bytes are broadcast; larger ones shuffle.
-BROADCAST_BYTES = 64 * 1024 * 1024
+#: Setting: key sets measured at or below this many bytes are broadcast, larger ones shuffle.
+BROADCAST_SETTING = "spark.tablemirror.broadcastBytes"
+BROADCAST_DEFAULT = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
 
 class KeyStats(NamedTuple):
     rows: int
     bytes: int
+    limit: int
 
     @property
     def small(self) -> bool:
@@ -29,7 +31,7 @@ class KeyStats(NamedTuple):
 
 
 def fits_broadcast(*sizes: KeyStats) -> bool:
-    return sum(size.bytes for size in sizes) <= BROADCAST_BYTES
+    return sum(size.bytes for size in sizes) <= min(size.limit for size in sizes)
 
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -41,7 +43,7 @@ def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 def null_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows with a null in any key column."""
     keys = _checked(df, keys)
-    return df.filter(_any_null(keys))
+    return df.filter(any_null(keys))
 
 
 def check_keys(df: DataFrame, keys: str | Sequence[str]) -> None:
@@ -59,13 +61,14 @@ def checked_key_stats(keys: str | Sequence[str], **sides: DataFrame) -> dict[str
     """
     found = reduce(DataFrame.union, [_key_report(df, keys, side) for side, df in sides.items()])
     stats = {}
+    limit = _limit(found)
     for row in found.collect():
         if row["bad"] is not None:
             example = row["bad"].asDict()
             n = example.pop("n")
             fault = "null key" if None in example.values() else "duplicate key"
             raise KeyCheckError(f"{row['side']}: {fault} {example}, {n} rows")
-        stats[row["side"]] = KeyStats(row["rows"] or 0, row["bytes"] or 0)
+        stats[row["side"]] = KeyStats(row["rows"] or 0, row["bytes"] or 0, limit)
     return stats
 
 
@@ -90,14 +93,14 @@ def check_sides(
 
 def _key_report(df: DataFrame, keys: str | Sequence[str], side: str) -> DataFrame:
     keys = _checked(df, keys)
-    bad = (F.col("n") > 1) | _any_null(keys)
+    bad = (F.col("n") > 1) | any_null(keys)
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("n"))
         .agg(
             F.lit(side).alias("side"),
             F.sum("n").alias("rows"),
-            F.sum(F.col("n") * _width(df, keys)).alias("bytes"),
+            F.sum(F.col("n") * key_width(df, keys)).alias("bytes"),
             F.min(F.when(bad, F.struct(*keys, "n"))).alias("bad"),
         )
     )
@@ -106,8 +109,36 @@ def _key_report(df: DataFrame, keys: str | Sequence[str], side: str) -> DataFram
 def key_stats(df: DataFrame, keys: str | Sequence[str]) -> KeyStats:
     """Row count and key bytes, from a scan of the key columns without a shuffle of rows."""
     keys = _checked(df, keys)
-    found = df.agg(F.count("*").alias("rows"), F.sum(_width(df, keys)).alias("bytes")).first()
-    return KeyStats(found["rows"], found["bytes"] or 0)
+    found = df.agg(F.count("*").alias("rows"), F.sum(key_width(df, keys)).alias("bytes")).first()
+    return KeyStats(found["rows"], found["bytes"] or 0, _limit(df))
+
+
+def split_stats(
+    df: DataFrame, other: DataFrame, keys: Sequence[str]
+) -> tuple[KeyStats, KeyStats | None]:
+    """Sizes of the keys of ``df`` that ``other`` has and lacks, from a join of keys alone.
+
+    The second is None if ``df`` has a null key, which no equality join can find again.
+    """
+    keys = list(keys)
+    mine = df.select(*keys, key_width(df, keys).alias("width"), any_null(keys).alias("unfit"))
+    theirs = other.select(*keys, F.lit(True).alias("hit"))
+    hit = F.coalesce("hit", F.lit(False))
+    found = (
+        mine.join(theirs, keys, "left")
+        .agg(
+            F.count_if(hit).alias("hits"),
+            F.sum(F.when(hit, F.col("width"))).alias("hit_bytes"),
+            F.count_if(~hit).alias("rest"),
+            F.sum(F.when(~hit, F.col("width"))).alias("rest_bytes"),
+            F.max("unfit").alias("unfit"),
+        )
+        .first()
+    )
+    limit = _limit(df)
+    hits = KeyStats(found["hits"], found["hit_bytes"] or 0, limit)
+    rest = KeyStats(found["rest"], found["rest_bytes"] or 0, limit)
+    return hits, None if found["unfit"] else rest
 
 
 def _checked(df: DataFrame, keys: str | Sequence[str]) -> list[str]:
@@ -119,11 +150,15 @@ def _checked(df: DataFrame, keys: str | Sequence[str]) -> list[str]:
     return keys
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def _limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_DEFAULT)))
+
+
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def _width(df: DataFrame, keys: Sequence[str]) -> Column:
+def key_width(df: DataFrame, keys: Sequence[str]) -> Column:
     """Bytes one key row takes in a hashed relation, at least."""
 
     def one(key: str) -> Column:

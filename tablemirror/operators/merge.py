@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemirror.errors import EmptySourceError
-from tablemirror.operators.keys import check_sides, key_stats
+from tablemirror.operators.keys import check_sides, key_stats, split_stats
 from tablemirror.operators.scope import check_prefixes, in_scope, out_of_scope
 from tablemirror.schemas import check_same_schema, key_list
 
@@ -48,13 +48,24 @@ def mirror(
 def without(
     target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool
 ) -> DataFrame:
-    """Target rows whose key is not in ``source``.
+    """Target rows whose key is not in ``source``, with as little of them shuffled as can be.
 
-    ``small`` says that the source's keys were measured and may be broadcast, which
-    spares the target its shuffle.
+    ``small`` says that the source's keys were measured and may be broadcast. If they
+    may not, the keys of both sides meet first, without the payload: where
+    either the rows to drop or the rows to keep turn out to be few, those are
+    broadcast and the target is read in place. Only if both are many is it shuffled.
     """
+    keys = list(keys)
     gone = source.select(*keys)
-    return target.join(F.broadcast(gone) if small else gone, list(keys), "left_anti")
+    if small:
+        return target.join(F.broadcast(gone), keys, "left_anti")
+    hits, rest = split_stats(target, gone, keys)
+    mine = target.select(*keys)
+    if hits.small:
+        return target.join(F.broadcast(mine.join(gone, keys, "left_semi")), keys, "left_anti")
+    if rest is not None and rest.small:
+        return target.join(F.broadcast(mine.join(gone, keys, "left_anti")), keys, "left_semi")
+    return target.join(gone, keys, "left_anti")
 
 
 def refuse_empty(source: DataFrame, prefixes: Sequence[str], column: str) -> None:

@@ -110,8 +110,10 @@ def run_plan(
     if scopes:
         incoming.append(in_scope(source, scopes, column))
 
-    if fits_broadcast(*sizes):
-        kept = without(rest, reduce(DataFrame.union, arriving), keys, True) if arriving else rest
+    if not arriving:
+        kept = rest
+    elif fits_broadcast(*sizes):
+        kept = without(rest, reduce(DataFrame.union, arriving), keys, True)
     else:
         kept = _outside(rest, upserted, column)
         if required is not None:

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import tablemirror as tm
-from tablemirror.operators import keys as keys_module
+from tablemirror.operators.keys import BROADCAST_SETTING
 from trees import as_dict, changes_of, model_diff, model_plan, snapshot
 
 SCOPES = ["a/", "a1/", "b/", "日志/", ""]
@@ -13,19 +13,21 @@ PATHS = st.builds(lambda s, n: f"{s}{n}", st.sampled_from(SCOPES), st.integers(0
 TREE = st.dictionaries(PATHS, st.sampled_from([None, "", "x", "ß", "x "]), max_size=14)
 MODES = st.sampled_from(["mirror", "upsert", None])
 few = settings(
-    max_examples=8,
+    max_examples=5,
     deadline=None,
     derandomize=True,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 
 
-@pytest.fixture(params=["broadcast", "shuffle"])
-def size(request, monkeypatch):
-    """Every law holds on both sides of the broadcast bound."""
-    if request.param == "shuffle":
-        monkeypatch.setattr(keys_module, "BROADCAST_BYTES", -1)
-    return request.param
+@pytest.fixture(params=["broadcast", "measure", "shuffle"])
+def size(request, spark):
+    """Every law holds on both sides of the broadcast bound, and close to it."""
+    bound = {"broadcast": None, "measure": "180", "shuffle": "-1"}[request.param]
+    if bound:
+        spark.conf.set(BROADCAST_SETTING, bound)
+    yield request.param
+    spark.conf.unset(BROADCAST_SETTING)
 
 
 @few
@@ -74,17 +76,21 @@ def test_mirror(spark, source, target):
 
 
 @few
-@given(source=TREE, target=TREE, modes=st.tuples(MODES, MODES, MODES), data=st.data())
-def test_run_plan(spark, size, source, target, modes, data):
+@given(
+    source=TREE,
+    target=TREE,
+    modes=st.tuples(MODES, MODES, MODES),
+    validate=st.sampled_from([True, "source", False]),
+    data=st.data(),
+)
+def test_run_plan(spark, size, source, target, modes, validate, data):
     rules = [(i, p, m) for i, (p, m) in enumerate(zip(["b/", "a/", "日志/"], modes)) if m]
     names = data.draw(st.lists(st.sampled_from(sorted(source)), max_size=4)) if source else []
     required = spark.createDataFrame([(n,) for n in names], "path string") if names else None
     s, t = snapshot(spark, source), snapshot(spark, target)
     want = model_plan(source, target, rules, names)
-    for validate in (True, "source", False):
-        got = tm.run_plan(s, t, "path", rules, required, validate=validate)
-        assert as_dict(got) == want
-    again = tm.run_plan(s, snapshot(spark, want), "path", rules, required)
+    assert as_dict(tm.run_plan(s, t, "path", rules, required, validate=validate)) == want
+    again = tm.run_plan(s, snapshot(spark, want), "path", rules, required, validate=validate)
     assert as_dict(again) == want
 
 

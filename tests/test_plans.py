@@ -40,13 +40,20 @@ def snapshots(spark, tmp_path_factory):
 
 
 @pytest.fixture
-def many_keys(monkeypatch, spark):
+def many_keys(spark):
     """As if no key set could be broadcast."""
-    monkeypatch.setattr(keys_module, "BROADCAST_BYTES", -1)
+    spark.conf.set(keys_module.BROADCAST_SETTING, "-1")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    spark.conf.unset(keys_module.BROADCAST_SETTING)
+
+
+@pytest.fixture
+def room_for_some(many_keys, spark):
+    """Room for some sixty keys, no more."""
+    spark.conf.set(keys_module.BROADCAST_SETTING, "3000")
 
 
 def test_mirror_has_no_shuffle_and_pushes_its_prefixes(snapshots):
@@ -93,6 +100,28 @@ def test_upsert_of_many_keys_shuffles(snapshots, many_keys):
     assert "SortMergeJoin LeftAnti" in tree(tm.upsert(*snapshots, "path"))
 
 
+def test_upsert_that_hits_few_rows_reads_the_target_in_place(snapshots, room_for_some):
+    source, target = snapshots
+    fresh = source.filter("path like 'quarantine/%' or path like 'src1/%'")
+    target = target.filter("path not like 'src1/%' or lang = 'de'")
+    df = tm.upsert(fresh, target, "path")
+    assert "BroadcastHashJoin LeftAnti" in tree(df)
+    assert_text_is_not_shuffled(df)
+
+
+def test_upsert_that_keeps_few_rows_reads_the_target_in_place(snapshots, room_for_some):
+    source, target = snapshots
+    df = tm.upsert(source, target.filter("path not like 'inbox/%'"), "path")
+    assert "BroadcastHashJoin LeftSemi" in tree(df)
+    assert_text_is_not_shuffled(df)
+
+
+def assert_text_is_not_shuffled(df):
+    exchanges = [b for b in plan(df).split("\n\n") if ") Exchange" in b.split("\n")[0]]
+    assert exchanges
+    assert not any("text" in b for b in exchanges)
+
+
 def test_plan_of_few_keys_has_no_shuffle(snapshots):
     df = tm.run_plan(*snapshots, "path", entry_points.RULES)
     assert "Exchange hashpartitioning" not in plan(df)
