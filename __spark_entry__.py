@@ -106,8 +106,8 @@ def diff_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def diff_orders_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order status rebuilt from the line items, against the status on record."""
     status = (
-        F.when(F.max("l_linestatus") == "F", "F")
-        .when(F.min("l_linestatus") == "O", "O")
+        F.when(F.bool_and(F.col("l_linestatus") == "F"), "F")
+        .when(F.bool_and(F.col("l_linestatus") == "O"), "O")
         .otherwise("P")
     )
     rebuilt = (
@@ -167,6 +167,14 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.duplicate_keys(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a line item: keyed by their lines, they have no key."""
+    lines = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return tm.null_keys(joined, "l_orderkey").select("o_orderkey", "o_custkey")
+
+
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _trees(spark, sf_dir)
     return tm.upsert(source, target, "path")
@@ -238,6 +246,7 @@ _QUERIES = [
     row_digest,
     row_digest_columns,
     duplicate_keys,
+    null_keys,
     upsert,
     mirror_scope,
     run_plan,
@@ -339,6 +348,9 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_keys": """
             select l_orderkey, l_linenumber, count(*) as n from lineitem
             group by l_orderkey, l_linenumber having count(*) > 1""",
+        "null_keys": """
+            select o_orderkey, o_custkey from orders
+            where o_orderkey not in (select l_orderkey from lineitem)""",
         "upsert": _TREES
         + """select * from src union all
              select * from tgt where not exists (select 1 from src where src.path = tgt.path)""",

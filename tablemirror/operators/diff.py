@@ -53,6 +53,8 @@ def diff(
     if compare is None:
         compare = [c for c in source.columns if c not in keys and c not in stored]
     require_columns(source, compare)
+    if "change" in keys:
+        raise SchemaError("a key column cannot be named change")
     overlap = [c for c in compare if c in keys]
     if overlap:
         raise SchemaError(f"key columns cannot be compared as content: {', '.join(overlap)}")
@@ -60,17 +62,17 @@ def diff(
     check_sides(source, target, keys, validate)
 
     def narrowed(df: DataFrame, side: str) -> DataFrame:
-        content = [_content(df, c, wide).alias(f"{side}_{i}") for i, c in enumerate(compare)]
-        return df.select(*keys, *content, F.lit(True).alias(f"{side}_here"))
+        content = [_content(df, c, wide).alias(f"__{side}_{i}") for i, c in enumerate(compare)]
+        return df.select(*keys, *content, F.lit(True).alias(f"__{side}_here"))
 
     differs = reduce(
         or_,
-        [~F.col(f"s_{i}").eqNullSafe(F.col(f"t_{i}")) for i in range(len(compare))],
+        [~F.col(f"__s_{i}").eqNullSafe(F.col(f"__t_{i}")) for i in range(len(compare))],
         F.lit(False),
     )
     change = (
-        F.when(F.col("t_here").isNull(), ADDED)
-        .when(F.col("s_here").isNull(), DELETED)
+        F.when(F.col("__t_here").isNull(), ADDED)
+        .when(F.col("__s_here").isNull(), DELETED)
         .when(differs, MODIFIED)
         .otherwise(UNCHANGED)
     )

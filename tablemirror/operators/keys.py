@@ -64,10 +64,9 @@ def checked_key_stats(keys: str | Sequence[str], **sides: DataFrame) -> dict[str
     limit = _limit(found)
     for row in found.collect():
         if row["bad"] is not None:
-            example = row["bad"].asDict()
-            n = example.pop("n")
+            example = row["bad"]["key"].asDict()
             fault = "null key" if None in example.values() else "duplicate key"
-            raise KeyCheckError(f"{row['side']}: {fault} {example}, {n} rows")
+            raise KeyCheckError(f"{row['side']}: {fault} {example}, {row['bad']['n']} rows")
         stats[row["side"]] = KeyStats(row["rows"] or 0, row["bytes"] or 0, limit)
     return stats
 
@@ -93,15 +92,16 @@ def check_sides(
 
 def _key_report(df: DataFrame, keys: str | Sequence[str], side: str) -> DataFrame:
     keys = _checked(df, keys)
-    bad = (F.col("n") > 1) | any_null(keys)
+    n = F.col("__n")
+    bad = (n > 1) | any_null(keys)
     return (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("__n"))
         .agg(
             F.lit(side).alias("side"),
-            F.sum("n").alias("rows"),
-            F.sum(F.col("n") * key_width(df, keys)).alias("bytes"),
-            F.min(F.when(bad, F.struct(*keys, "n"))).alias("bad"),
+            F.sum(n).alias("rows"),
+            F.sum(n * key_width(df, keys)).alias("bytes"),
+            F.min(F.when(bad, F.struct(F.struct(*keys).alias("key"), n.alias("n")))).alias("bad"),
         )
     )
 
@@ -121,17 +121,18 @@ def split_stats(
     The second is None if ``df`` has a null key, which no equality join can find again.
     """
     keys = list(keys)
-    mine = df.select(*keys, key_width(df, keys).alias("width"), any_null(keys).alias("unfit"))
-    theirs = other.select(*keys, F.lit(True).alias("hit"))
-    hit = F.coalesce("hit", F.lit(False))
+    width, unfit = key_width(df, keys).alias("__width"), any_null(keys).alias("__unfit")
+    mine = df.select(*keys, width, unfit)
+    theirs = other.select(*keys, F.lit(True).alias("__hit"))
+    hit = F.coalesce("__hit", F.lit(False))
     found = (
         mine.join(theirs, keys, "left")
         .agg(
             F.count_if(hit).alias("hits"),
-            F.sum(F.when(hit, F.col("width"))).alias("hit_bytes"),
+            F.sum(F.when(hit, F.col("__width"))).alias("hit_bytes"),
             F.count_if(~hit).alias("rest"),
-            F.sum(F.when(~hit, F.col("width"))).alias("rest_bytes"),
-            F.max("unfit").alias("unfit"),
+            F.sum(F.when(~hit, F.col("__width"))).alias("rest_bytes"),
+            F.max("__unfit").alias("unfit"),
         )
         .first()
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.sources.paths import absolute
+from tablemirror.sources.paths import absolute, listing
 
 
 def scan_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
@@ -30,9 +30,8 @@ def scan_files(spark: SparkSession, root: str, content: bool = False) -> DataFra
         "length",
         "content",
     )
-    listed = found.inputFiles()
-    if len(listed) > files.count():
-        names = spark.createDataFrame([(name,) for name in listed], "name string")
+    listed, names = listing(found)
+    if listed > files.count():
         files = files.unionByName(_empty_files(names, files, base))
     return files if content else files.drop("content")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -27,5 +27,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def listing(df: DataFrame) -> tuple[int, DataFrame]:
+    """Number and names of the files ``df`` was told to read, empty ones included.
+
+    The names go from Spark's own file listing into a table without passing Python.
+    """
+    spark = df.sparkSession
+    names = df._jdf.inputFiles()
+    rows = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(names)
+    text = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    table = spark._jsparkSession.createDataset(rows, text).toDF()
+    return len(names), DataFrame(table, spark).toDF("name")
+
+
 def join(root: str, *steps: str) -> str:
     return "/".join([root.rstrip("/"), *steps])

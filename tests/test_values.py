@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import tablemirror as tm
-from tablemirror.errors import SchemaError
+from tablemirror.errors import MissingKeysError, SchemaError
+from tablemirror.operators.keys import BROADCAST_SETTING
 from trees import changes_of
 
 
@@ -126,3 +127,33 @@ def test_summary_by_columns(spark):
     assert sorted(map(tuple, by_scope.collect())) == [("a", "added", 2), ("b", "deleted", 1)]
     assert tm.change_summary(changes, by="path").count() == 3
     assert tm.change_summary(changes).columns == ["change", "n"]
+
+
+def test_key_columns_with_common_names(spark):
+    keys = ["n", "side", "rows", "bad", "width", "hit"]
+    s = spark.range(3).select(*[F.col("id").alias(k) for k in keys], F.lit("v").alias("s_0"))
+    t = s.filter("n > 0").withColumn("s_0", F.concat("s_0", F.col("n").cast("string")))
+    got = {r["n"]: r["change"] for r in tm.diff(s, t, keys).collect()}
+    assert got == {0: "added", 1: "modified", 2: "modified"}
+    spark.conf.set(BROADCAST_SETTING, "-1")
+    try:
+        assert tm.upsert(s, t, keys).count() == 3
+    finally:
+        spark.conf.unset(BROADCAST_SETTING)
+    with pytest.raises(SchemaError):
+        tm.diff(s.withColumnRenamed("n", "change"), t.withColumnRenamed("n", "change"), "change")
+
+
+def test_required_rows_by_two_columns(spark):
+    talks = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    opening = talks.filter("turn = 0").select("turn", "conv_id")
+    assert tm.select_required(talks, opening).count() == opening.count()
+    later = opening.withColumn("turn", F.lit(999).cast("bigint"))
+    assert tm.missing_required(talks, later).count() == opening.count()
+    with pytest.raises(MissingKeysError):
+        tm.select_required(talks, later)
+
+
+def test_an_empty_required_list_selects_nothing(spark):
+    df = spark.createDataFrame([("p", "v")], "path string, v string")
+    assert tm.select_required(df, df.select("path").limit(0)).count() == 0
