@@ -1,4 +1,4 @@
-"""Scopes: the rows whose path starts with a prefix such as ``logs/``."""
+"""Scopes: the rows whose path starts with a prefix such as ``reports/``."""
 
 from __future__ import annotations
 

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 import tablemirror as tm
 from trees import changes_of
@@ -7,8 +8,8 @@ from trees import changes_of
 FILES = {
     "logs/run 1.txt": b"one",
     "logs/deep/er/50%.log": b"",
-    "Script/日本 ü.qmd": b"\x00\xff",
-    "todo.txt": b"todo",
+    "code/日本 ü.md": b"\x00\xff",
+    "notes.txt": b"note",
 }
 
 
@@ -62,12 +63,12 @@ def test_missing_root_raises(spark, tmp_path):
 
 def test_trees_differ_by_content_not_by_time(spark, root, tmp_path):
     other = tmp_path / "other"
-    write(other, {**FILES, "todo.txt": b"done", "new.txt": b""})
+    write(other, {**FILES, "notes.txt": b"done", "new.txt": b""})
     (other / "logs/run 1.txt").unlink()
     source = tm.scan_files(spark, str(other), content=True)
     target = tm.scan_files(spark, str(root), content=True)
     assert changes_of(tm.diff(source, target, "path", compare=["content"])) == {
-        "todo.txt": "modified",
+        "notes.txt": "modified",
         "new.txt": "added",
         "logs/run 1.txt": "deleted",
     }
@@ -82,21 +83,24 @@ def test_listing_does_not_read_content(spark, root):
 
 
 def test_the_whole_round(spark, root, tmp_path):
-    """Named files first, two mirrored folders, everything else left alone."""
+    """Into a subfolder of the target: a named file, two mirrored folders, the rest left alone."""
     store = str(tmp_path / "store")
-    write(tmp_path / "old", {"logs/old.log": b"x", "other/keep": b"k", "todo.txt": b"old"})
+    before = {"proj/logs/old.log": b"x", "proj/other": b"k", "proj/notes.txt": b"old", "top": b"t"}
+    write(tmp_path / "old", before)
     old = tm.scan_files(spark, str(tmp_path / "old"), content=True).drop("modified")
     first = tm.publish(old, store, "import", "ann", 0, keys="path")
-    names = spark.createDataFrame([("todo.txt",)], "path string")
+    files = tm.scan_files(spark, str(root), content=True).drop("modified")
     result = tm.run_plan(
-        tm.scan_files(spark, str(root), content=True).drop("modified"),
+        files.withColumn("path", F.concat(F.lit("proj/"), "path")),
         tm.read_latest(spark, store),
         "path",
-        [(1, "logs/", "mirror"), (2, "Script/", "mirror")],
-        required=names,
+        [(1, "proj/logs/", "mirror"), (2, "proj/code/", "mirror")],
+        required=spark.createDataFrame([("proj/notes.txt",)], "path string"),
+        validate="source",
     )
     assert tm.publish(result, store, "sync", "ann", first, keys="path") == 2
     got = {r.path: bytes(r.content) for r in tm.read_latest(spark, store).collect()}
-    assert got == {**FILES, "other/keep": b"k"}
+    moved = {f"proj/{path}": content for path, content in FILES.items()}
+    assert got == {**moved, "proj/other": b"k", "top": b"t"}
     last = tm.history(spark, store).filter("version = 2").first()
     assert (last.n_added, last.n_modified, last.n_deleted) == (3, 1, 1)

@@ -51,6 +51,15 @@ def test_a_line_item_is_not_keyed_by_order_and_line(spark):
         tm.check_keys(lines, ["l_orderkey", "l_linenumber"])
 
 
+def test_a_key_that_holds_a_third_of_the_rows(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") < 10_000, "hot").otherwise(F.col("id").cast("string")).alias("path")
+    )
+    with pytest.raises(KeyCheckError, match="hot.*10000 rows"):
+        tm.diff(rows, rows, "path")
+    assert [tuple(r) for r in tm.duplicate_keys(rows, "path").collect()] == [("hot", 10_000)]
+
+
 def test_null_key(tree, nameless):
     with pytest.raises(KeyCheckError, match="null key"):
         tm.check_keys(nameless, "path")
