@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablemirror.errors import EmptySourceError
 from tablemirror.operators.keys import check_sides, key_stats, split_stats
-from tablemirror.operators.scope import check_prefixes, in_scope, out_of_scope
+from tablemirror.operators.scope import check_prefixes, in_scope, out_of_scope, require_scope_key
 from tablemirror.schemas import check_same_schema, key_list
 
 
@@ -32,14 +32,20 @@ def mirror(
     prefix: str | Sequence[str],
     column: str = "path",
     allow_empty_source: bool = True,
+    keys: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """The target with everything under ``prefix`` replaced by the source's rows there.
 
     Two filters and a union: nothing is shuffled. A scope that is empty in the
     source is emptied in the result; ``allow_empty_source=False`` raises instead.
+    With ``keys`` both sides are checked first; ``column`` must be one of them, so that
+    no row can change its scope.
     """
     prefixes = check_prefixes(prefix)
     check_same_schema(source, target)
+    if keys is not None:
+        require_scope_key(column, key_list(keys))
+        check_sides(source, target, keys, True)
     if not allow_empty_source:
         refuse_empty(source, prefixes, column)
     return out_of_scope(target, prefixes, column).unionByName(in_scope(source, prefixes, column))

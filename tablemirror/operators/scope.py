@@ -55,3 +55,8 @@ def check_scope_column(df: DataFrame, column: str) -> None:
     require_columns(df, [column])
     if not isinstance(df.schema[column].dataType, T.StringType):
         raise SchemaError(f"scope column {column} must be a string")
+
+
+def require_scope_key(column: str, keys: Sequence[str]) -> None:
+    if column not in keys:
+        raise RuleError(f"scope column {column} must be a key column")

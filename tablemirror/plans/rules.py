@@ -17,6 +17,7 @@ from tablemirror.operators.scope import (
     check_scope_column,
     in_scope,
     out_of_scope,
+    require_scope_key,
 )
 from tablemirror.schemas import check_same_schema, key_list
 
@@ -80,8 +81,7 @@ def run_plan(
     rules = check_rules(rules)
     check_same_schema(source, target)
     check_scope_column(source, column)
-    if column not in keys:
-        raise RuleError(f"scope column {column} must be a key column")
+    require_scope_key(column, keys)
     mirrored = [r.prefix for r in rules if r.mode == MIRROR]
     upserted = [r.prefix for r in rules if r.mode == UPSERT]
     checked = check_sides(source, target, keys, validate).get("source")

@@ -34,7 +34,7 @@ from tablemirror.operators.diff import (
     diff,
 )
 from tablemirror.operators.keys import checked_key_stats
-from tablemirror.schemas import check_same_schema, key_list, require_columns
+from tablemirror.schemas import check_comparable, check_same_schema, key_list, require_columns
 from tablemirror.sources import paths
 
 HISTORY_SCHEMA = T.StructType(
@@ -100,8 +100,9 @@ def publish(
     """Write ``result`` as the version after ``parent``, or nothing; return its number.
 
     Refused are an empty message, a parent that is not the latest version, a
-    schema other than the parent's, a null or repeated key, and a result equal to
-    the parent (``allow_empty=True`` returns the parent's number instead).
+    schema other than the parent's, a column that cannot be compared, a null or repeated
+    key, and a result equal to the parent (``allow_empty=True`` returns the parent's
+    number instead).
 
     Columns in ``digest`` (by default the binary ones) get a stored SHA-256, so that
     this and later comparisons of versions read 32 bytes in place of the value.
@@ -114,6 +115,7 @@ def publish(
         raise EmptyMessageError("a version needs a message")
     _refuse_stale(spark, store, parent)
     require_columns(result, keys)
+    check_comparable(result, [c for c in result.columns if c not in keys])
     wide = _digest_columns(result, keys, digest)
     before = _read(spark, store, parent, True) if parent else None
     if before is not None:
@@ -127,8 +129,8 @@ def publish(
     rows.write.mode("overwrite").parquet(where)
     try:
         written = spark.read.schema(rows.schema).parquet(where)
-        rows = checked_key_stats(keys, result=written)["result"].rows if validate else None
-        counts = _count_changes(written, before, keys, wide, rows)
+        n_rows = checked_key_stats(keys, result=written)["result"].rows if validate else None
+        counts = _count_changes(written, before, keys, wide, n_rows)
         if not any(counts.values()) and not allow_empty:
             raise NothingChangedError(f"nothing changed since version {parent}")
     except Exception:
@@ -147,11 +149,11 @@ def _count_changes(
     before: DataFrame | None,
     keys: list[str],
     wide: list[str],
-    rows: int | None,
+    n_rows: int | None,
 ) -> dict[str, int]:
     counts = dict.fromkeys((ADDED, MODIFIED, DELETED), 0)
     if before is None:
-        counts[ADDED] = written.count() if rows is None else rows
+        counts[ADDED] = written.count() if n_rows is None else n_rows
         return counts
     # Columns that only the parent holds a digest of are compared by value.
     drop = [c for c in before.columns if c.endswith(DIGEST_SUFFIX) and c not in written.columns]

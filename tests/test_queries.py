@@ -23,3 +23,8 @@ def test_query_matches_its_twin(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_stores_go_to_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert entry_points._scratch(spark).startswith(shared + "/")

@@ -40,6 +40,9 @@ def test_duplicate_key(tree, repeated):
             tm.upsert(*sides, "path")
         with pytest.raises(KeyCheckError, match="duplicate"):
             tm.run_plan(*sides, "path", [(1, "a/", "mirror")])
+        with pytest.raises(KeyCheckError, match="duplicate"):
+            tm.mirror(*sides, "b/", keys="path")
+    assert tm.mirror(tree, repeated, "b/").count() == 4
     with pytest.raises(KeyCheckError, match="source"):
         tm.diff(repeated, tree, "path", validate="source")
     assert tm.diff(tree, repeated, "path", validate="source").count() == 0
@@ -153,6 +156,8 @@ def test_scope_column_outside_the_key(spark):
     df = spark.createDataFrame([(1, "a/1")], "id int, path string")
     with pytest.raises(RuleError, match="key column"):
         tm.run_plan(df, df, "id", [(1, "a/", "mirror")])
+    with pytest.raises(RuleError, match="key column"):
+        tm.mirror(df, df, "a/", keys="id")
     with pytest.raises(SchemaError, match="string"):
         tm.in_scope(df, "a/", column="id")
 
