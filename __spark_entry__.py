@@ -116,7 +116,7 @@ def diff_orders_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(status.alias("o_orderstatus"))
     )
     recorded = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return tm.diff(rebuilt, recorded, "o_orderkey")
+    return tm.diff(rebuilt, recorded, "o_orderkey", validate="inline")
 
 
 def diff_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

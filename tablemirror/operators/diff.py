@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablemirror.errors import SchemaError
 from tablemirror.functions.digest import digest_bytes, is_wide_type
-from tablemirror.operators.keys import check_sides
+from tablemirror.operators.keys import check_sides, unique_row
 from tablemirror.schemas import (
     check_comparable,
     check_same_schema,
@@ -21,6 +21,8 @@ from tablemirror.schemas import (
 )
 
 ADDED, DELETED, MODIFIED, UNCHANGED = "added", "deleted", "modified", "unchanged"
+#: Value of ``validate``: check keys within the job that compares.
+INLINE = "inline"
 #: A stored digest of column ``c`` is named ``c__sha256``.
 DIGEST_SUFFIX = "__sha256"
 
@@ -43,7 +45,11 @@ def diff(
     read at all. All other columns are compared by value with ``<=>``.
 
     ``validate="source"`` leaves out the key check of the target, ``False`` that of both
-    sides; a repeated key then multiplies rows.
+    sides; a repeated key then multiplies rows. ``validate="inline"`` checks both sides
+    within the shuffle and sort of the comparison itself: no job runs now and none is added,
+    and a null or repeated key fails the job that reads the result. It is the cheaper check
+    where keys are all but sure; a key repeated very often is better found by the default,
+    which counts before it shuffles.
     """
     keys = key_list(keys)
     require_columns(source, keys)
@@ -59,24 +65,29 @@ def diff(
     if overlap:
         raise SchemaError(f"key columns cannot be compared as content: {', '.join(overlap)}")
     check_comparable(source, compare)
-    check_sides(source, target, keys, validate)
+    if validate != INLINE:
+        check_sides(source, target, keys, validate)
 
     def narrowed(df: DataFrame, side: str) -> DataFrame:
-        content = [_content(df, c, wide).alias(f"__{side}_{i}") for i, c in enumerate(compare)]
-        return df.select(*keys, *content, F.lit(True).alias(f"__{side}_here"))
+        content = [_content(df, c, wide).alias(f"__{side[0]}_{i}") for i, c in enumerate(compare)]
+        rows, here = df.select(*keys, *content), f"__{side[0]}_here"
+        if validate == INLINE:
+            return unique_row(rows, keys, side, here)
+        return rows.withColumn(here, F.lit(True))
 
     differs = reduce(
         or_,
         [~F.col(f"__s_{i}").eqNullSafe(F.col(f"__t_{i}")) for i in range(len(compare))],
         F.lit(False),
     )
+    # Each branch reads the flag of its own side, which may carry an inline key check.
     change = (
-        F.when(F.col("__t_here").isNull(), ADDED)
-        .when(F.col("__s_here").isNull(), DELETED)
+        F.when(F.col("__t_here").isNull() & F.col("__s_here"), ADDED)
+        .when(F.col("__s_here").isNull() & F.col("__t_here"), DELETED)
         .when(differs, MODIFIED)
         .otherwise(UNCHANGED)
     )
-    out = narrowed(source, "s").join(narrowed(target, "t"), keys, "full_outer")
+    out = narrowed(source, "source").join(narrowed(target, "target"), keys, "full_outer")
     out = out.select(*keys, change.alias("change"))
     return out if keep_unchanged else out.filter(F.col("change") != UNCHANGED)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import add, or_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,24 @@ def check_sides(
     return checked_key_stats(keys, source=source, target=target)
 
 
+def unique_row(df: DataFrame, keys: Sequence[str], side: str, name: str) -> DataFrame:
+    """Add column ``name``: true, or an error in the job that reads it if the key is unfit.
+
+    A null key fails where it is read. Counting the rows of a key asks for the same
+    partitioning and order as a sort-merge join by that key, so the check adds neither a
+    shuffle nor a sort in front of one.
+    """
+
+    def fails(fault: str) -> Column:
+        key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+        return F.raise_error(F.concat(F.lit(f"{side}: {fault} "), key))
+
+    named = F.when(any_null(keys), fails("null key").cast("boolean")).otherwise(True)
+    n = F.count("*").over(Window.partitionBy(*keys))
+    alone = F.when(n == 1, F.col(name)).otherwise(fails("duplicate key").cast("boolean"))
+    return df.withColumn(name, named).withColumn(name, alone)
+
+
 def _key_report(df: DataFrame, keys: str | Sequence[str], side: str) -> DataFrame:
     keys = _checked(df, keys)
     n = F.col("__n")

@@ -13,12 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablemirror.errors import (
     EmptyMessageError,
+    KeyCheckError,
     NothingChangedError,
     PublishError,
     SchemaError,
@@ -29,6 +31,7 @@ from tablemirror.operators.diff import (
     ADDED,
     DELETED,
     DIGEST_SUFFIX,
+    INLINE,
     MODIFIED,
     change_summary,
     diff,
@@ -94,7 +97,7 @@ def publish(
     keys: str | Sequence[str],
     digest: Sequence[str] | None = None,
     cluster: bool = False,
-    validate: bool = True,
+    validate: bool | str = True,
     allow_empty: bool = False,
 ) -> int:
     """Write ``result`` as the version after ``parent``, or nothing; return its number.
@@ -108,11 +111,14 @@ def publish(
     this and later comparisons of versions read 32 bytes in place of the value.
     ``cluster=True`` range-partitions and sorts by key, which costs a shuffle
     and lets prefix filters on the version skip files and row groups.
+    ``validate="inline"`` checks the keys within the comparison, as in ``diff``.
     """
     spark = result.sparkSession
     keys = key_list(keys)
     if not message:
         raise EmptyMessageError("a version needs a message")
+    if validate not in (True, False, INLINE):
+        raise KeyCheckError(f"validate must be True, False or {INLINE!r}, not {validate!r}")
     _refuse_stale(spark, store, parent)
     require_columns(result, keys)
     check_comparable(result, [c for c in result.columns if c not in keys])
@@ -129,8 +135,7 @@ def publish(
     rows.write.mode("overwrite").parquet(where)
     try:
         written = spark.read.schema(rows.schema).parquet(where)
-        n_rows = checked_key_stats(keys, result=written)["result"].rows if validate else None
-        counts = _count_changes(written, before, keys, wide, n_rows)
+        counts = _count_changes(written, before, keys, wide, validate)
         if not any(counts.values()) and not allow_empty:
             raise NothingChangedError(f"nothing changed since version {parent}")
     except Exception:
@@ -149,16 +154,25 @@ def _count_changes(
     before: DataFrame | None,
     keys: list[str],
     wide: list[str],
-    n_rows: int | None,
+    validate: bool | str,
 ) -> dict[str, int]:
     counts = dict.fromkeys((ADDED, MODIFIED, DELETED), 0)
+    inline = validate == INLINE and before is not None
+    stats = checked_key_stats(keys, result=written) if validate and not inline else None
     if before is None:
-        counts[ADDED] = written.count() if n_rows is None else n_rows
+        counts[ADDED] = stats["result"].rows if stats else written.count()
         return counts
     # Columns that only the parent holds a digest of are compared by value.
     drop = [c for c in before.columns if c.endswith(DIGEST_SUFFIX) and c not in written.columns]
-    changes = diff(written, before.drop(*drop), keys, digest=wide, validate=False)
-    counts.update({r["change"]: r["n"] for r in change_summary(changes).collect()})
+    changes = diff(
+        written, before.drop(*drop), keys, digest=wide, validate=INLINE if inline else False
+    )
+    try:
+        counts.update({r["change"]: r["n"] for r in change_summary(changes).collect()})
+    except SparkRuntimeException as error:
+        if inline and error.getCondition() == "USER_RAISED_EXCEPTION":
+            raise KeyCheckError(error.getMessageParameters()["errorMessage"]) from error
+        raise
     return counts
 
 

@@ -37,6 +37,7 @@ def test_diff(spark, source, target):
     forth = changes_of(tm.diff(s, t, "path", keep_unchanged=True))
     assert forth == model_diff(source, target)
     assert changes_of(tm.diff(s, t, "path", keep_unchanged=True, digest=["text"])) == forth
+    assert changes_of(tm.diff(s, t, "path", keep_unchanged=True, validate="inline")) == forth
     assert changes_of(tm.diff(s, t, "path")) == {
         p: c for p, c in forth.items() if c != "unchanged"
     }

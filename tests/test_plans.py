@@ -157,6 +157,19 @@ def test_diff_shuffles_digests_instead_of_text(snapshots):
     assert not any("text" in b for b in exchanges)
 
 
+def test_keys_checked_inline_cost_no_shuffle_and_no_sort(snapshots):
+    plain = tree(tm.diff(*snapshots, "path", digest=["text"], validate=False))
+    inline = tree(tm.diff(*snapshots, "path", digest=["text"], validate="inline"))
+    for step in ("Exchange", "Sort (", "Scan parquet"):
+        assert inline.count(step) == plain.count(step)
+    assert (plain.count("Window"), inline.count("Window")) == (0, 2)
+
+
+def test_a_comparison_of_aggregates_reuses_their_shuffle(spark):
+    df = entry_points.diff_orders_rebuilt(spark, SF)
+    assert tree(df).count("Exchange") == 2
+
+
 def test_summary_combines_before_its_shuffle(snapshots):
     df = tm.change_summary(tm.diff(*snapshots, "path"), by=tm.scope_of().alias("scope"))
     assert "partial_count" in plan(df)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 import tablemirror as tm
@@ -48,6 +49,22 @@ def test_duplicate_key(tree, repeated):
     assert tm.diff(tree, repeated, "path", validate="source").count() == 0
 
 
+def test_keys_checked_inline_fail_the_job(tree, repeated, nameless):
+    for sides, fault in (
+        ((tree, repeated), 'target: duplicate key.*"a/1"'),
+        ((repeated, tree), 'source: duplicate key.*"a/1"'),
+        ((repeated, tree.limit(0)), "source: duplicate key"),
+        ((tree.filter("length(path) > 9"), repeated), "target: duplicate key"),
+        ((tree, nameless), 'target: null key.*"path":null'),
+    ):
+        changes = tm.diff(*sides, "path", validate="inline")  # nothing runs yet
+        for read in (lambda df: df.collect(), lambda df: tm.change_summary(df).collect()):
+            with pytest.raises(SparkRuntimeException, match=fault):
+                read(changes)
+    with pytest.raises(KeyCheckError, match="validate"):
+        tm.upsert(tree, tree, "path", validate="inline")
+
+
 def test_a_line_item_is_not_keyed_by_order_and_line(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     with pytest.raises(KeyCheckError, match="duplicate"):

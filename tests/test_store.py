@@ -30,12 +30,14 @@ def versions(spark, store):
     return [(r.version, r.parent, r.n_added, r.n_modified, r.n_deleted) for r in rows]
 
 
-@pytest.mark.parametrize("digest", [None, ["text"]])
-@pytest.mark.parametrize("cluster", [False, True])
-def test_round_trip(spark, store, digest, cluster):
+@pytest.mark.parametrize(
+    ("digest", "cluster", "validate"),
+    [(None, False, True), (["text"], False, "inline"), (["text"], True, True), ([], True, False)],
+)
+def test_round_trip(spark, store, digest, cluster, validate):
     one = {"a/1": "x", "a/2": None, "b/1": "y"}
     two = {"a/1": "x", "a/2": "z", "c/1": "y"}
-    how = {"digest": digest, "cluster": cluster}
+    how = {"digest": digest, "cluster": cluster, "validate": validate}
     assert put(snapshot(spark, one), store, 0, "first", **how) == 1
     assert as_dict(tm.read_latest(spark, store)) == one
     assert put(snapshot(spark, two), store, 1, " ", **how) == 2  # blanks are a message
@@ -119,8 +121,11 @@ def test_stale_parent(spark, store):
 def test_refused_rows_leave_no_trace(spark, store):
     put(snapshot(spark, {"a/1": "x"}), store, 0)
     twice = snapshot(spark, {"a/1": "y"}).unionByName(snapshot(spark, {"a/1": "z"}))
-    with pytest.raises(KeyCheckError, match="duplicate"):
-        put(twice, store, 1)
+    for validate in (True, "inline"):
+        with pytest.raises(KeyCheckError, match="duplicate"):
+            put(twice, store, 1, validate=validate)
+    with pytest.raises(KeyCheckError, match="validate"):
+        put(twice, store, 1, validate="source")
     with pytest.raises(SchemaError):
         put(snapshot(spark, {"a/1": "y"}).withColumn("more", F.lit(1)), store, 1)
     with pytest.raises(SchemaError, match="reserved"):
