@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablemirror.errors import EmptySourceError
 from tablemirror.operators.keys import check_sides, key_stats, split_stats
 from tablemirror.operators.scope import check_prefixes, in_scope, out_of_scope, require_scope_key
-from tablemirror.schemas import check_same_schema, key_list
+from tablemirror.schemas import check_same_schema, has_wide_payload, key_list
 
 
 def upsert(
@@ -59,12 +59,15 @@ def without(
     ``small`` says that the source's keys were measured and may be broadcast. If they
     may not, the keys of both sides meet first, without the payload: where
     either the rows to drop or the rows to keep turn out to be few, those are
-    broadcast and the target is read in place. Only if both are many is it shuffled.
+    broadcast and the target is read in place. Only if both are many is it shuffled, or if
+    its payload is no wider than keys are.
     """
     keys = list(keys)
     gone = source.select(*keys)
     if small:
         return target.join(F.broadcast(gone), keys, "left_anti")
+    if not has_wide_payload(target, keys):
+        return target.join(gone, keys, "left_anti")
     hits, rest = split_stats(target, gone, keys)
     mine = target.select(*keys)
     if hits.small:

@@ -46,6 +46,12 @@ def check_comparable(df: DataFrame, columns: Iterable[str]) -> None:
             )
 
 
+def has_wide_payload(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Is any column outside the keys of variable width?"""
+    fixed = (T.NumericType, T.BooleanType, T.DatetimeType, T.AnsiIntervalType)
+    return any(not isinstance(f.dataType, fixed) for f in df.schema if f.name not in keys)
+
+
 def _comparable(dt: T.DataType) -> bool:
     if isinstance(dt, T.ArrayType):
         return _comparable(dt.elementType)

@@ -116,6 +116,13 @@ def test_upsert_that_keeps_few_rows_reads_the_target_in_place(snapshots, room_fo
     assert_text_is_not_shuffled(df)
 
 
+def test_upsert_of_many_keys_into_narrow_rows_is_a_plain_join(spark, many_keys):
+    orders = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderdate")
+    df = tm.upsert(orders, orders, "o_orderkey", validate=False)
+    assert tree(df).count("SortMergeJoin LeftAnti") == 1
+    assert tree(df).count("Exchange") == 2
+
+
 def assert_text_is_not_shuffled(df):
     exchanges = [b for b in plan(df).split("\n\n") if ") Exchange" in b.split("\n")[0]]
     assert exchanges
