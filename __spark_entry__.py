@@ -25,6 +25,19 @@ from pyspark.sql import functions as F
 
 import tablemirror as tm
 
+try:  # the operators for training data are a part that the library works without
+    from tablemirror.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("tablemirror.llm"):
+        raise
+    llm = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("tablemirror.llm"):
+        raise
+    corpus_pipeline = None
+
 MIRRORED = ["src1/", "quarantine/", "inbox/"]
 UPSERTED = ["src2/", "src3/"]
 RULES = [
@@ -264,7 +277,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if llm:
+        found |= llm.queries()
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 # ---------------------------------------------------------------- DuckDB twins
@@ -309,7 +327,7 @@ _PLAN = _TREES + _RESULT.format(named="")
 def oracle_sql() -> dict[str, str]:
     changes = _TREES + _CHANGES.format(source="src")
     plan_changes = _PLAN + _CHANGES.format(source="res")
-    return {
+    twins = {
         "diff_summary": changes + "select change, count(*) as n from chg group by change",
         "diff_by_scope": changes
         + """select split_part(path, '/', 1) as scope, change, count(*) as n
@@ -378,3 +396,8 @@ def oracle_sql() -> dict[str, str]:
             select concat('source=', source) as scope, cast(sum(strlen(text) + 1) as bigint) as n_bytes
             from documents group by source""",
     }
+    if llm:
+        twins |= llm.oracle_sql()
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        twins["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return twins
