@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: The words of all contracts: runs of anything but blank, tab, line feed and their kin.
 WORD = re.compile("[^\x20\x09-\x0d]+")
+#: Runs of letters.
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def shared_folder(spark: SparkSession) -> str:

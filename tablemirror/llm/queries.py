@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.llm import packing, pieces, pii, quality, sharding
+from tablemirror.llm import language, packing, pieces, pii, quality, sharding, topk, toxicity
 
 N_SHARDS = 40
 WINDOW = packing.WINDOW
@@ -28,6 +28,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _fold(n: int) -> F.Column:
+    """crc32 of the id as text, modulo n; a null id is in no fold and never learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest inner products of every twentieth vector, against all others."""
+    vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    found = topk.search(vectors, F.col("id") % 20 == 0)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data and of the terms that reveal it."""
     found = pii.spans(_table(spark, sf_dir, "documents"), "doc_id")
@@ -39,6 +51,27 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base.alias("base_sha256"), pii.span_text("spans").alias("spans"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").filter(_fold(5) != 0))
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    return toxicity.score(docs, model, "doc_id").select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit(docs, _fold(4) != 2)
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    return language.predict(docs, model, "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty shards of equal row counts along a curve through source, language and size."""
     text = F.col("text").cast("binary")
@@ -86,12 +119,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op3_pii, op6_hilbert_shards, op7_pieces, op9_quality, op10_packing]
+_QUERIES = [op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces, op9_quality, op10_packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+_TOPK = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, d.vec_id,
+         cast(list_sum(list_transform(list_zip(q.e, d.e), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 20 = 0
+), r as (
+  select query_id, vec_id, score,
+         row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_topk": _TOPK}
