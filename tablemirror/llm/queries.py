@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.llm import language, packing, pieces, pii, quality, sharding, topk, toxicity
+from tablemirror.llm import language, packing, pieces, pii, quality, sharding, suffixes, topk, toxicity
 
 N_SHARDS = 40
 WINDOW = packing.WINDOW
@@ -94,6 +94,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(docs, tokenizer_file("piece_bpe_32k.model"), "doc_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal(_table(spark, sf_dir, "documents"), "doc_id")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     forest = quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -119,7 +123,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces, op9_quality, op10_packing]
+_QUERIES = [op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces, op8_suffix_dedup, op9_quality, op10_packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -34,7 +34,12 @@ WINDOW = 16
 MAX_FIT_ROWS = 8192
 MIN_SHARE, RATIO = 0.05, 10.0
 ORDINARY_BYTES = 4096
-LEVEL = 3
+#: Greedy search for matches of four bytes and more, in tables that fit windows of some 100
+#: bytes; the levels of the library look for longer matches at this size.
+SEARCH = {
+    "strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "hash_log": 13, "chain_log": 13,
+    "search_log": 5, "window_log": 14, "target_length": 32,
+}
 THRESHOLDS = (1, 2, 3, 4, 6, 8)
 
 
@@ -48,10 +53,9 @@ def windows(text: str | None) -> list[bytes]:
 
 def _compressor(content: bytes):
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    held.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(
-        level=LEVEL, dict_data=held, write_checksum=False, write_dict_id=False
-    )
+    how = zstandard.ZstdCompressionParameters(write_checksum=False, write_dict_id=False, **SEARCH)
+    held.precompute_compress(compression_params=how)
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=how)
 
 
 def _lengths(compressor, blocks: list[bytes]) -> np.ndarray:
