@@ -239,25 +239,25 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
 
     All columns and rows stay. Only rows with an entity go through the join with the terms.
     """
+    others = [c for c in docs.columns if c != text]
+    own = [f"c{i}" for i in range(len(others))]
     renamed = docs.select(
-        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col(text).alias("_whole")
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(others, own, strict=True)], F.col(text).alias("whole")
     )
-    own = [f"c{i}" for i in range(len(docs.columns))]
-    found = entities(renamed, *own, "_whole", text="_whole")
-    terms = term_spans(found, revealing(renamed, found, "_whole"))
+    found = entities(renamed, *own, "whole", text="whole")
+    terms = term_spans(found, revealing(renamed, found, "whole"))
     touched = F.size("base") > 0
     joined = found.filter(touched).join(terms, "_row", "left")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     marked = joined.select(
-        *own, "_whole", F.array_sort(F.concat("base", F.coalesce("terms", none))).alias("marks")
+        *own, "whole", F.array_sort(F.concat("base", F.coalesce("terms", none))).alias("marks")
     )
-    kinds = ", ".join(f"{c} {t}" for c, t in marked.select(*own).dtypes)
+    kinds = "".join(f"{c} {t}, " for c, t in marked.select(*own).dtypes)
 
     def each(*cols):
         return [*cols[:-2], [_masked(t, m) for t, m in zip(cols[-2], cols[-1], strict=True)]]
 
-    masked = arrow_map(marked, each, f"{kinds}, _masked string")
-    rest = found.filter(~touched).select(*own, F.col("_whole").alias("_masked"))
-    return masked.union(rest).select(
-        *[F.col("_masked" if c == text else f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    )
+    masked = arrow_map(marked, each, f"{kinds}whole string")
+    every = masked.union(found.filter(~touched).select(*own, "whole"))
+    place = dict(zip(others, own, strict=True)) | {text: "whole"}
+    return every.select(*[F.col(place[c]).alias(c) for c in docs.columns])

@@ -276,3 +276,11 @@ def judge(docs: DataFrame, forest: Forest | None, *keep: str, text: str = "text"
         return [*cols[:-1], *counts, failed, score, ~np.array(failed) & (score >= cut)]
 
     return arrow_map(kept, each, schema)
+
+
+def accepted(docs: DataFrame, forest: Forest | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    numbered = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    judged = judge(numbered, forest, *names, text=names[docs.columns.index(text)])
+    return judged.filter("kept").select(*names).toDF(*docs.columns)

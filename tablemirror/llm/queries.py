@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.llm import language, packing, pieces, pii, quality, sharding, suffixes, topk, toxicity
+from tablemirror.llm import jaccard, language, packing, pieces, pii, quality, sharding, suffixes, topk, toxicity
 
 N_SHARDS = 40
 WINDOW = packing.WINDOW
@@ -33,6 +33,10 @@ def _fold(n: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty highest inner products of every twentieth vector, against all others."""
     vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"))
@@ -123,7 +127,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces, op8_suffix_dedup, op9_quality, op10_packing]
+_QUERIES = [op1_ngram_jaccard, op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces, op8_suffix_dedup, op9_quality, op10_packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -147,5 +151,33 @@ with v as (
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20"""
 
 
+_JACCARD = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents
+), g as (
+  select doc_id, list_distinct(case
+      when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+  from w
+), t as (select doc_id, unnest(s) as t from g),
+p as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from t a join t b on a.t = b.t and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+), l as (
+  select x, y from p join g a on a.doc_id = x join g b on b.doc_id = y
+  where 100 * c >= 80 * (len(a.s) + len(b.s) - c)
+), both_ways as (select x, y from l union all select y, x from l),
+r as (
+  select doc_id as x, doc_id as y from g
+  union
+  select r.x, e.y from r join both_ways e on r.y = e.x
+)
+select g.doc_id, cast(len(s) as bigint) as n_shingles, m.component_id
+from g join (select x, min(y) as component_id from r group by x) m on m.x = g.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": _TOPK}
+    return {"op1_ngram_jaccard": _JACCARD, "op2_topk": _TOPK}
