@@ -15,9 +15,11 @@ corpus. Sorting every suffix of the corpus in one order is not needed for that:
    suffix array is built by two-stage sorting: suffixes smaller than their successors are
    sorted directly, the others are induced by scanning the buckets of first bytes; adjacent
    common prefixes of LENGTH bytes or more mark the windows.
-4. A gram with more than ``GROUP`` different contexts is dealt to several blocks. Each block
-   hands on one digest per different window, and digests that come from two blocks mark
-   their windows as well.
+4. A gram with more than ``GROUP`` different contexts gathers in no task. Its contexts are
+   split by where their windows start into runs of ``FINE`` windows, and the bytes that all
+   windows of a run share, nearly LENGTH of them, become the run's gram: back to step 2 with
+   far more selective grams. A gram that is still hot is split into single windows, of which
+   equal ones are counted.
 
 A window belongs to one anchor, hence to one context, and has all its bytes there alone, so
 a common prefix of LENGTH bytes always means two different places.
@@ -42,8 +44,10 @@ from tablemirror.llm.common import arrow_map, ship, stored
 
 LENGTH = 400
 GRAM = 64
-#: Different contexts of one gram that go to one block; about 0.4 MB.
+#: Different contexts that a gram may have in a suffix array; about 0.4 MB.
 GROUP = 512
+#: Windows of a run into which the contexts of hotter grams are split.
+FINE = 16
 #: Bytes that are strung together for one suffix array, at least.
 BLOCK_BYTES = 1 << 18
 _PIECE = 1 << 20  # bytes of text that are hashed together
@@ -68,7 +72,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def _anchors_of(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple]:
-    """``(document, first start, last start, gram hash, context digest)`` of the pieces
+    """``(document, first start, last start, anchor's place, gram hash, context digest)`` of the pieces
     ``(document, offset, bytes)``, each at least ``length`` bytes long."""
     joined = b"".join(p for _, _, p in pieces)
     data = np.frombuffer(joined, np.uint8)
@@ -86,15 +90,16 @@ def _anchors_of(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[t
         own = owner[at : at + len(piece) - length + 1]
         first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         last = np.r_[first[1:], len(own)] - 1
-        for a, b, g in zip(first.tolist(), last.tolist(), grams[own[first]].view(np.int64).tolist(), strict=True):
-            yield doc, offset + a, offset + b, g, xxhash.xxh3_128_digest(piece[a : b + length])
+        place, gram = own[first] - at, grams[own[first]].view(np.int64)
+        for a, b, p, g in zip(first.tolist(), last.tolist(), place.tolist(), gram.tolist(), strict=True):
+            yield doc, offset + a, offset + b, offset + p, g, xxhash.xxh3_128_digest(piece[a : b + length])
         at += len(piece)
 
 
 def anchors(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows ``gram, digest, key, low, high`` of ``texts``, which has ``key`` and ``bytes``.
+    """Rows ``gram, digest, key, low, high, at`` of ``texts``, which has ``key`` and ``bytes``.
 
-    Windows that start from ``low`` to ``high`` have this anchor.
+    Windows that start from ``low`` to ``high`` have their anchor at ``at``.
     """
 
     def each(keys, contents):
@@ -117,13 +122,42 @@ def anchors(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                     flush()
         flush()
         if not rows:
-            return [[], [], [], [], []]
-        docs, low, high, grams, digests = zip(*rows, strict=True)
-        return [grams, digests, [keys[i] for i in docs], low, high]
+            return [[], [], [], [], [], []]
+        docs, low, high, at, grams, digests = zip(*rows, strict=True)
+        return [grams, digests, [keys[i] for i in docs], low, high, at]
 
     return arrow_map(
-        texts.select("key", "bytes"), each, "gram long, digest binary, key binary, low int, high int"
-    )
+        texts.select("key", "bytes"), each,
+        "gram long, digest binary, key binary, low int, high int, at int",
+    )
+
+
+def finer(contexts: DataFrame, width: int, length: int = LENGTH) -> DataFrame:
+    """Contexts ``key, at, start, low, high, context`` split by windows into runs of ``width``.
+
+    ``context`` begins at ``start`` of its text; the windows from ``low`` to ``high`` are in
+    question. Rows are those of ``anchors`` with ``start`` added; the gram of a run is a hash of
+    the bytes that all its possible windows share. A window's run depends on its distance to
+    its anchor alone, so equal windows fall into equal runs.
+    """
+
+    def each(keys, ats, starts, lows, highs, contents):
+        out: list[list] = [[], [], [], [], [], [], []]
+        for key, at, start, low, high, content in zip(keys, ats, starts, lows, highs, contents, strict=True):
+            for run in range((at - high) // width, (at - low) // width + 1):
+                first, last = max(low, at - width * run - width + 1), min(high, at - width * run)
+                core = at - width * run - start  # where all windows of the run have begun
+                shared = content[core : core + length - width + 1]
+                gram = xxhash.xxh3_64_intdigest(shared, run) - (1 << 63)
+                digest = xxhash.xxh3_128_digest(content[first - start : last - start + length])
+                for column, value in zip(out, (gram, digest, key, first, last, at, start), strict=True):
+                    column.append(value)
+        return out
+
+    return arrow_map(
+        contexts.select("key", "at", "start", "low", "high", "context"), each,
+        "gram long, digest binary, key binary, low int, high int, at int, start int",
+    )
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -217,98 +251,101 @@ def _runs(hit: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True)
 
 
-def _mark_block(rows: list[dict], length: int) -> list[tuple]:
-    """``(key, low, high, window digest)``: runs of repeated windows (no digest), and for
-    grams that are dealt to several blocks one row per different window with its digest."""
-    owned = [r["high"] - r["low"] + 1 for r in rows]
-    hits = repeated_starts([r["context"] for r in rows], owned, length)
-    out, seen = [], set()
-    for r, hit in zip(rows, hits, strict=True):
-        if r["n"] == 1:
-            out.extend((r["key"], r["low"] + a, r["low"] + b, None) for a, b in _runs(hit))
-        if r["dealt"]:
-            for i, h in enumerate(hit):
-                digest = xxhash.xxh3_128_digest(r["context"][i : i + length])
-                if h or r["n"] > 1:
-                    if digest not in seen:
-                        seen.add(digest)
-                        out.append((None, 0, 0, digest))
-                else:
-                    out.append((r["key"], r["low"] + i, r["low"] + i, digest))
-    return out
-
-
 def mark(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows of ``_mark_block`` for contexts in order of their block; a gram's rows of one
-    block are never parted."""
+    """``key, low, high``: runs of repeated windows of contexts that lie in order of their
+    gram; the rows of a gram are never parted. Contexts found more than once (``n``) have been
+    marked by that and only bear witness."""
     ship(contexts.sparkSession)
-    arrow = pa.schema([("key", pa.binary()), ("low", pa.int32()), ("high", pa.int32()), ("window", pa.binary())])
+    arrow = pa.schema([("key", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
+
+    def block(rows: list[dict]) -> pa.RecordBatch:
+        owned = [r["high"] - r["low"] + 1 for r in rows]
+        hits = repeated_starts([r["context"] for r in rows], owned, length)
+        marks = [
+            (r["key"], r["low"] + a, r["low"] + b)
+            for r, hit in zip(rows, hits, strict=True) if r["n"] == 1
+            for a, b in _runs(hit)
+        ]
+        columns = list(zip(*marks, strict=True)) if marks else [[]] * 3
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+        )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
-
-        def done():
-            marks = _mark_block(held, length)
-            columns = list(zip(*marks, strict=True)) if marks else [[]] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
-            )
-
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for row in batch.slice(at, 256).to_pylist():
-                    group = (row["gram"], row["block"])
-                    if size >= BLOCK_BYTES and group != last:
-                        yield done()
+                    if size >= BLOCK_BYTES and row["gram"] != last:
+                        yield block(held)
                         held, size = [], 0
                     held.append(row)
                     size += len(row["context"])
-                    last = group
+                    last = row["gram"]
         if held:
-            yield done()
+            yield block(held)
 
-    return contexts.mapInArrow(blocks, "key binary, low int, high int, window binary")
+    return contexts.mapInArrow(blocks, "key binary, low int, high int")
 
 
 # ---------------------------------------------------------------- operator
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``key, low, high``: runs of window starts that repeat. ``texts`` has one row per
-    document with ``key`` (a digest of the content) and ``bytes``."""
-    long_ones = texts.filter(F.length("bytes") >= length)
-    every = stored(anchors(long_ones, length), "anchors")
-    same = every.groupBy("gram", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "low", "high")).alias("one")
-    )
+_SPAN = ["key", "low", "high"]
+
+
+def _grams(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """Spans of the rows whose context occurs twice, and one row for each context of the grams
+    that occur twice, with the counts ``n`` of the context and ``different`` of the gram."""
+    one = F.min(F.struct("key", "low", "high", "at", *more)).alias("one")
+    same = rows.groupBy("gram", "digest").agg(F.count("*").alias("n"), one)
     per_gram = same.groupBy("gram").agg(F.count("*").alias("different"), F.sum("n").alias("total"))
     known = stored(
         same.join(per_gram.filter("total > 1"), "gram").select("gram", "digest", "n", "one.*", "different"),
         "grams",
     )
-    copied = every.join(known.filter("n > 1").select("gram", "digest"), ["gram", "digest"], "left_semi")
-    whole = copied.select("key", "low", "high").distinct()
+    copied = rows.join(known.filter("n > 1").select("gram", "digest"), ["gram", "digest"], "left_semi")
+    return copied.select(*_SPAN).distinct(), known
+
+
+def _in_order(contexts: DataFrame) -> DataFrame:
+    """Contexts of grams few enough for one suffix array, each gram in one task."""
+    few = contexts.filter((F.col("different") > 1) & (F.col("different") <= GROUP))
+    return few.select("gram", "key", "low", "high", "n", "context").repartition("gram").sortWithinPartitions("gram")
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``key, low, high``: runs of window starts that repeat. ``texts`` has one row per
+    document with ``key`` (a digest of the content) and ``bytes``."""
+    long_ones = texts.filter(F.length("bytes") >= length)
+    every = stored(anchors(long_ones, length), "anchors")
+    whole, known = _grams(every)
+
+    def part(low, high, start):
+        size = F.col(high) - F.col(low) + length
+        return F.substring("bytes", F.col(low) - F.col(start) + 1 if start else F.col(low) + 1, size)
 
     one_text = long_ones.groupBy("key").agg(F.any_value("bytes").alias("bytes"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("different") / GROUP)).cast("int")
-    contexts = (
-        known.filter("different > 1")
-        .withColumn("block", F.pmod(F.xxhash64("digest"), parts).cast("int"))
-        .withColumn("dealt", parts > 1)
-        .join(one_text, "key")
-        .select(
-            "gram", "block", "dealt", "key", "low", "high", "n",
-            F.substring("bytes", F.col("low") + 1, F.col("high") - F.col("low") + length).alias("context"),
-        )
-        .repartition("gram", "block")
-        .sortWithinPartitions("gram", "block")
+    contexts = stored(
+        known.filter("different > 1").join(one_text, "key")
+        .select(*known.columns, part("low", "high", None).alias("context")),
+        "contexts",
     )
-    marked = stored(mark(contexts, length), "marks")
-    near = marked.filter("window is null").select("key", "low", "high")
-    windows = marked.filter("window is not null")
-    twice = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1")
-    far = windows.filter("key is not null").join(twice, "window", "left_semi").select("key", "low", "high")
-    return whole.union(near).union(far)
+    near = mark(_in_order(contexts), length)
+
+    # hot grams: their contexts again, by runs of windows, then by single windows
+    hot = contexts.filter(F.col("different") > GROUP).withColumn("start", F.col("low"))
+    runs = stored(finer(hot, FINE, length), "runs")
+    run_copies, run_grams = _grams(runs, "start")
+    sources = hot.select("key", "start", F.col("context").alias("bytes")).dropDuplicates(["key", "start"])
+    run_contexts = run_grams.filter("different > 1").join(sources, ["key", "start"]).select(
+        *run_grams.columns, part("low", "high", "start").alias("context")
+    )
+    run_near = mark(_in_order(run_contexts), length)
+    still_hot = run_contexts.filter(F.col("different") > GROUP).withColumn("start", F.col("low"))
+    windows = stored(finer(still_hot, 1, length), "windows")
+    window_copies, _ = _grams(windows, "start")
+    return whole.union(near).union(run_copies).union(run_near).union(window_copies)
 
 
 def _cut(content: bytes | None, runs: list | None, length: int) -> tuple[bytes, int, int]:
