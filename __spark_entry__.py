@@ -14,8 +14,6 @@ lose and change rows, nulls meet values and nulls, and ``src1/`` sits beside ``s
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -24,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tablemirror as tm
+from tablemirror.operators import keys as key_checks
+from tablemirror.sources import paths
 
 try:  # the operators for training data are a part that the library works without
     from tablemirror.llm import queries as llm
@@ -87,11 +87,13 @@ def _scratch(spark: SparkSession) -> str:
     """A new folder that every executor can reach."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tablemirror-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/tablemirror-{uuid.uuid4().hex}"
+        paths.delete_on_exit(spark, folder)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tablemirror-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    paths.delete_on_exit(spark, folder)
     return folder
 
 
@@ -116,6 +118,17 @@ def diff_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.change_summary(changes, by=tm.scope_of().alias("scope"))
 
 
+def diff_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scopes that lie inside each other, and documents at the top of the tree."""
+    docs = _table(spark, sf_dir, "documents")
+    folder = F.when(F.col("lang") == "fr", "").otherwise(F.concat("source", F.lit("/"), "lang", F.lit("/")))
+    target = docs.select(F.concat(folder, F.col("doc_id").cast("string")).alias("path"), "text")
+    source = target.filter(F.length("text") >= 400)
+    changes = tm.diff(source, target, "path", keep_unchanged=True, validate="inline")
+    nested = ["src1/", "src1/en/", "src2/de/"]
+    return tm.change_summary(changes, by=tm.scope_of(prefixes=nested).alias("scope"))
+
+
 def diff_orders_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order status rebuilt from the line items, against the status on record."""
     status = (
@@ -142,7 +155,7 @@ def diff_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diff_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array payload, compared by value: vectors of labels under 5 reversed."""
+    """Array payload, compared by its digest: vectors of labels under 5 reversed."""
     vectors = _table(spark, sf_dir, "embeddings")
     turned = vectors.withColumn(
         "embedding",
@@ -176,6 +189,16 @@ def row_digest_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.row_digest(_source(spark, sf_dir), ["lang", "text"]).select("path", "digest")
 
 
+def row_digest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with equal digests, counted: a vector, its double, and both with zeros negated."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    signed = F.transform("embedding", lambda x: F.when(x == 0, -x).otherwise(x))
+    every = vectors.union(vectors.withColumn("embedding", signed))
+    return tm.row_digest(every, "embedding").groupBy("digest").agg(
+        F.min("vec_id").alias("vec_id"), F.count("*").alias("n")
+    ).select("vec_id", "n")
+
+
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.duplicate_keys(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -193,6 +216,20 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.upsert(source, target, "path")
 
 
+def upsert_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert as it runs where no set of keys is small enough to broadcast."""
+    source, target = _trees(spark, sf_dir)
+    before = spark.conf.get(key_checks.BROADCAST_SETTING, None)
+    spark.conf.set(key_checks.BROADCAST_SETTING, "-1")
+    try:
+        return tm.upsert(source, target, "path")
+    finally:
+        if before is None:
+            spark.conf.unset(key_checks.BROADCAST_SETTING)
+        else:
+            spark.conf.set(key_checks.BROADCAST_SETTING, before)
+
+
 def mirror_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _trees(spark, sf_dir)
     return tm.mirror(source, target, MIRRORED)
@@ -203,6 +240,18 @@ def run_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.run_plan(source, target, "path", RULES)
 
 
+def run_plan_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per source, read from a table: even sources are mirrored, odd ones upserted."""
+    source, target = _trees(spark, sf_dir)
+    number = F.substr("source", F.lit(4)).cast("int")
+    table = _table(spark, sf_dir, "documents").select("source").distinct().select(
+        number.alias("seq"),
+        F.concat("source", F.lit("/")).alias("prefix"),
+        F.when(number % 2 == 0, "mirror").otherwise("upsert").alias("mode"),
+    )
+    return tm.run_plan(source, target, "path", tm.load_rules(table))
+
+
 def run_plan_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviewed documents are named one by one and come first, whatever their scope."""
     source, target = _trees(spark, sf_dir)
@@ -243,13 +292,33 @@ def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("source", "text")
     docs.write.partitionBy("source").text(root)
     files = tm.scan_files(spark, root).withColumn("scope", tm.scope_of())
-    return files.groupBy("scope").agg(F.sum("length").alias("n_bytes"))
+    data = files.filter(F.col("path").endswith(".txt"))
+    return data.groupBy("scope").agg(F.sum("length").alias("n_bytes"))
+
+
+def scan_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a scanned tree against the lines of the documents that it was written from."""
+    root = _scratch(spark) + "/tree"
+    docs = _table(spark, sf_dir, "documents").select("source", "text")
+    docs.write.partitionBy("source").text(root)
+    files = tm.scan_files(spark, root, content=True).filter(F.col("path").endswith(".txt"))
+    lines = files.select(
+        tm.scope_of().alias("scope"),
+        F.explode(F.split(F.expr("decode(substring(content, 1, octet_length(content) - 1), 'utf-8')"), "\n")).alias("line"),
+    )
+    return lines.groupBy("scope").agg(
+        F.count("*").alias("n_lines"),
+        F.count_distinct("line").alias("n_distinct"),
+        F.min(F.sha2("line", 256)).alias("least"),
+        F.max(F.sha2("line", 256)).alias("largest"),
+    )
 
 
 _QUERIES = [
     diff_summary,
     diff_by_scope,
     diff_changed_rows,
+    diff_by_rule,
     diff_orders_rebuilt,
     diff_conversations,
     diff_embeddings,
@@ -258,16 +327,20 @@ _QUERIES = [
     scope_filter,
     row_digest,
     row_digest_columns,
+    row_digest_vectors,
     duplicate_keys,
     null_keys,
     upsert,
+    upsert_shuffled,
     mirror_scope,
     run_plan,
+    run_plan_loaded,
     run_plan_required,
     run_plan_summary,
     read_latest,
     publish_history,
     scan_files,
+    scan_content,
 ]
 
 
@@ -333,6 +406,17 @@ def oracle_sql() -> dict[str, str]:
         + """select split_part(path, '/', 1) as scope, change, count(*) as n
              from chg group by all""",
         "diff_changed_rows": changes + "select path, change from chg where change <> 'unchanged'",
+        "diff_by_rule": """
+            with paths as (
+              select case when lang = 'fr' then '' else concat(source, '/', lang, '/') end as folder,
+                     length(text) >= 400 as stays
+              from documents
+            )
+            select case when folder = '' then '.'
+                        when folder in ('src1/en/', 'src2/de/') then rtrim(folder, '/')
+                        else split_part(folder, '/', 1) end as scope,
+                   case when stays then 'unchanged' else 'deleted' end as change, count(*) as n
+            from paths group by all""",
         "diff_orders_rebuilt": """
             with built as (
               select l_orderkey, case when bool_and(l_linestatus = 'F') then 'F'
@@ -363,6 +447,8 @@ def oracle_sql() -> dict[str, str]:
         "row_digest_columns": _TREES
         + """select path, sha256(concat(coalesce(sha256(lang), '-'),
                                        coalesce(sha256(text), '-'))) as digest from src""",
+        "row_digest_vectors": """
+            select min(vec_id) as vec_id, 2 * count(*) as n from embeddings group by embedding""",
         "duplicate_keys": """
             select l_orderkey, l_linenumber, count(*) as n from lineitem
             group by l_orderkey, l_linenumber having count(*) > 1""",
@@ -370,6 +456,9 @@ def oracle_sql() -> dict[str, str]:
             select o_orderkey, o_custkey from orders
             where o_orderkey not in (select l_orderkey from lineitem)""",
         "upsert": _TREES
+        + """select * from src union all
+             select * from tgt where not exists (select 1 from src where src.path = tgt.path)""",
+        "upsert_shuffled": _TREES
         + """select * from src union all
              select * from tgt where not exists (select 1 from src where src.path = tgt.path)""",
         "mirror_scope": _TREES
@@ -377,6 +466,14 @@ def oracle_sql() -> dict[str, str]:
              union all
              select * from tgt where split_part(path, '/', 1) not in ('src1', 'quarantine', 'inbox')""",
         "run_plan": _PLAN + "select * from res",
+        "run_plan_loaded": _TREES
+        + """, rules as (
+               select distinct source, cast(substr(source, 4) as int) % 2 = 0 as mirrored from documents
+             ), s as (select src.* from src join rules on source = split_part(path, '/', 1))
+             select * from s
+             union all
+             select tgt.* from tgt left join rules on source = split_part(tgt.path, '/', 1)
+             where not coalesce(mirrored, false) and tgt.path not in (select path from s)""",
         "run_plan_required": _TREES
         + _RESULT.format(named=" or text like '% [reviewed]'")
         + "select * from res",
@@ -395,6 +492,12 @@ def oracle_sql() -> dict[str, str]:
         "scan_files": """
             select concat('source=', source) as scope, cast(sum(strlen(text) + 1) as bigint) as n_bytes
             from documents group by source""",
+        "scan_content": """
+            with l as (select source, unnest(string_split(text, chr(10))) as line from documents)
+            select concat('source=', source) as scope, count(*) as n_lines,
+                   count(distinct line) as n_distinct,
+                   min(sha256(line)) as least, max(sha256(line)) as largest
+            from l group by source""",
     }
     if llm:
         twins |= llm.oracle_sql()

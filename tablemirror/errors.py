@@ -25,6 +25,10 @@ class EmptySourceError(TableMirrorError):
     """A mirror would delete a whole scope because the source has no row in it."""
 
 
+class ScanError(TableMirrorError):
+    """A folder is missing, or its storage cannot be listed in full."""
+
+
 class PublishError(TableMirrorError):
     """A version was not published; the store is as before."""
 

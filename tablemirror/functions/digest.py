@@ -13,13 +13,48 @@ from tablemirror.schemas import require_columns
 
 
 def is_wide_type(dt: T.DataType) -> bool:
-    """Text and binary columns: equal values and equal bytes are the same thing."""
-    return isinstance(dt, T.BinaryType) or dt == T.StringType()
+    """Columns of variable width whose digests are equal exactly where the values are: text,
+    binary, and arrays and structs with an array of fixed-width parts."""
+    if isinstance(dt, T.BinaryType) or dt == T.StringType():
+        return True
+    return isinstance(dt, (T.ArrayType, T.StructType)) and _nestable(dt)
 
 
-def digest_bytes(column: str) -> Column:
-    """SHA-256 of a text or binary column as 32 bytes; null stays null."""
-    return F.unhex(F.sha2(F.col(column), 256))
+def wide_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Columns outside the keys that are compared by digest unless the caller says otherwise."""
+    return [f.name for f in df.schema if f.name not in keys and is_wide_type(f.dataType)]
+
+
+def digest_bytes(column: str, dt: T.DataType | None = None) -> Column:
+    """SHA-256 of a column as 32 bytes; null stays null, and null is unlike empty.
+
+    Arrays and structs are digested as JSON with null fields kept, in which each value has
+    one form: both zeros are 0.0 and all NaN are one.
+    """
+    col = F.col(column)
+    if isinstance(dt, (T.ArrayType, T.StructType)):
+        whole = F.to_json(F.struct(_one_form(col, dt).alias("v")), {"ignoreNullFields": "false"})
+        col = F.when(col.isNotNull(), whole)
+    return F.unhex(F.sha2(col, 256))
+
+
+def _nestable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.ArrayType):
+        return _nestable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return bool(dt.fields) and all(_nestable(f.dataType) for f in dt)
+    return isinstance(dt, (T.NumericType, T.BooleanType, T.DateType))
+
+
+def _one_form(col: Column, dt: T.DataType) -> Column:
+    if isinstance(dt, T.ArrayType):
+        return F.transform(col, lambda x: _one_form(x, dt.elementType))
+    if isinstance(dt, T.StructType):
+        inner = [_one_form(col.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dt)]
+        return F.when(col.isNotNull(), F.struct(*inner))
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return col + F.lit(0.0).cast(dt)  # -0.0 and 0.0 are one value
+    return col
 
 
 def row_digest(df: DataFrame, cols: str | Sequence[str], name: str = "digest") -> DataFrame:
@@ -33,12 +68,19 @@ def row_digest(df: DataFrame, cols: str | Sequence[str], name: str = "digest") -
     if not cols:
         raise SchemaError("row_digest needs at least one column")
     require_columns(df, cols)
-    parts = [F.sha2(_canonical(df, c), 256) for c in cols]
+    parts = [_part(df, c) for c in cols]
     if len(parts) == 1:
         return df.withColumn(name, parts[0])
     return df.withColumn(name, F.sha2(F.concat(*[F.coalesce(p, F.lit("-")) for p in parts]), 256))
 
 
+def _part(df: DataFrame, column: str) -> Column:
+    dt = df.schema[column].dataType
+    if isinstance(dt, (T.ArrayType, T.StructType)) and _nestable(dt):
+        return F.lower(F.hex(digest_bytes(column, dt)))
+    return F.sha2(_canonical(df, column), 256)
+
+
 def _canonical(df: DataFrame, column: str) -> Column:
     """A text form that is equal exactly where the values are equal."""
     dt, col = df.schema[column].dataType, F.col(column)

@@ -8,10 +8,9 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablemirror.errors import SchemaError
-from tablemirror.functions.digest import digest_bytes, is_wide_type
+from tablemirror.functions.digest import digest_bytes, is_wide_type, wide_columns
 from tablemirror.operators.keys import check_sides, unique_row
 from tablemirror.schemas import (
     check_comparable,
@@ -39,21 +38,23 @@ def diff(
     """Key columns plus ``change``: added, deleted, modified or unchanged.
 
     ``compare`` lists the columns that count as content, by default all but the
-    keys. Columns in ``digest`` (text or binary; by default the binary ones) are
-    reduced to 32 bytes where they are read, so that wide values never enter the
-    shuffle; if a side holds the digest as ``<column>__sha256``, the value is not
-    read at all. All other columns are compared by value with ``<=>``.
+    keys. Columns in ``digest`` are reduced to 32 bytes where they are read, so that wide
+    values never enter the shuffle: by default all columns of text, bytes, and arrays or
+    structs of fixed-width types; ``digest=[]`` compares all by value. If a side holds the
+    digest as ``<column>__sha256``, the value is not read at all (where both sides hold one,
+    name the column: such columns may be content of their own). All other columns are
+    compared by value with ``<=>``.
 
     ``validate="source"`` leaves out the key check of the target, ``False`` that of both
     sides; a repeated key then multiplies rows. ``validate="inline"`` checks both sides
     within the shuffle and sort of the comparison itself: no job runs now and none is added,
     and a null or repeated key fails the job that reads the result. It is the cheaper check
-    where keys are all but sure; a key repeated very often is better found by the default,
-    which counts before it shuffles.
+    where keys are all but sure. The trade: a key repeated very often then gathers in one
+    task before it fails, while the default counts before it shuffles.
     """
     keys = key_list(keys)
     require_columns(source, keys)
-    wide = _wide_columns(source, keys, compare, digest)
+    wide = _wide_columns(source, target, keys, compare, digest)
     stored = [c + DIGEST_SUFFIX for c in wide]
     check_same_schema(source, target, ignore=stored)
     if compare is None:
@@ -100,23 +101,27 @@ def change_summary(
         by = []
     elif isinstance(by, (str, Column)):
         by = [by]
-    return changes.groupBy(*by, "change").agg(F.count("*").alias("n"))
+    counted = changes.groupBy(*by, "change").agg(F.count("*").alias("__n"))
+    if "n" in counted.columns:
+        raise SchemaError("a summary cannot be by a column named n, as the count is")
+    return counted.withColumnRenamed("__n", "n")
 
 
 def _wide_columns(
     df: DataFrame,
+    other: DataFrame,
     keys: Sequence[str],
     compare: Sequence[str] | None,
     digest: Sequence[str] | None,
 ) -> list[str]:
     if digest is None:
         return [
-            f.name
-            for f in df.schema
-            if isinstance(f.dataType, T.BinaryType)
-            and f.name not in keys
-            and not f.name.endswith(DIGEST_SUFFIX)
-            and (compare is None or f.name in compare)
+            c
+            for c in wide_columns(df, keys)
+            if not c.endswith(DIGEST_SUFFIX)
+            and (compare is None or c in compare)
+            # on both sides it may be content that only looks like a digest
+            and not (c + DIGEST_SUFFIX in df.columns and c + DIGEST_SUFFIX in other.columns)
         ]
     require_columns(df, digest)
     for c in digest:
@@ -130,4 +135,4 @@ def _content(df: DataFrame, column: str, wide: Sequence[str]) -> Column:
         return F.col(column)
     if column + DIGEST_SUFFIX in df.columns:
         return F.col(column + DIGEST_SUFFIX)
-    return digest_bytes(column)
+    return digest_bytes(column, df.schema[column].dataType)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablemirror.errors import KeyCheckError
+from tablemirror.errors import KeyCheckError, SchemaError
 from tablemirror.schemas import check_comparable, key_list, require_columns
 
 #: Setting: key sets measured at or below this many bytes are broadcast, larger ones shuffle.
@@ -37,7 +37,10 @@ def fits_broadcast(*sizes: KeyStats) -> bool:
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count ``n``."""
     keys = _checked(df, keys)
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    if "n" in keys:
+        raise SchemaError("a key column cannot be named n here, as the count is")
+    counted = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > 1)
+    return counted.withColumnRenamed("__n", "n")
 
 
 def null_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -91,11 +94,12 @@ def check_sides(
 
 
 def unique_row(df: DataFrame, keys: Sequence[str], side: str, name: str) -> DataFrame:
-    """Add column ``name``: true, or an error in the job that reads it if the key is unfit.
+    """Add column ``name``: true, or an error in any job that reads these rows if a key is unfit.
 
     A null key fails where it is read. Counting the rows of a key asks for the same
     partitioning and order as a sort-merge join by that key, so the check adds neither a
-    shuffle nor a sort in front of one.
+    shuffle nor a sort in front of one. Rows are filtered by the flag, so that no plan can
+    leave it out, whatever columns are asked for.
     """
 
     def fails(fault: str) -> Column:
@@ -105,7 +109,7 @@ def unique_row(df: DataFrame, keys: Sequence[str], side: str, name: str) -> Data
     named = F.when(any_null(keys), fails("null key").cast("boolean")).otherwise(True)
     n = F.count("*").over(Window.partitionBy(*keys))
     alone = F.when(n == 1, F.col(name)).otherwise(fails("duplicate key").cast("boolean"))
-    return df.withColumn(name, named).withColumn(name, alone)
+    return df.withColumn(name, named).withColumn(name, alone).filter(F.col(name))
 
 
 def _key_report(df: DataFrame, keys: str | Sequence[str], side: str) -> DataFrame:

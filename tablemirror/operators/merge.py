@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tablemirror.errors import EmptySourceError
 from tablemirror.operators.keys import check_sides, key_stats, split_stats
-from tablemirror.operators.scope import check_prefixes, in_scope, out_of_scope, require_scope_key
+from tablemirror.operators.scope import (
+    check_prefixes,
+    check_scope_column,
+    in_scope,
+    out_of_scope,
+    prefix_of,
+    require_scope_key,
+)
 from tablemirror.schemas import check_same_schema, has_wide_payload, key_list
 
 
@@ -33,19 +40,21 @@ def mirror(
     column: str = "path",
     allow_empty_source: bool = True,
     keys: str | Sequence[str] | None = None,
+    validate: bool | str = True,
 ) -> DataFrame:
     """The target with everything under ``prefix`` replaced by the source's rows there.
 
     Two filters and a union: nothing is shuffled. A scope that is empty in the
     source is emptied in the result; ``allow_empty_source=False`` raises instead.
-    With ``keys`` both sides are checked first; ``column`` must be one of them, so that
-    no row can change its scope.
+    The keys, by default ``column`` alone, are checked first as in ``upsert``; ``column`` must
+    be one of them, so that no row can change its scope.
     """
     prefixes = check_prefixes(prefix)
     check_same_schema(source, target)
-    if keys is not None:
-        require_scope_key(column, key_list(keys))
-        check_sides(source, target, keys, True)
+    check_scope_column(source, column)
+    keys = [column] if keys is None else key_list(keys)
+    require_scope_key(column, keys)
+    check_sides(source, target, keys, validate)
     if not allow_empty_source:
         refuse_empty(source, prefixes, column)
     return out_of_scope(target, prefixes, column).unionByName(in_scope(source, prefixes, column))
@@ -78,11 +87,8 @@ def without(
 
 
 def refuse_empty(source: DataFrame, prefixes: Sequence[str], column: str) -> None:
-    hits = (
-        in_scope(source, prefixes, column)
-        .agg(*[F.max(F.col(column).startswith(p)).alias(f"p{i}") for i, p in enumerate(prefixes)])
-        .first()
-    )
-    empty = [p for p, hit in zip(prefixes, hits) if not hit]
+    found = in_scope(source, prefixes, column).select(prefix_of(prefixes, column).alias("prefix"))
+    hits = {row["prefix"] for row in found.distinct().collect()}  # no more than there are prefixes
+    empty = [p for p in prefixes if p not in hits]
     if empty:
         raise EmptySourceError(f"the source has no row under {', '.join(empty)}")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tablemirror.errors import RuleError
 from tablemirror.operators.keys import check_sides, fits_broadcast, key_stats
 from tablemirror.operators.merge import refuse_empty, without
-from tablemirror.operators.required import required_rows
+from tablemirror.operators.required import named_or_in_scope, required_names
 from tablemirror.operators.scope import (
     check_prefixes,
     check_scope_column,
@@ -22,8 +22,6 @@ from tablemirror.operators.scope import (
 from tablemirror.schemas import check_same_schema, key_list
 
 UPSERT, MIRROR = "upsert", "mirror"
-#: Rules become filter terms of one query, so the list has to stay small.
-MAX_RULES = 1000
 
 
 class Rule(NamedTuple):
@@ -33,16 +31,16 @@ class Rule(NamedTuple):
 
 
 def load_rules(table: DataFrame) -> list[Rule]:
-    """Rules from a small control table with columns ``seq, prefix, mode``."""
-    rows = table.select("seq", "prefix", "mode").limit(MAX_RULES + 1).collect()
-    return check_rules([Rule(*r) for r in rows])
+    """Rules from a control table with columns ``seq, prefix, mode``.
+
+    The driver holds the list and every plan carries its prefixes.
+    """
+    return check_rules([Rule(*r) for r in table.select("seq", "prefix", "mode").collect()])
 
 
 def check_rules(rules: Sequence[Rule | tuple[int, str, str]]) -> list[Rule]:
     """The rules in order; raise on an unknown mode, a bad prefix or an overlap."""
     rules = sorted(Rule(*r) for r in rules)
-    if len(rules) > MAX_RULES:
-        raise RuleError(f"more than {MAX_RULES} rules")
     for rule in rules:
         if rule.mode not in (UPSERT, MIRROR):
             raise RuleError(f"rule {rule.seq}: unknown mode {rule.mode!r}")
@@ -100,14 +98,15 @@ def run_plan(
     if required is not None:
         if set(required.columns) != set(keys):
             raise RuleError(f"the required list must have the key columns {', '.join(keys)}")
-        named, size = required_rows(source, required, keys, bool(validate))
-        named = _outside(named, scopes, column)  # rows under a rule come in by it
-        incoming.append(named)
-        # Once checked, the list itself is the set of keys that arrive.
-        listed = _outside(required, scopes, column) if validate else named
-        arriving.append(listed.select(*keys))
+        names, size = required_names(source, required, keys, bool(validate))
+        # What arrives is bounded by the list, however often the source repeats a key.
+        listed = _outside(names, scopes, column)
+        if not validate:
+            listed = listed.join(source.select(*keys).distinct(), keys, "left_semi")
+        arriving.append(listed.select(*keys).distinct())
         sizes.append(size)
-    if scopes:
+        incoming.append(named_or_in_scope(source, names, keys, size, scopes, column))
+    elif scopes:
         incoming.append(in_scope(source, scopes, column))
 
     if not arriving:

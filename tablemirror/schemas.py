@@ -15,6 +15,10 @@ def key_list(keys: str | Sequence[str]) -> list[str]:
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
+    columns = list(columns)
+    dotted = [c for c in {*columns, *df.columns} if "." in c or "`" in c]
+    if dotted:
+        raise SchemaError(f"rename columns with a dot or a backquote: {', '.join(sorted(dotted))}")
     absent = [c for c in columns if c not in df.columns]
     if absent:
         raise SchemaError(f"no such column: {', '.join(absent)}")

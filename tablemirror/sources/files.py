@@ -2,58 +2,127 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.sources.paths import absolute, listing
+from tablemirror.errors import ScanError
+from tablemirror.sources import paths
+from tablemirror.workers import ship
+
+LIST, SKIP = "list", "skip"
+_NAMES = 8192  # rows of a batch of names
+_BYTES = 16 << 20  # bytes of a batch of contents
+
+_LISTED = "path string, folder boolean, modified timestamp, length bigint"
+_ARROW = pa.schema([
+    ("path", pa.string()), ("folder", pa.bool_()),
+    ("modified", pa.timestamp("us", "UTC")), ("length", pa.int64()),
+])
 
 
-def scan_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
+def scan_files(spark: SparkSession, root: str, content: bool = False, hidden: str = LIST) -> DataFrame:
     """One row per file below ``root``: ``path`` relative to it, ``modified``, ``length``.
 
     ``content=True`` adds the bytes; a file over 2 GB then fails, while listing
     has no such limit. Compare trees with ``compare=["content"]``, since a new
-    time stamp alone is no change. Empty files are rows of length 0, without a time
-    stamp; empty folders are none. Files and folders whose name starts with a dot or
-    an underscore are skipped, as everywhere in Spark. A missing root raises.
+    time stamp alone is no change. Names that begin with a dot or an underscore and empty
+    files are rows like all others; empty folders are none. A missing root raises.
 
-    Spark keeps the file listing on the driver; very large trees are better scanned
-    one folder at a time.
+    Executors list the tree level by level, one row per folder, so that no list of names
+    sits on the driver; the rows of a level are kept (persisted) for the next one. This is
+    Python code over pyarrow's file systems (local, HDFS, S3 and others). A storage that it
+    does not know raises ``ScanError`` unless ``hidden="skip"`` is given: then Spark's own
+    reader lists the tree, without names that begin with a dot or an underscore and
+    without empty files.
     """
-    base = absolute(spark, root).rstrip("/") + "/"
-    found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    if hidden not in (LIST, SKIP):
+        raise ScanError(f"hidden must be {LIST!r} or {SKIP!r}, not {hidden!r}")
+    if not paths.exists(spark, root):
+        raise ScanError(f"no such folder: {root}")
+    if hidden == SKIP:
+        return _by_reader(spark, root, content)
+    uri = paths.qualified(spark, root)
+    try:
+        arrow_fs.FileSystem.from_uri(uri)
+    except (OSError, ValueError, pa.ArrowException) as unknown:
+        raise ScanError(
+            f"{uri} cannot be listed with hidden names; hidden={SKIP!r} scans it without them"
+        ) from unknown
+    ship(spark)
+    level = spark.createDataFrame([("",)], "path string")
+    found = []
+    while True:
+        below = level.mapInArrow(lambda batches: _children(uri, batches), _LISTED).persist()
+        found.append(below.filter("not folder").select("path", "modified", "length"))
+        level = below.filter("folder").select("path").repartition("path")
+        if level.isEmpty():
+            break
+    files = reduce(DataFrame.union, found)
+    if not content:
+        return files
+    spread = files.repartition("path")
+    return spread.mapInArrow(
+        lambda batches: _contents(uri, batches),
+        "path string, modified timestamp, length bigint, content binary",
     )
+
+
+def _children(uri: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies directly in each folder."""
+    files, base = arrow_fs.FileSystem.from_uri(uri)
+    base = base.rstrip("/")
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            inside = files.get_file_info(arrow_fs.FileSelector(f"{base}/{folder}"))
+            for at in range(0, len(inside), _NAMES):
+                part = inside[at : at + _NAMES]
+                is_folder = [i.type == arrow_fs.FileType.Directory for i in part]
+                columns = [
+                    [f"{folder}{i.base_name}{'/' if d else ''}" for i, d in zip(part, is_folder)],
+                    is_folder,
+                    [i.mtime for i in part],
+                    [0 if d else i.size for i, d in zip(part, is_folder)],
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
+                )
+
+
+def _contents(uri: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the bytes of their files, a bounded number of bytes at a time."""
+    files, base = arrow_fs.FileSystem.from_uri(uri)
+    base = base.rstrip("/")
+    for batch in batches:
+        held, size, start = [], 0, 0
+        for i, path in enumerate(batch.column(0).to_pylist()):
+            with files.open_input_stream(f"{base}/{path}", compression=None) as stream:
+                held.append(stream.read())
+            size += len(held[-1])
+            if size >= _BYTES or i == batch.num_rows - 1:
+                rows = batch.slice(start, len(held))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(held, pa.binary())], [*batch.schema.names, "content"]
+                )
+                held, size, start = [], 0, i + 1
+
+
+def _by_reader(spark: SparkSession, root: str, content: bool) -> DataFrame:
+    base = paths.absolute(spark, root).rstrip("/") + "/"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     files = found.select(
         _below(base, F.col("path")).alias("path"),
         F.col("modificationTime").alias("modified"),
         "length",
         "content",
     )
-    listed, names = listing(found)
-    if listed > files.count():
-        files = files.unionByName(_empty_files(names, files, base))
     return files if content else files.drop("content")
 
 
-def _empty_files(names: DataFrame, files: DataFrame, base: str) -> DataFrame:
-    """Listed files without a row: the reader gives none for a file of length 0."""
-    plain = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
-    last = F.substring_index("path", "/", -1)
-    hidden = last.startswith(".") | (last.startswith("_") & ~last.contains("="))
-    return (
-        names.select(_below(base, plain).alias("path"))
-        .filter(~hidden)
-        .join(files.select("path"), "path", "left_anti")
-        .select(
-            "path",
-            F.lit(None).cast("timestamp").alias("modified"),
-            F.lit(0).cast("bigint").alias("length"),
-            F.lit(b"").alias("content"),
-        )
-    )
-
-
 def _below(base: str, location: Column) -> Column:
     """The part of a file's location that follows ``base``, whatever the scheme."""
     path = F.regexp_replace(location, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")

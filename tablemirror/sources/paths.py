@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -17,6 +17,12 @@ def absolute(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toUri().getPath()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """Absolute form with scheme and host, as a URI."""
+    fs, p = _resolve(spark, path)
+    return fs.makeQualified(p).toUri().toASCIIString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _resolve(spark, path)
     return fs.exists(p)
@@ -27,17 +33,10 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def listing(df: DataFrame) -> tuple[int, DataFrame]:
-    """Number and names of the files ``df`` was told to read, empty ones included.
-
-    The names go from Spark's own file listing into a table without passing Python.
-    """
-    spark = df.sparkSession
-    names = df._jdf.inputFiles()
-    rows = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(names)
-    text = spark._jvm.org.apache.spark.sql.Encoders.STRING()
-    table = spark._jsparkSession.createDataset(rows, text).toDF()
-    return len(names), DataFrame(table, spark).toDF("name")
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver's JVM delete ``path`` when it ends."""
+    fs, p = _resolve(spark, path)
+    fs.deleteOnExit(p)
 
 
 def join(root: str, *steps: str) -> str:

@@ -1,16 +1,20 @@
 """A store of published versions.
 
-    <store>/snapshots/version=N/   one full snapshot, Parquet
-    <store>/history/               one row per published version, Parquet
-
-A version exists once its history row does. The row is written last and readers
-go through it, so a snapshot that is half written, or whose publication failed, is
-never seen and is overwritten by the next attempt. Plain files offer no
-compare-and-swap: a store may have any number of readers but one writer at a time.
+    <store>/snapshots/N-<attempt>/   one full snapshot, Parquet
+    <store>/history/                 one row per published version, Parquet
+
+A version exists once its history row does; the row names the snapshot's folder. It is
+written last and readers go through it, so a snapshot that is half written, or whose
+publication failed, is never seen. Every attempt writes to a folder of its own and deletes
+no other: a writer that is refused leaves all published versions as they were. Plain files
+offer no compare-and-swap: two writers that append their rows in the same moment can
+still both count as the next version, so a store has any number of readers but is meant for
+one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import SparkRuntimeException
@@ -26,7 +30,7 @@ from tablemirror.errors import (
     SchemaError,
     StaleParentError,
 )
-from tablemirror.functions.digest import digest_bytes, is_wide_type
+from tablemirror.functions.digest import digest_bytes, is_wide_type, wide_columns
 from tablemirror.operators.diff import (
     ADDED,
     DELETED,
@@ -52,14 +56,19 @@ HISTORY_SCHEMA = T.StructType(
         T.StructField("n_deleted", T.LongType()),
     ]
 )
+_STORED_SCHEMA = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("folder", T.StringType())])
 
 
 def history(spark: SparkSession, store: str) -> DataFrame:
     """Published versions; empty for a store that has none yet."""
+    return _rows(spark, store).select(*HISTORY_SCHEMA.names)
+
+
+def _rows(spark: SparkSession, store: str) -> DataFrame:
     where = paths.join(store, "history")
     if not paths.exists(spark, where):
-        return _empty(spark, HISTORY_SCHEMA)
-    return spark.read.schema(HISTORY_SCHEMA).parquet(where)
+        return _empty(spark, _STORED_SCHEMA)
+    return spark.read.schema(_STORED_SCHEMA).parquet(where)
 
 
 def latest_version(spark: SparkSession, store: str) -> int:
@@ -79,9 +88,9 @@ def read_latest(
     an empty table. ``with_digests=True`` keeps the stored ``__sha256`` columns, for
     ``diff(..., digest=[...])``.
     """
-    version = latest_version(spark, store)
-    if version:
-        return _read(spark, store, version, with_digests)
+    newest = _rows(spark, store).agg(F.max(F.struct("version", "folder"))).first()[0]
+    if newest and newest["version"]:
+        return _read(spark, store, newest["folder"], with_digests)
     if schema is None:
         raise PublishError(f"nothing has been published in {store}")
     return _empty(spark, schema)
@@ -97,7 +106,7 @@ def publish(
     keys: str | Sequence[str],
     digest: Sequence[str] | None = None,
     cluster: bool = False,
-    validate: bool | str = True,
+    validate: bool | str | None = None,
     allow_empty: bool = False,
 ) -> int:
     """Write ``result`` as the version after ``parent``, or nothing; return its number.
@@ -107,45 +116,51 @@ def publish(
     key, and a result equal to the parent (``allow_empty=True`` returns the parent's
     number instead).
 
-    Columns in ``digest`` (by default the binary ones) get a stored SHA-256, so that
+    Columns in ``digest`` (by default as in ``diff``) get a stored SHA-256, so that
     this and later comparisons of versions read 32 bytes in place of the value.
     ``cluster=True`` range-partitions and sorts by key, which costs a shuffle
     and lets prefix filters on the version skip files and row groups.
-    ``validate="inline"`` checks the keys within the comparison, as in ``diff``.
+    The keys are checked within the comparison with the parent (``validate="inline"``, see
+    ``diff``) unless ``validate=True`` asks for a job of its own; a first version has nothing
+    to be compared with and always takes that job.
     """
     spark = result.sparkSession
     keys = key_list(keys)
     if not message:
         raise EmptyMessageError("a version needs a message")
+    validate = INLINE if validate is None else validate
     if validate not in (True, False, INLINE):
         raise KeyCheckError(f"validate must be True, False or {INLINE!r}, not {validate!r}")
     _refuse_stale(spark, store, parent)
     require_columns(result, keys)
     check_comparable(result, [c for c in result.columns if c not in keys])
     wide = _digest_columns(result, keys, digest)
-    before = _read(spark, store, parent, True) if parent else None
+    before = _read(spark, store, _folder(spark, store, parent), True) if parent else None
     if before is not None:
         check_same_schema(result, _plain(before))
 
     version = parent + 1
-    where = _where(store, version)
-    rows = result.withColumns({c + DIGEST_SUFFIX: digest_bytes(c) for c in wide}) if wide else result
+    folder = f"{version}-{uuid.uuid4().hex}"
+    where = paths.join(store, "snapshots", folder)
+    rows = result.withColumns(
+        {c + DIGEST_SUFFIX: digest_bytes(c, result.schema[c].dataType) for c in wide}
+    ) if wide else result
     if cluster:
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    rows.write.mode("overwrite").parquet(where)
     try:
+        rows.write.parquet(where)
         written = spark.read.schema(rows.schema).parquet(where)
         counts = _count_changes(written, before, keys, wide, validate)
         if not any(counts.values()) and not allow_empty:
             raise NothingChangedError(f"nothing changed since version {parent}")
+        _refuse_stale(spark, store, parent)
     except Exception:
         paths.delete(spark, where)
         raise
     if not any(counts.values()):
         paths.delete(spark, where)
         return parent
-    _refuse_stale(spark, store, parent)
-    _append_history(spark, store, version, parent, message, author, counts)
+    _append_history(spark, store, version, parent, message, author, counts, folder)
     return version
 
 
@@ -176,7 +191,7 @@ def _count_changes(
     return counts
 
 
-def _append_history(spark, store, version, parent, message, author, counts) -> None:
+def _append_history(spark, store, version, parent, message, author, counts, folder) -> None:
     values = {
         "version": F.lit(version),
         "parent": F.lit(parent),
@@ -186,9 +201,10 @@ def _append_history(spark, store, version, parent, message, author, counts) -> N
         "n_added": F.lit(counts[ADDED]),
         "n_modified": F.lit(counts[MODIFIED]),
         "n_deleted": F.lit(counts[DELETED]),
+        "folder": F.lit(folder),
     }
     row = spark.range(1).select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA]
+        *[values[f.name].cast(f.dataType).alias(f.name) for f in _STORED_SCHEMA]
     )
     row.coalesce(1).write.mode("append").parquet(paths.join(store, "history"))
 
@@ -206,11 +222,7 @@ def _digest_columns(
     if reserved:
         raise SchemaError(f"reserved column name: {', '.join(reserved)}")
     if digest is None:
-        return [
-            f.name
-            for f in result.schema
-            if isinstance(f.dataType, T.BinaryType) and f.name not in keys
-        ]
+        return wide_columns(result, keys)
     require_columns(result, digest)
     for c in digest:
         if c in keys or not is_wide_type(result.schema[c].dataType):
@@ -218,8 +230,12 @@ def _digest_columns(
     return list(digest)
 
 
-def _read(spark: SparkSession, store: str, version: int, with_digests: bool) -> DataFrame:
-    df = spark.read.parquet(_where(store, version))
+def _folder(spark: SparkSession, store: str, version: int) -> str:
+    return _rows(spark, store).filter(F.col("version") == version).agg(F.max("folder")).first()[0]
+
+
+def _read(spark: SparkSession, store: str, folder: str, with_digests: bool) -> DataFrame:
+    df = spark.read.parquet(paths.join(store, "snapshots", folder))
     return df if with_digests else _plain(df)
 
 
@@ -230,7 +246,3 @@ def _plain(df: DataFrame) -> DataFrame:
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
     return spark.range(0).select(*columns).filter(F.lit(False))
-
-
-def _where(store: str, version: int) -> str:
-    return paths.join(store, "snapshots", f"version={version}")

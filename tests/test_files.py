@@ -1,8 +1,8 @@
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import tablemirror as tm
+from tablemirror.errors import ScanError
 from trees import changes_of
 
 FILES = {
@@ -40,15 +40,20 @@ def test_content(spark, root):
 
 def test_names_that_spark_hides(spark, root):
     write(root, {".hidden": b"x", "logs/_tmp": b"x", "_folder/file": b"x"})
-    assert {r.path for r in tm.scan_files(spark, str(root)).collect()} == FILES.keys()
+    everything = FILES.keys() | {".hidden", "logs/_tmp", "_folder/file"}
+    assert {r.path for r in tm.scan_files(spark, str(root)).collect()} == everything
+    plain = tm.scan_files(spark, str(root), hidden="skip")
+    assert {r.path for r in plain.filter("length > 0").collect()} == {p for p, c in FILES.items() if c}
+    with pytest.raises(ScanError):
+        tm.scan_files(spark, str(root), hidden="drop")
 
 
 def test_empty_files_with_awkward_names(spark, root):
     names = {"a+b %25 ü.log", "50%", "logs/x=1/_k=v", "logs/#1?.txt"}
     write(root, {name: b"" for name in names} | {"logs/_metadata": b""})
     rows = tm.scan_files(spark, str(root), content=True).filter("length = 0").collect()
-    assert {r.path for r in rows} == names | {"logs/deep/er/50%.log"}
-    assert all(r.content == b"" and r.modified is None for r in rows)
+    assert {r.path for r in rows} == names | {"logs/deep/er/50%.log", "logs/_metadata"}
+    assert all(r.content == b"" and r.modified is not None for r in rows)
 
 
 def test_an_empty_folder_is_no_row(spark, root):
@@ -57,7 +62,7 @@ def test_an_empty_folder_is_no_row(spark, root):
 
 
 def test_missing_root_raises(spark, tmp_path):
-    with pytest.raises(AnalysisException):
+    with pytest.raises(ScanError):
         tm.scan_files(spark, str(tmp_path / "nowhere"))
 
 
@@ -75,11 +80,11 @@ def test_trees_differ_by_content_not_by_time(spark, root, tmp_path):
 
 
 def test_listing_does_not_read_content(spark, root):
-    (root / "logs/deep/er/50%.log").write_bytes(b"x")
+    (root / "code/日本 ü.md").chmod(0)
     plan = tm.scan_files(spark, str(root))._jdf.queryExecution().executedPlan().toString()
-    assert "binaryFile" in plan
     assert "content" not in plan
-    assert "Join" not in plan  # no empty file, so nothing to look up
+    assert "Join" not in plan
+    assert tm.scan_files(spark, str(root)).count() == len(FILES)
 
 
 def test_the_whole_round(spark, root, tmp_path):

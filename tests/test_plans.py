@@ -219,7 +219,7 @@ def test_clustered_versions_have_disjoint_files(spark, snapshots, tmp_path):
     store = str(tmp_path / "store")
     tm.publish(snapshots[1], store, "m", "a", 0, keys="path", digest=["text"], cluster=True)
     ranges = []
-    for file in (tmp_path / "store/snapshots/version=1").glob("*.parquet"):
+    for file in (tmp_path / "store/snapshots").glob("1-*/*.parquet"):
         meta = pq.ParquetFile(file).metadata
         for g in range(meta.num_row_groups):
             stats = meta.row_group(g).column(0).statistics
@@ -228,8 +228,47 @@ def test_clustered_versions_have_disjoint_files(spark, snapshots, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+OVER_FILES = {"scan_files", "scan_content"}  # list and read files in Python, by design
+
+
+@pytest.mark.parametrize("name", [q.__name__ for q in entry_points._QUERIES])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry_points.queries()[name](spark, SF))
-    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    python = () if name in OVER_FILES else ("Python", "Pandas", "Arrow")
+    for word in (*python, "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text
+
+
+def test_a_long_list_of_prefixes_still_limits_the_scan(snapshots):
+    prefixes = [f"src1{i:03}/" for i in range(400)]
+    df = tm.in_scope(snapshots[0], prefixes)
+    assert "GreaterThanOrEqual(path,src1000/)" in pushed(df)
+    assert "LessThan(path,src13990)" in pushed(df)
+
+
+def test_an_unchecked_required_list_bounds_its_broadcast(spark, snapshots):
+    """A source that repeats the named key often must not get into the broadcast."""
+    one = snapshots[0].limit(1).select("path")
+    often = snapshots[0].join(one, "path").crossJoin(spark.range(2000)).drop("id")
+    source = snapshots[0].unionByName(often)
+    df = tm.run_plan(source, snapshots[1], "path", [(1, "src2/", "upsert")], required=one, validate=False)
+    blocks = [b for b in plan(df).split("\n\n") if ") BroadcastExchange" in b.split("\n")[0]]
+    assert blocks
+    names = df.sparkSession.createDataFrame(one.collect(), one.schema)
+    listed = names.join(source.select("path").distinct(), "path", "left_semi")
+    assert listed.count() == 1  # what is broadcast for the list: its own rows
+
+
+def test_a_plan_with_a_list_reads_the_source_once_for_its_payload(snapshots):
+    names = snapshots[0].limit(50).select("path")
+    df = tm.run_plan(*snapshots, "path", entry_points.RULES, required=names, validate=False)
+    with_text = [s for s in read_schemas(df) if "text" in s]
+    assert len(with_text) == 2  # the target and the source, once each
+
+
+def test_vectors_are_compared_by_digest(spark):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    df = tm.diff(vectors, vectors.withColumn("label", -vectors.label), "vec_id")
+    exchanges = [b for b in plan(df).split("\n\n") if ") Exchange" in b.split("\n")[0]]
+    assert exchanges
+    assert not any("embedding#" in b for b in exchanges)

@@ -42,8 +42,8 @@ def test_duplicate_key(tree, repeated):
         with pytest.raises(KeyCheckError, match="duplicate"):
             tm.run_plan(*sides, "path", [(1, "a/", "mirror")])
         with pytest.raises(KeyCheckError, match="duplicate"):
-            tm.mirror(*sides, "b/", keys="path")
-    assert tm.mirror(tree, repeated, "b/").count() == 4
+            tm.mirror(*sides, "b/")
+    assert tm.mirror(tree, repeated, "b/", validate=False).count() == 4
     with pytest.raises(KeyCheckError, match="source"):
         tm.diff(repeated, tree, "path", validate="source")
     assert tm.diff(tree, repeated, "path", validate="source").count() == 0
@@ -58,9 +58,16 @@ def test_keys_checked_inline_fail_the_job(tree, repeated, nameless):
         ((tree, nameless), 'target: null key.*"path":null'),
     ):
         changes = tm.diff(*sides, "path", validate="inline")  # nothing runs yet
-        for read in (lambda df: df.collect(), lambda df: tm.change_summary(df).collect()):
+        every = tm.diff(*sides, "path", keep_unchanged=True, validate="inline")
+        for read in (
+            lambda: changes.collect(),
+            lambda: tm.change_summary(changes).collect(),
+            lambda: every.count(),
+            lambda: every.select("path").collect(),
+            lambda: every.agg(F.count("*")).collect(),
+        ):
             with pytest.raises(SparkRuntimeException, match=fault):
-                read(changes)
+                read()
     with pytest.raises(KeyCheckError, match="validate"):
         tm.upsert(tree, tree, "path", validate="inline")
 
@@ -95,7 +102,7 @@ def test_null_in_one_of_two_key_columns(spark):
 
 
 def test_a_row_with_a_null_path_is_not_lost_by_a_mirror(tree, nameless):
-    assert tm.mirror(tree, nameless, "a/").filter("path is null").count() == 1
+    assert tm.mirror(tree, nameless, "a/", validate="source").filter("path is null").count() == 1
     assert tm.out_of_scope(nameless, "a/").count() == 1
 
 
@@ -216,3 +223,55 @@ def test_keys_are_not_content(tree):
         tm.diff(tree, tree, "path", compare=["path"])
     with pytest.raises(SchemaError):
         tm.diff(tree, tree, "path", digest=["path"])
+
+
+@pytest.mark.parametrize("count", [400, 5000])
+def test_long_lists_of_rules(spark, count):
+    """Prefixes of several lengths, look-alikes among them."""
+    prefixes = [f"d{i}/" for i in range(count)]
+    source = spark.range(0, count, 7).select(F.format_string("d%d/s", "id").alias("path"), F.lit("s").alias("text"))
+    target = spark.createDataFrame([("d7/t", "t"), ("d70/t", "t"), ("d9999999/t", "t"), ("top", "t")], "path string, text string")
+    expected = {r.path for r in source.collect()} | {"d9999999/t", "top"}
+    rules = [(i, p, "mirror") for i, p in enumerate(prefixes)]
+    assert {r.path for r in tm.run_plan(source, target, "path", rules).collect()} == expected
+    assert {r.path for r in tm.mirror(source, target, prefixes).collect()} == expected
+    assert {r.path for r in tm.in_scope(target, prefixes).collect()} == {"d7/t", "d70/t"}
+    assert {r.path for r in tm.out_of_scope(target, prefixes).collect()} == {"d9999999/t", "top"}
+    with pytest.raises(EmptySourceError, match="d1/"):
+        tm.mirror(source, target, prefixes, allow_empty_source=False)
+
+
+def test_columns_named_n_or_with_a_dot(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y")], "n int, text string")
+    with pytest.raises(SchemaError, match="named n"):
+        tm.duplicate_keys(df, "n")
+    with pytest.raises(KeyCheckError, match="duplicate"):
+        tm.check_keys(df, "n")
+    changes = tm.diff(df.limit(1), df.limit(0), "n")
+    with pytest.raises(SchemaError, match="named n"):
+        tm.change_summary(changes, by="n")
+    dotted = df.withColumnRenamed("text", "v.w")
+    with pytest.raises(SchemaError, match="dot"):
+        tm.diff(dotted, dotted, "n")
+
+
+def test_scopes_inside_each_other_and_at_the_top(spark):
+    paths = ["a/b/c", "a/x", "ab/y", "index.txt", None]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    scope = tm.scope_of(prefixes=["a/", "a/b/"])
+    assert [r[0] for r in df.select(scope).collect()] == ["a/b", "a", "ab", ".", None]
+    assert [r[0] for r in df.select(tm.scope_of()).collect()] == ["a", "a", "ab", ".", None]
+
+
+def test_digests_of_arrays_follow_their_values(spark):
+    df = spark.createDataFrame(
+        [(0, [0.0, 1.5]), (1, [-0.0, 1.5]), (2, [float("nan")]), (3, []), (4, None), (5, [None])],
+        "id int, v array<double>",
+    )
+    digest = {r.id: r.digest for r in tm.row_digest(df, "v").collect()}
+    assert digest[0] == digest[1]
+    assert digest[4] is None
+    assert len({digest[i] for i in (0, 2, 3, 4, 5)}) == 5
+    moved = df.withColumn("v", F.when(F.col("id") == 3, None).otherwise(F.col("v")))
+    assert [r.id for r in tm.diff(df, moved, "id").collect()] == [3]
+    assert tm.diff(df, df.withColumn("v", F.transform("v", lambda x: -(-x))), "id").count() == 0

@@ -49,7 +49,7 @@ def test_round_trip(spark, store, digest, cluster, validate):
     assert (last.message, last.author) == (" ", "ann")
     assert last.published_at is not None
     stored = tm.read_latest(spark, store, with_digests=True)
-    assert ("text" + DIGEST_SUFFIX in stored.columns) == bool(digest)
+    assert ("text" + DIGEST_SUFFIX in stored.columns) == (digest != [])
     assert tm.diff(snapshot(spark, two), stored, "path", digest=["text"]).count() == 0
     changed = tm.diff(snapshot(spark, one), stored, "path", digest=["text"])
     assert changed.count() == 3
@@ -99,7 +99,7 @@ def test_nothing_changed(spark, store):
     with pytest.raises(NothingChangedError):
         put(tree, store, 1)
     assert put(tree, store, 1, allow_empty=True) == 1
-    assert os.listdir(f"{store}/snapshots") == ["version=1"]
+    assert [name.split("-")[0] for name in os.listdir(f"{store}/snapshots")] == ["1"]
     assert len(versions(spark, store)) == 1
 
 
@@ -118,6 +118,29 @@ def test_stale_parent(spark, store):
     assert as_dict(tm.read_latest(spark, store)) == {"a/1": "y"}
 
 
+@pytest.mark.parametrize("mine", [{"a/1": "mine"}, {"a/1": "x"}])
+def test_a_competitor_is_not_harmed(spark, store, monkeypatch, mine):
+    """Another writer publishes version 2 after this one's first look at the history."""
+    from tablemirror.sources import store as store_module
+
+    put(snapshot(spark, {"a/1": "x"}), store, 0)
+    check, calls = store_module._refuse_stale, []
+
+    def late(*args):
+        check(*args)
+        calls.append(1)
+        if len(calls) == 1:
+            monkeypatch.setattr(store_module, "_refuse_stale", check)
+            assert put(snapshot(spark, {"a/1": "theirs"}), store, 1) == 2
+
+    monkeypatch.setattr(store_module, "_refuse_stale", late)
+    with pytest.raises((StaleParentError, NothingChangedError)):
+        put(snapshot(spark, mine), store, 1)
+    assert as_dict(tm.read_latest(spark, store)) == {"a/1": "theirs"}
+    assert [v[0] for v in versions(spark, store)] == [1, 2]
+    assert len(os.listdir(f"{store}/snapshots")) == 2
+
+
 def test_refused_rows_leave_no_trace(spark, store):
     put(snapshot(spark, {"a/1": "x"}), store, 0)
     twice = snapshot(spark, {"a/1": "y"}).unionByName(snapshot(spark, {"a/1": "z"}))
@@ -130,7 +153,7 @@ def test_refused_rows_leave_no_trace(spark, store):
         put(snapshot(spark, {"a/1": "y"}).withColumn("more", F.lit(1)), store, 1)
     with pytest.raises(SchemaError, match="reserved"):
         put(snapshot(spark, {"a/1": "y"}).withColumn("text__sha256", F.lit(1)), store, 1)
-    assert os.listdir(f"{store}/snapshots") == ["version=1"]
+    assert [name.split("-")[0] for name in os.listdir(f"{store}/snapshots")] == ["1"]
     assert as_dict(tm.read_latest(spark, store)) == {"a/1": "x"}
 
 
@@ -144,7 +167,7 @@ def test_a_map_is_refused_before_anything_is_written(spark, store):
 def test_a_version_without_history_is_never_seen(spark, store):
     put(snapshot(spark, {"a/1": "x"}), store, 0)
     orphan = snapshot(spark, {"a/1": "half", "a/2": "written"})
-    orphan.write.parquet(f"{store}/snapshots/version=2")
+    orphan.write.parquet(f"{store}/snapshots/2-half-written")
     assert as_dict(tm.read_latest(spark, store)) == {"a/1": "x"}
     assert put(snapshot(spark, {"a/1": "y"}), store, 1) == 2
     assert as_dict(tm.read_latest(spark, store)) == {"a/1": "y"}
