@@ -6,18 +6,22 @@ the result is the connected component of each document. The work is on distinct
 
 1. Order. Any fixed order of the shingles gives exact prefixes: two linked sets share a
    shingle among the first ``n - ceil(0.8 n) + 1`` of each. Shingles go by hash, except that
-   those found in over ``HOT`` of the documents come last, so that a passage which a third of
-   the corpus shares is no meeting place. At most (mean set size / HOT) shingles can be hot,
-   whatever the size of the corpus; that list alone goes to every task.
-2. Stars. Classes that share a prefix shingle are compared with one of them only. Verified
-   links are joined to components at once. A group of thousands of near copies is linked by
-   as many comparisons as it has members, not by all its pairs.
+   those found in ``HOT_DOCS`` documents or more come last, so that a passage which many
+   documents share is no meeting place. Of these the ``MAX_HOT`` most frequent are listed, a
+   list of bounded size that goes to every task; any list gives whole results.
+2. Stars. Classes that share a prefix shingle are compared with one of them only, then those
+   still apart with a few of the largest component that they meet. Verified links are joined
+   to components at once. A group of thousands of near copies is linked by a few
+   comparisons for each member, not by all its pairs.
 3. Trees. Where classes of different components still share a prefix shingle, each group is
    dealt to blocks of bounded size, and each pair of blocks builds signature trees: leaves
    are classes in order of size, a node holds the OR of its leaves' bitmaps, their range of
    sizes and their component if it is one. Two trees are traversed together from the top; a
    pair of nodes is pruned if sizes or the largest possible overlap rule out a link, or if all
    its leaves are of one component. Surviving pairs of leaves are verified by their sets.
+   Most groups hold a few classes, whose tree is one node over its leaves: their pairs of
+   leaves are made for all such groups of a batch at once, and since documents mostly meet
+   in several groups, the distinct pairs fetch their bitmaps once for the same bound.
 
 Shingles are 64-bit hashes: sizes and links are exact but for their collisions. Sets are made
 anew from the texts of the classes in question, not stored.
@@ -33,15 +37,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemirror.llm.common import arrow_map, components, stored
+from tablemirror.llm.common import arrow_map, components, ship, stored
 
 WORDS = 5
-#: Share of the documents from which a shingle is hot.
-HOT = 0.001
+#: Documents from which a shingle is hot, and hot shingles that are listed at most (8 MB).
+HOT_DOCS, MAX_HOT = 24, 1_000_000
+#: Members of the largest component that a class still apart is compared with, by round.
+STARS = (1, 4, 4)
 #: Classes of one block of a group.
 BLOCK = 1024
 #: Children of a node.
@@ -135,30 +142,25 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- passes over the texts
 
 
-def hot_shingles(docs: DataFrame, share: float = HOT) -> np.ndarray:
-    """Shingles of over ``share`` of the documents.
+def hot_shingles(docs: DataFrame) -> np.ndarray:
+    """Shingles of HOT_DOCS documents or more, the most frequent MAX_HOT of them.
 
-    Counted over all documents, but what is rare within a batch is not handed on, so a count
-    may be too low; the order of the shingles decides what is compared early, never what is
-    found.
+    Counted over all documents, copies within a batch once. What a batch of thousands of
+    documents holds less than three times is not handed on, so a count may be too low; the
+    order of the shingles decides where classes meet, never which are found.
     """
 
     def each(texts):
-        sets = [s for s in shingle_sets(texts) if len(s)]
-        distinct = {s.tobytes(): s for s in sets}
+        distinct = {s.tobytes(): s for s in shingle_sets(texts) if len(s)}
         if not distinct:
-            return [[0], [len(texts)], [0]]
+            return [[], []]
         found, n = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-        often = n >= max(3, share * len(texts) / 2)
-        tokens = found[often].view(np.int64)
-        return [[0, *tokens.tolist()], [len(texts), *n[often].tolist()], [0, *[1] * len(tokens)]]
-
-    counted = arrow_map(docs.select("text"), each, "token long, n long, kind int")
-    total = docs.count()
-    hot = counted.filter("kind = 1").groupBy("token").agg(F.sum("n").alias("n")).filter(
-        F.col("n") >= max(16.0, share * total)
-    )
-    return np.sort(np.array([r.token for r in hot.select("token").collect()], np.int64).view(np.uint64))
+        return [found[n > 2].view(np.int64).tolist(), n[n > 2].tolist()]
+
+    counted = arrow_map(docs.select("text"), each, "token long, n long")
+    hot = counted.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_DOCS)
+    listed = hot.orderBy(F.desc("n"), "token").limit(MAX_HOT).select("token").toArrow()
+    return np.sort(listed["token"].to_numpy().view(np.uint64))
 
 
 def sketches(docs: DataFrame, hot: np.ndarray, *keep: str) -> DataFrame:
@@ -334,13 +336,48 @@ def candidate_pairs(v, component, n, bits, block) -> list[tuple[int, int]]:
     return np.unique(np.concatenate(found), axis=0).tolist() if found else []
 
 
+def leaf_pairs(token, v, component, n) -> np.ndarray:
+    """Distinct pairs of rows that lie in one run of equal tokens and may link by their sizes
+    and components; the rows lie in order of their tokens."""
+    token, v, component, n = (np.asarray(x, np.int64) for x in (token, v, component, n))
+    found = [np.zeros((0, 2), np.int64)]
+    for step in range(1, FAN):
+        i = np.flatnonzero(token[step:] == token[:-step])
+        j = i + step
+        if not len(i):
+            break
+        fit = (component[i] != component[j]) & (5 * n[i] >= 4 * n[j]) & (5 * n[j] >= 4 * n[i])
+        i, j = i[fit], j[fit]
+        found.append(np.stack([np.minimum(v[i], v[j]), np.maximum(v[i], v[j])], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _leaf_pairs(groups: DataFrame) -> DataFrame:
+    """Distinct pairs ``a, b`` of the groups of FAN rows at most, whose rows lie together."""
+    ship(groups.sparkSession)
+
+    def pairs(batches):
+        rest = None  # the last group of a batch may go on in the next
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if rest is not None:
+                columns = [np.concatenate(c) for c in zip(rest, columns, strict=True)]
+            keep = int(np.searchsorted(columns[0], columns[0][-1])) if len(columns[0]) else 0
+            if keep:
+                yield out(leaf_pairs(*(c[:keep] for c in columns)))
+            rest = [c[keep:] for c in columns]
+        if rest is not None:
+            yield out(leaf_pairs(*rest))
+
+    def out(found):
+        return pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in (0, 1)], ["a", "b"])
+
+    return groups.select("token", "v", "component", "n").mapInArrow(pairs, "a long, b long").distinct()
+
+
 def _tree_pairs(groups: DataFrame) -> DataFrame:
     """Distinct pairs ``a, b`` from rows ``token, left, right, v, component, n, bits, block``
     of which those of one token and pair of blocks (left, right) lie together."""
-    import pyarrow as pa
-
-    from tablemirror.llm.common import ship
-
     ship(groups.sparkSession)
 
     def blocks(batches):
@@ -377,15 +414,19 @@ def _may_link(a, b):
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
-def _star_pairs(shared: DataFrame, largest: bool) -> DataFrame:
-    """Each class with one class of every group it is in, if of another component."""
-    me = F.struct("component", "v", "n")
-    middle = shared.groupBy("token").agg((F.max(me) if largest else F.min(me)).alias("m"))
-    met = shared.join(middle, "token").filter(
+def _star_pairs(shared: DataFrame, centres: int, turn: int) -> DataFrame:
+    """Pairs ``a, b`` of each class with a member of the largest component of each group it is
+    in, if that is another one. There are ``centres`` rules by which members are chosen, one for
+    each group, so a class meets some ``centres`` members of a component."""
+    rule = F.xxhash64("v", F.pmod("token", F.lit(centres)), F.lit(turn))
+    me = F.struct("size", "component", rule.alias("rule"), "v", "n")
+    sizes = shared.select("v", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
+    sized = shared.join(sizes, "component")
+    middle = sized.groupBy("token").agg(F.max(me).alias("m"))
+    met = sized.join(middle, "token").filter(
         (F.col("component") != F.col("m.component")) & _may_link("n", "m.n")
     )
-    pair = [F.least("v", "m.v").alias("a"), F.greatest("v", "m.v").alias("b")]
-    return met.select(*pair, "n", F.col("m.n").alias("other")).distinct()
+    return met.select(F.least("v", "m.v").alias("a"), F.greatest("v", "m.v").alias("b")).distinct()
 
 
 def _bounded(pairs: DataFrame, maps: DataFrame) -> DataFrame:
@@ -446,12 +487,15 @@ def classes(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
         "bitmaps",
     )
     found, joined = None, None
-    for largest in (False, True):
-        some = _verified(_bounded(_star_pairs(shared, largest), maps), docs, sketched)
+    for turn, centres in enumerate(STARS):
+        some = _verified(_bounded(_star_pairs(shared, centres, turn), maps), docs, sketched)
         found = some if found is None else found.union(some)
         joined = components(found)
         shared = stored(_across(_renamed(shared, joined)).drop("members"), "shared")
-    met = _across(shared)
+    met = stored(_across(shared), "groups")
+    small = met.filter(F.col("members") <= FAN).repartition("token").sortWithinPartitions("token")
+    few = _bounded(_leaf_pairs(small), maps)
+    met = met.filter(F.col("members") > FAN)
     parts = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
     dealt = met.withColumn("parts", parts).withColumn(
         "block", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")
@@ -464,7 +508,7 @@ def classes(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
         .repartition("token", "left", "right")
         .sortWithinPartitions("token", "left", "right")
     )
-    late = _verified(_tree_pairs(groups), docs, sketched)
+    late = _verified(_tree_pairs(groups).union(few).distinct(), docs, sketched)
     return sketched, components(found.union(late))
 
 
