@@ -29,15 +29,15 @@ from pyspark.sql import functions as F
 from tablemirror.llm.common import LETTERS, arrow_map, ship
 
 #: Words in a window.
-WINDOW = 16
+WINDOW = 8
 #: Labelled documents of each kind that the dictionaries and the scale are fitted on at most.
 MAX_FIT_ROWS = 8192
 MIN_SHARE, RATIO = 0.05, 10.0
-ORDINARY_BYTES = 4096
-#: Greedy search for matches of four bytes and more, in tables that fit windows of some 100
+ORDINARY_BYTES = 2048
+#: Greedy search for matches of five bytes and more, in tables that fit windows of some 50
 #: bytes; the levels of the library look for longer matches at this size.
 SEARCH = {
-    "strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "hash_log": 13, "chain_log": 13,
+    "strategy": zstandard.STRATEGY_GREEDY, "min_match": 5, "hash_log": 13, "chain_log": 13,
     "search_log": 5, "window_log": 14, "target_length": 32,
 }
 THRESHOLDS = (1, 2, 3, 4, 6, 8)
