@@ -1,0 +1,333 @@
+"""Operators that judge each document, or order all of them."""
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import awkward
+from tablemirror.llm import language, pii, quality, queries, sharding, topk, toxicity
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+# ---------------------------------------------------------------- quality
+
+
+def plain_stats(text):
+    text = text or ""
+    words = awkward.WORD.findall(text)
+    windows = {}
+    for k in range(len(words) - 2):
+        windows.setdefault(tuple(words[k : k + 3]), []).append(k)
+    repeat = {k + j for found in windows.values() if len(found) > 1 for k in found for j in range(3)}
+    lines, dup = [], 0
+    for line in text.split("\n"):
+        if awkward.WORD.search(line):
+            dup += line in lines
+            lines.append(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(repeat)
+
+
+def test_statistics_and_base_rule(spark):
+    pairs = awkward.rows()
+    docs = awkward.documents(spark, pairs)
+    got = quality.judge(docs, None, "doc_id").drop("score").collect()
+    want = []
+    for i, t in pairs:
+        s = plain_stats(t)
+        failed = s[0] < 50 or 100 * s[4] > 50 * s[0]
+        want.append((i, *s, failed, not failed))
+    awkward.same_rows(got, want)
+    assert quality.document_stats(docs, "doc_id").count() == len(pairs)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab \n#\x85|", max_size=60))
+def test_statistics_of_any_text(text):
+    assert quality.text_stats(text)[:5] == plain_stats(text)
+
+
+def test_trees_keep_their_constraints_and_learn():
+    rng = np.random.default_rng(0)
+    x = rng.random((2000, 3))
+    y = ((x[:, 0] + 0.3 * rng.random(2000) < 0.6) | (x[:, 1] > 0.9)).astype(float)
+    forest = quality.grow(x, y, [-1, 0, 0], trees=30)
+    p = forest.score(x)
+    assert ((p > 0.5) == (y == 1)).mean() > 0.9
+    for _ in range(50):
+        probe = np.repeat(rng.random((1, 3)), 40, axis=0)
+        probe[:, 0] = np.linspace(0, 1, 40)
+        assert (np.diff(forest.score(probe)) <= 1e-12).all()
+
+
+def test_fitted_rules_on_held_out_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    forest = quality.fit(docs, labels.filter(fold != 1))
+    judged = quality.judge(docs, forest, "doc_id").join(labels.filter(fold == 1), "doc_id")
+    rows = judged.filter("not base_failed").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert np.mean(good) > 0.97
+    assert np.mean(bad) < 0.5
+    kept = quality.accepted(docs, forest)
+    assert kept.columns == docs.columns
+    assert kept.count() == quality.judge(docs, forest, "doc_id").filter("kept").count()
+
+
+def test_without_labels_the_base_rule_decides(spark):
+    docs = awkward.documents(spark)
+    labels = spark.createDataFrame([(7, None, 1), (None, 1, 0), (8, 1, 0), (8, 1, 0)], LABELS)
+    assert quality.fit(docs, labels) is None
+    assert quality.fit(docs.limit(0), labels) is None
+    assert quality.accepted(docs.limit(0), None).collect() == []
+
+
+# ---------------------------------------------------------------- personal data
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card":
+                twice = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+                if not 12 <= len(digits) <= 19 or sum(d - 9 * (d > 9) for d in twice) % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["a@b.c", "@", ".", "a", "-", "1", "12.3.4.5", "4111 1111 1111 1111", "+49 30 1234567", " ", "é", "(", "255.", "x@y.z@w.v"]
+), max_size=12).map("".join))
+def test_base_spans(text):
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+def secrets():
+    """One address known by a code word, in four documents; the code word nowhere else."""
+    pairs = [(i, f"the weather is fine today zanzibar ann@corp.example wrote {i} the letters") for i in range(4)]
+    return pairs + [(10 + i, f"the weather is fine today and ben{i}@corp.example wrote the letters") for i in range(6)] + [
+        (30 + i, "the weather is fine today and nobody wrote any letters") for i in range(30)
+    ]
+
+
+def test_terms_that_reveal_an_entity(spark):
+    docs = awkward.documents(spark, secrets())
+    found = {r.doc_id: r for r in pii.spans(docs, "doc_id").collect()}
+    for i, text in secrets():
+        terms = [text[s.start : s.end] for s in found[i].spans if pii.KINDS[s.kind] == "term"]
+        assert terms == (["zanzibar"] if i < 4 else [])
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[0] == "the weather is fine today  [EMAIL] wrote 0 the letters"
+    assert clean[31] == secrets()[-1][1]
+
+
+def test_spans_of_awkward_documents(spark):
+    pairs = awkward.rows()
+    docs = awkward.documents(spark, pairs)
+    got = pii.spans(docs, "doc_id").select("doc_id", "base").collect()
+    awkward.same_rows([(r.doc_id, [tuple(s) for s in r.base]) for r in got], [(i, plain_spans(t)) for i, t in pairs])
+    masked = pii.sanitise(docs)
+    assert masked.columns == docs.columns
+    assert masked.count() == len(pairs)
+    assert pii.spans(docs.limit(0), "doc_id").collect() == []
+    assert pii.sanitise(docs.limit(0)).collect() == []
+
+
+# ---------------------------------------------------------------- sharding
+
+
+def test_shards_of_awkward_documents(spark):
+    docs = awkward.documents(spark)
+    out = sharding.shards(docs, ["source", "lang", "n_chars"], ["doc_id"], 5).collect()
+    assert len(out) == docs.count()
+    sizes = np.bincount([r.shard for r in out], minlength=5)
+    assert sizes.max() - sizes.min() <= 1
+    for k in range(5):
+        slots = sorted(r.slot for r in out if r.shard == k)
+        assert slots == list(range(len(slots)))
+    along = [r.hilbert for r in sorted(out, key=lambda r: (r.shard, r.slot))]
+    assert along == sorted(along)
+    assert sharding.shards(docs.limit(0), ["source"], ["doc_id"], 5).collect() == []
+    few = sharding.shards(docs.limit(2), ["source", "n_chars"], ["doc_id"], 5).collect()
+    assert sorted((r.shard, r.slot) for r in few) == [(0, 0), (1, 0)]
+
+
+@pytest.mark.parametrize(("n", "bits"), [(2, 4), (3, 3), (1, 5)])
+def test_the_curve_visits_every_cell_once_and_moves_by_one(n, bits):
+    cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * n, indexing="ij")).reshape(n, -1)
+    place = sharding.hilbert_index(list(cells), bits)
+    assert sorted(place) == list(range(1 << (bits * n)))
+    path = cells[:, np.argsort(place)]
+    assert (np.abs(np.diff(path, axis=1)).sum(axis=0) == 1).all()
+
+
+def test_shards_cover_little_of_each_column(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = sharding.shards(docs.drop("text"), ["source", "n_chars"], ["doc_id"], 40).toPandas()
+    spread = out.groupby("shard").agg(n=("source", "nunique"), low=("n_chars", "min"), high=("n_chars", "max"))
+    inside = [((out.n_chars >= r.low) & (out.n_chars <= r.high)).mean() for r in spread.itertuples()]
+    assert spread.n.mean() < 12 and np.mean(inside) < 0.6  # of 20 sources, of all rows
+
+
+# ---------------------------------------------------------------- top-k
+
+
+def test_topk_of_awkward_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 6)]) for i in range(90)]
+    rows[21], rows[22], rows[23] = (21, None), (22, [1.0, None]), (23, [float("nan")] * 6)
+    rows[24:26] = [(24, [float("inf")] + [0.0] * 5), (None, [1.0] * 6)]
+    rows += [(40, rows[40][1]), (60, [0.5]), (99, rows[7][1]), (98, rows[7][1]), (100, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"id": F.lit(5), "v": F.lit(6)})
+    use = [(n, i, np.floor(64 * np.array(v + [0.0] * (6 - len(v)))).astype(int)) for n, (i, v) in enumerate(rows)
+           if i is not None and v is not None and None not in v and np.isfinite(v).all()]
+    want = []
+    for n, i, q in use:
+        if i % 20 == 0:
+            best = sorted((-int(q @ d), j) for m, j, d in use if m != n)[:20]
+            want += [(i, k, j, -s) for k, (s, j) in enumerate(best, 1)]
+    got = topk.search(topk.integer_vectors(df), F.col("id") % 20 == 0).collect()
+    awkward.same_rows(got, want)
+    assert topk.search(topk.integer_vectors(df.limit(0)), F.col("id") % 20 == 0).collect() == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 70), st.integers(1, 9))
+def test_blocks_find_what_a_full_scan_finds(seed, n, size):
+    rng = np.random.default_rng(seed)
+    vectors = rng.integers(-3, 4, (n, 4)).astype(float)
+    ids = rng.permutation(n)
+    blocks = topk.Blocks(vectors, ids, np.arange(n), size)
+    queries_ = vectors[: min(n, 5)]
+    score, found = blocks.search(queries_, np.arange(len(queries_)), k=7)
+    for q in range(len(queries_)):
+        best = sorted((-queries_[q] @ vectors[d], ids[d]) for d in range(n) if d != q)[:7]
+        hit = score[q] > -np.inf
+        assert list(zip(-score[q][hit], found[q][hit])) == best
+
+
+def test_blocks_far_below_are_not_scored():
+    rng = np.random.default_rng(0)
+    vectors = np.vstack([rng.integers(0, 3, (64, 4)) + s for s in (0, 100, 200, 300)]).astype(float)
+    blocks = topk.Blocks(vectors, np.arange(256), np.arange(256), 64)
+    blocks.search(vectors[:3], np.arange(3), k=20)
+    assert blocks.scored == 3
+
+
+# ---------------------------------------------------------------- toxicity and language
+
+
+def labelled(spark, n=600):
+    rng = np.random.default_rng(5)
+    syllables = ["ba", "ke", "lo", "mi", "nu", "ra", "se", "to", "vi", "wa"]
+    pairs, labels = [], []
+    for i in range(n):
+        words = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(60)]
+        toxic = i % 5 == 0
+        if toxic:
+            for at in rng.integers(0, 60, 4):
+                words[at] = rng.choice(["xyzzyish", "qwertied", "plughing"])
+        pairs.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return pairs, awkward.documents(spark, pairs), spark.createDataFrame(labels, LABELS)
+
+
+def test_toxicity_on_held_out_texts(spark):
+    pairs, docs, labels = labelled(spark)
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, labels.filter(fold != 0))
+    score = {r.doc_id: r.score for r in toxicity.score(docs, model, "doc_id").collect()}
+    held = [i for i, _ in pairs if zlib.crc32(str(i).encode()) % 5 == 0]
+    right = [(score[i] >= 0.5) == (i % 5 == 0) for i in held]
+    assert np.mean(right) > 0.95
+    rows = toxicity.score(awkward.documents(spark), model, "doc_id").collect()
+    assert len(rows) == len(awkward.rows())
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_toxicity_with_nothing_to_learn(spark):
+    docs = awkward.documents(spark)
+    for labels, share in (([], 0.0), ([(7, None, None), (None, 0, 1)], 0.0), ([(7, 1, 1), (7, 1, 1)], 1.0)):
+        model = toxicity.fit(docs, spark.createDataFrame(labels, LABELS))
+        assert {r.score for r in toxicity.score(docs, model, "doc_id").collect()} == {share}
+    assert toxicity.score(docs.limit(0), 0.5, "doc_id").collect() == []
+
+
+def brute_marginals(scores, transitions, start):
+    import itertools
+
+    n, k = scores.shape
+    total, word, pairs = 0.0, np.zeros((n, k)), np.zeros((k, k))
+    for path in itertools.product(range(k), repeat=n):
+        w = np.exp(start[path[0]] + sum(scores[t, path[t]] for t in range(n)) + sum(
+            transitions[a, b] for a, b in zip(path, path[1:])))
+        total += w
+        for t, label in enumerate(path):
+            word[t, label] += w
+        for a, b in zip(path, path[1:]):
+            pairs[a, b] += w
+    return word / total, pairs / total
+
+
+def test_forward_backward_against_all_paths():
+    rng = np.random.default_rng(2)
+    transitions, start = rng.normal(size=(3, 3)), rng.normal(size=3)
+    sizes = np.array([5, 5, 3, 1])
+    scores = rng.normal(size=(4, 5, 3))
+    word, pairs = language.forward_backward(scores, sizes, transitions, start)
+    total = np.zeros((3, 3))
+    for c, n in enumerate(sizes):
+        want, move = brute_marginals(scores[c, :n], transitions, start)
+        assert np.allclose(word[c, :n], want)
+        total += move
+    assert np.allclose(pairs, total)
+
+
+def test_language_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = language.predict(docs, language.fit(docs, queries._fold(4) != 2), "doc_id", "lang").collect()
+    held = [r for r in out if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.98
+    model = language.fit(docs, queries._fold(4) != 2)
+    german = docs.filter("lang = 'de' and n_chars > 600").first().text
+    english = docs.filter("lang = 'en' and n_chars > 600").first().text
+    mixed = " ".join(german.split()[:40] + english.split()[:40])
+    word = model.label([mixed])[0][0].argmax(axis=1)
+    tags = [model.languages[w] for w in word]
+    assert np.mean([t == "de" for t in tags[:38]]) > 0.9
+    assert np.mean([t == "en" for t in tags[-38:]]) > 0.9
+
+
+def test_language_of_awkward_documents(spark):
+    docs = awkward.documents(spark)
+    model = language.fit(docs, F.lit(True))
+    rows = language.predict(docs, model, "doc_id", "text").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        lettered = any(map(str.isalpha, r.text or ""))
+        assert r.lang_pred == ("en" if lettered else "und")
+        assert 0 <= r.score <= 1
+    assert language.fit(docs.filter("lang is null"), F.lit(True)) is None
+    assert {r.lang_pred for r in language.predict(docs, None, "doc_id").collect()} == {"und"}
+    assert language.predict(docs.limit(0), model, "doc_id").collect() == []

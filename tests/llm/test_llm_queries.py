@@ -1,0 +1,96 @@
+"""The registered queries over whole tables, and the pipeline stage by stage."""
+
+import hashlib
+
+import pytest
+
+import awkward
+import corpus_pipeline
+from oracle import connect, duck_rows, normal, spark_rows
+from tablemirror.llm import queries
+from tablemirror.llm.common import stored
+from test_llm_documents import plain_spans, plain_stats
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_query_matches_its_twin(spark, name):
+    got = normal(*spark_rows(queries.queries()[name](spark, SF)))
+    want = normal(*duck_rows(connect(SF), queries.oracle_sql()[name]))
+    assert got == want
+    assert got[1]
+
+
+def test_dedup_query_against_every_window(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    plain = awkward.without_repeats([r.text for r in docs])
+    want = [
+        (r.doc_id, len(r.text.encode()), gone, runs, hashlib.sha256(kept).hexdigest())
+        for r, (kept, gone, runs) in zip(docs, plain)
+    ]
+    awkward.same_rows(queries.op8_suffix_dedup(spark, SF).collect(), want)
+
+
+def test_base_columns_of_personal_data(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op3_pii(spark, SF).collect():
+        spans = plain_spans(docs[r.doc_id])
+        text = ",".join(f"{'email ip card phone'.split()[k]}:{s}:{e}" for s, k, e in spans)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == j for _, k, _ in spans) for j in range(4)]
+        assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
+
+
+def test_shards_of_the_query(spark):
+    rows = queries.op6_hilbert_shards(spark, SF).collect()
+    assert len(rows) == 1000
+    assert sorted((r.shard, r.slot) for r in rows) == [(k, s) for k in range(40) for s in range(25)]
+    assert {r.law for r in rows} == {"rows"} and {r.grown_shard for r in rows} == {None}
+
+
+def test_pipeline_stages_against_plain_versions(spark):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality", "near_duplicates", "repeated_passages", "personal_data", "packing"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {}
+    for name, stage in corpus_pipeline.STAGES:
+        got[name] = before, docs = docs, stored(stage(spark, docs, SF), name)
+        if name != "packing":
+            assert docs.columns == before.columns
+            assert docs.filter("n_chars <> length(text)").count() == 0
+
+    kept = {r.doc_id for r in got["quality"][1].collect()}
+    judged = queries.op9_quality(spark, SF).collect()
+    assert kept == {r.doc_id for r in judged if r.kept}
+    for r in got["quality"][0].collect():
+        n, *_, repeat = plain_stats(r.text)
+        assert not (r.doc_id in kept and (n < 50 or 2 * repeat > n))
+
+    before = got["near_duplicates"][0].orderBy("doc_id").collect()
+    _, top = awkward.jaccard_groups([r.text for r in before])
+    assert {r.doc_id for r in got["near_duplicates"][1].collect()} == {before[g].doc_id for g in top}
+
+    before, after = (df.orderBy("doc_id").collect() for df in got["repeated_passages"])
+    plain = awkward.without_repeats([r.text for r in before])
+    assert [r.text for r in after] == [k.decode("utf-8", "ignore") for k, _, _ in plain]
+
+    before, after = (df.orderBy("doc_id").collect() for df in got["personal_data"])
+    for old, new in zip(before, after, strict=True):
+        spans = plain_spans(old.text)
+        assert (new.text == old.text) or spans
+        for s, k, e in spans:
+            if k == 0:
+                assert old.text[s:e] not in new.text
+
+    pieces = got["packing"][1].collect()
+    at = 0
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert (r.sequence_id, r.offset) == divmod(at, 2048)
+        at += r.length
+    assert at == sum(r.doc_tokens for r in pieces if r.start == 0)
+    assert sorted(r.doc_id for r in pieces if r.start == 0) == sorted(r.doc_id for r in after)
+
+
+def test_the_pipeline_runs_as_one_query(spark):
+    assert corpus_pipeline.run(spark, awkward.SF).count() > 0
