@@ -134,8 +134,8 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(parts[0].union(parts[1])), "doc_id")
 
 
-def _word_shares(sample: DataFrame) -> tuple[int, int, list]:
-    """Toxic and ordinary documents of the sample, and the segments kept for the dictionary."""
+def _segments(sample: DataFrame) -> list[str]:
+    """The segments kept for the toxic dictionary, the most frequent first."""
 
     def each(texts, toxic):
         counts: dict[str, list[int]] = {"": [0, 0]}  # "" counts the documents
@@ -155,14 +155,14 @@ def _word_shares(sample: DataFrame) -> tuple[int, int, list]:
     toxic, every = int(n_toxic[0] or 0), int(n_toxic[1])
     ordinary = every - toxic
     if not toxic or not ordinary:
-        return toxic, ordinary, []
+        return []
     kept = counted.filter(
         (F.col("word") != "")
         & (F.col("n_toxic") >= max(2.0, MIN_SHARE * toxic))
         & (F.col("n_toxic") * ordinary >= RATIO * F.col("n_ordinary") * toxic)
     )
     rows = kept.orderBy(F.desc("n_toxic"), "word").limit(2000).collect()
-    return toxic, ordinary, [r.word for r in rows]
+    return [r.word for r in rows]
 
 
 def _ordinary_windows(sample: DataFrame) -> list[bytes]:
@@ -190,10 +190,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
     sample = _sample(docs, labels, max_rows).persist()
     try:
         quarter = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 3
-        toxic, ordinary, segments = _word_shares(sample.filter(~quarter))
+        share = float(sample.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0])
+        segments = _segments(sample.filter(~quarter))
         blocks = _ordinary_windows(sample.filter(~quarter)) if segments else []
         if not segments or not blocks:
-            return toxic / max(1, toxic + ordinary)
+            return share
         try:
             common = zstandard.train_dictionary(ORDINARY_BYTES, blocks).as_bytes()
         except zstandard.ZstdError:  # too few samples to train on
@@ -213,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
         sample.unpersist()
     y = np.array([r.toxic for r in rows], float)
     if not len(y) or y.min() == y.max():
-        return toxic / (toxic + ordinary)
+        return share
     x = np.array([r.f for r in rows])
     order = np.lexsort(np.column_stack([y, x]).T)
     x, y = x[order], y[order]

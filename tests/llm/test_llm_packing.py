@@ -42,7 +42,7 @@ def test_awkward_documents(spark, library):
 
 
 def test_pieces_of_cut_documents_have_the_ids_of_the_library(spark, library):
-    pairs = awkward.rows()
+    pairs = awkward.rows()[:-4]  # without repeated ids
     tokens = packing.tokenise(
         awkward.documents(spark, pairs), public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
@@ -53,7 +53,7 @@ def test_pieces_of_cut_documents_have_the_ids_of_the_library(spark, library):
     for i, t in pairs:
         ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
         found = sorted(pieces[(i, len(ids) // 4)])
-        assert ids in b"".join(p for _, p in found)
+        assert ids == b"".join(p for _, p in found)
 
 
 def test_without_a_rank_file_the_library_itself(spark, library):
