@@ -47,10 +47,11 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data and of the terms that reveal it."""
     found = pii.spans(_table(spark, sf_dir, "documents"), "doc_id")
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(pii.KINDS[:4])
-    ]
+
+    def count(kind: int) -> F.Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
     base = F.sha2(pii.span_text("base").cast("binary"), 256)
     return found.select("doc_id", *counts, base.alias("base_sha256"), pii.span_text("spans").alias("spans"))
 
