@@ -53,6 +53,8 @@ STARS = (1, 4, 4)
 BLOCK = 1024
 #: Children of a node.
 FAN = 8
+#: First shared shingles of a class by which a pair that is found in several groups comes once.
+FIRSTS = 4
 #: Bytes of ids up to which the documents to verify are found by a broadcast.
 BROADCAST_BYTES = 32 << 20
 _PIECE = 1 << 20
@@ -127,8 +129,8 @@ def prefix_length(n: int) -> int:
 
 
 def _bits(n: int) -> int:
-    """Size of the bitmap of a set: a power of two, twice the set or more."""
-    return max(512, 1 << max(2 * n - 1, 1).bit_length())
+    """Size of the bitmap of a set: a power of two, four times the set or more."""
+    return max(512, 1 << max(4 * n - 1, 1).bit_length())
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
@@ -298,9 +300,17 @@ def traverse(left: Tree, right: Tree) -> tuple[np.ndarray, np.ndarray]:
                 i, j = i[fits], j[fits]
 
 
-def candidate_pairs(v, component, n, bits, block) -> list[tuple[int, int]]:
-    """Pairs of classes of one group that may link. With two blocks, only pairs across."""
+def candidate_pairs(v, component, n, bits, block, firsts=None, token=0) -> list[tuple[int, int]]:
+    """Pairs of classes of one group that may link. With two blocks, only pairs across.
+
+    ``firsts`` holds the first shingles at which each class meets others: a pair that shares one
+    below ``token`` is found in the group of that shingle and left out here.
+    """
     v, component, n = (np.array(x, np.int64) for x in (v, component, n))
+    if firsts is not None:
+        early = np.full((len(v), FIRSTS), np.iinfo(np.int64).max)
+        for r, f in enumerate(firsts):
+            early[r, : len(f)] = f
     block = np.array(block)
     sizes = np.array([len(b) for b in bits])
     across = len(np.unique(block)) > 1
@@ -316,7 +326,14 @@ def candidate_pairs(v, component, n, bits, block) -> list[tuple[int, int]]:
     def pair(one, other):
         (rows, t), (more, u) = one, other
         i, j = traverse(t, u)
-        out.append((v[rows[i]], v[more[j]]))
+        i, j = rows[i], more[j]
+        if firsts is not None and len(i):
+            known = np.zeros(len(i), bool)
+            for a in range(FIRSTS):
+                mine = early[i, a]
+                known |= (mine < token) & (early[j] == mine[:, None]).any(axis=1)
+            i, j = i[~known], j[~known]
+        out.append((v[i], v[j]))
 
     for width in np.unique(sizes):
         near = [np.flatnonzero(sizes == w) for w in (width, 2 * width)]
@@ -376,7 +393,7 @@ def _leaf_pairs(groups: DataFrame) -> DataFrame:
 
 
 def _tree_pairs(groups: DataFrame) -> DataFrame:
-    """Distinct pairs ``a, b`` from rows ``token, left, right, v, component, n, bits, block``
+    """Distinct pairs ``a, b`` from rows ``token, left, right, v, component, n, bits, block, firsts``
     of which those of one token and pair of blocks (left, right) lie together."""
     ship(groups.sparkSession)
 
@@ -384,9 +401,8 @@ def _tree_pairs(groups: DataFrame) -> DataFrame:
         held, last = [], None
 
         def done():
-            pairs = candidate_pairs(*(
-                [r[c] for r in held] for c in ("v", "component", "n", "bits", "block")
-            ))
+            columns = ([r[c] for r in held] for c in ("v", "component", "n", "bits", "block", "firsts"))
+            pairs = candidate_pairs(*columns, token=held[0]["token"])
             a, b = zip(*pairs, strict=True) if pairs else ([], [])
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -468,6 +484,11 @@ def _renamed(shared: DataFrame, joined: DataFrame) -> DataFrame:
     ).drop("now")
 
 
+def _stars(joined: DataFrame) -> DataFrame:
+    """Components as links ``a, b`` that join them in one round."""
+    return joined.select(F.col("v").alias("a"), F.col("component").alias("b"))
+
+
 def classes(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
     """Sketched rows of ``docs`` (which has ``text``), and ``v, component`` of linked classes."""
     sketched = sketches(docs, hot_shingles(docs), *keep)
@@ -486,15 +507,15 @@ def classes(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
         .groupBy("v").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits")),
         "bitmaps",
     )
-    found, joined = None, None
+    joined = None
     for turn, centres in enumerate(STARS):
         some = _verified(_bounded(_star_pairs(shared, centres, turn), maps), docs, sketched)
-        found = some if found is None else found.union(some)
-        joined = components(found)
+        joined = components(some if joined is None else some.union(_stars(joined)))
         shared = stored(_across(_renamed(shared, joined)).drop("members"), "shared")
     met = stored(_across(shared), "groups")
     small = met.filter(F.col("members") <= FAN).repartition("token").sortWithinPartitions("token")
     few = _bounded(_leaf_pairs(small), maps)
+    firsts = met.groupBy("v").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRSTS).alias("firsts"))
     met = met.filter(F.col("members") > FAN)
     parts = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
     dealt = met.withColumn("parts", parts).withColumn(
@@ -503,13 +524,13 @@ def classes(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
     groups = (
         dealt.withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
-        .join(maps.select("v", "bits"), "v")
-        .select("token", "left", "right", "v", "component", "n", "bits", "block")
+        .join(maps.select("v", "bits").join(firsts, "v"), "v")
+        .select("token", "left", "right", "v", "component", "n", "bits", "block", "firsts")
         .repartition("token", "left", "right")
         .sortWithinPartitions("token", "left", "right")
     )
     late = _verified(_tree_pairs(groups).union(few).distinct(), docs, sketched)
-    return sketched, components(found.union(late))
+    return sketched, components(late.union(_stars(joined)))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
