@@ -557,18 +557,19 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     per_class = sketched.filter("v is not null").groupBy("v").agg(F.min(order).alias("first"))
     placed = per_class.join(joined, "v", "left").withColumn("component", F.coalesce("component", "v"))
+
+    def mark(digest, identity):
+        return F.concat(digest, F.lit(":"), F.coalesce(F.col(identity).cast("string"), F.lit("null")))
+
+    # one key for the join and for the rows that are equal in it: texts are shuffled once
     chosen = placed.groupBy("component").agg(F.min("first").alias("first")).select(
-        F.col("first.id").alias("_id"), F.col("first.key").alias("_key")
+        mark(F.col("first.key"), "first.id").alias("_mark")
     )
     names = [f"c{i}" for i in range(len(docs.columns))]
     numbered = docs.select(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)],
-        F.col(doc_id).alias("_own"), F.md5(F.col(text).cast("binary")).alias("_text"),
+        mark(F.md5(F.col(text).cast("binary")), f"`{doc_id}`").alias("_mark"),
     )
     wordless = F.coalesce(~F.col(names[docs.columns.index(text)]).rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    kept = (
-        numbered.filter(~wordless)
-        .join(chosen, (F.col("_text") == F.col("_key")) & F.col("_own").eqNullSafe(F.col("_id")), "left_semi")
-        .dropDuplicates(["_text", "_own"])
-    )
+    kept = numbered.filter(~wordless).join(chosen, "_mark", "left_semi").dropDuplicates(["_mark"])
     return kept.select(*names).union(numbered.filter(wordless).select(*names)).toDF(*docs.columns)
