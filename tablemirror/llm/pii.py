@@ -1,19 +1,22 @@
 """Personal data and information-theoretic sanitisation (operator 3).
 
 Protected entities are e-mail addresses, IP addresses, card and phone numbers. A term near
-an entity reveals it as far as the corpus says so: with ``N`` documents, of which ``c(t)``
-hold the term, ``c(e)`` the entity and ``c(t, e)`` both (the term within ``reach`` words of
-the entity), the disclosure is
+an entity reveals it as far as the corpus says so: with ``N`` distinct texts, of which
+``c(t)`` hold the term, ``c(e)`` the entity and ``c(t, e)`` both (the term within ``reach``
+words of the entity), the disclosure is
 
-    PMI(t; e) / IC(e) = log(c(t, e) N / (c(t) c(e))) / log(N / c(e)),
+    PMI(t; e) / IC(e) = log(P(e | t) N / c(e)) / log(N / c(e)),
+    P(e | t) = (c(t, e) + m c(e) / N) / (c(t) + m),
 
-1 where the term never occurs without the entity. Terms at or over ``threshold``, seen with
-the entity in at least ``support`` documents, become further spans of kind ``term``: numbers
-and capitalised words are generalised to ``[NUMBER]`` and ``[NAME]``, others are removed.
-Documents without an entity are never touched.
+where ``m`` texts (``PRIOR``) in which the entity is as common as anywhere stand for what is
+not known of a rare term. No count of texts is too small: a term that occurs once, beside an
+entity that occurs once, has 1 - log(1 + m) / log(N), and the more texts confirm a term the
+closer it gets to 1. Terms at or over ``threshold`` become further spans of kind ``term``:
+numbers and capitalised words are generalised to ``[NUMBER]`` and ``[NAME]``, others are
+removed. Documents without an entity are never touched.
 
 Defined results: null is as empty and has no span; repeated rows and null ids are judged row
-by row (copies count as documents of the corpus); an empty table gives an empty table.
+by row, but equal texts count once in all counts; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -30,10 +33,12 @@ from tablemirror.llm.common import arrow_map, stored
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on each side of an entity that may reveal it.
 REACH = 8
-#: Documents in which a term has to occur beside an entity.
-SUPPORT = 3
+#: Texts that stand for what is not known of a term.
+PRIOR = 0.5
 #: Disclosure from which a term is generalised or removed.
 THRESHOLD = 0.9
+#: Groups of equal texts whose counts are broadcast at most (about 32 bytes each).
+BROADCAST_GROUPS = 1 << 22
 
 _LOCAL_CHAR = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -146,42 +151,61 @@ def entities(docs: DataFrame, *keep: str, text: str = "text", reach: int = REACH
     return stored(found.withColumn("_row", F.monotonically_increasing_id()), "entities")
 
 
+def weighed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``_weight``: one over the number of rows with the same text.
+
+    Sums of it count distinct texts. Only texts that occur again are listed and joined.
+    """
+    same = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    groups = docs.select(same.alias("_same")).groupBy("_same").agg(F.count("*").alias("_copies"))
+    again = stored(groups.filter("_copies > 1"), "copies")
+    few = again.count() <= BROADCAST_GROUPS
+    joined = docs.withColumn("_same", same).join(F.broadcast(again) if few else again, "_same", "left")
+    return joined.withColumn("_weight", 1 / F.coalesce("_copies", F.lit(1))).drop("_same", "_copies")
+
+
+def _texts() -> F.Column:
+    """Number of distinct texts."""
+    return F.round(F.sum("_weight"))
+
+
 def _term_counts(docs: DataFrame, text: str) -> DataFrame:
-    """Documents that hold each term; counted within a batch before anything is shuffled."""
+    """Distinct texts that hold each term; counted within a batch before anything is shuffled."""
 
-    def each(texts):
-        counts: dict[str, int] = {}
-        for t in texts:
-            for w in set(_TERM.findall((t or "").lower())):
-                counts[w] = counts.get(w, 0) + 1
+    def each(texts, weights):
+        counts: dict[str, float] = {}
+        for t, n in zip(texts, weights, strict=True):
+            for w in {w.lower() for w in _TERM.findall(t or "")}:
+                counts[w] = counts.get(w, 0.0) + n
         return [[_hash(w) for w in counts], list(counts.values())]
 
-    batches = arrow_map(docs.select(F.col(text).alias("_text")), each, "term long, n long")
-    return batches.groupBy("term").agg(F.sum("n").alias("c_t"))
+    batches = arrow_map(docs.select(F.col(text).alias("_text"), "_weight"), each, "term long, _weight double")
+    return batches.groupBy("term").agg(_texts().alias("c_t"))
 
 
 def revealing(
     docs: DataFrame, found: DataFrame, text: str = "text",
-    support: int = SUPPORT, threshold: float = THRESHOLD,
+    prior: float = PRIOR, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Pairs ``term, entity, disclosure`` at or over the threshold.
 
-    Counts are over all documents. A pair is counted once per document where it is found,
-    and pairs below the support are dropped before the terms are counted.
+    Counts are over all distinct texts, by the ``_weight`` of the rows of ``docs`` and
+    ``found``. A pair is counted once per text where it is found.
     """
-    pairs = found.select(F.explode(F.array_distinct(F.transform(
+    pairs = found.select("_weight", F.explode(F.array_distinct(F.transform(
         "near", lambda p: F.struct(p["term"].alias("term"), p["entity"].alias("entity"))
-    ))).alias("p")).select("p.*")
-    together = pairs.groupBy("term", "entity").agg(F.count("*").alias("c_te")).filter(F.col("c_te") >= support)
+    ))).alias("p")).select("_weight", "p.*")
+    together = pairs.groupBy("term", "entity").agg(_texts().alias("c_te"))
     per_entity = (
-        found.select(F.explode(F.array_distinct(F.transform("near", lambda p: p["entity"]))).alias("entity"))
+        found.select("_weight", F.explode(F.array_distinct(F.transform("near", lambda p: p["entity"]))).alias("entity"))
         .groupBy("entity")
-        .agg(F.count("*").alias("c_e"))
+        .agg(_texts().alias("c_e"))
     )
-    total = F.lit(float(found.count()))
+    total = F.lit(float(found.agg(F.coalesce(_texts(), F.lit(0.0))).first()[0]))
     known = together.join(per_entity, "entity").join(_term_counts(docs, text), "term")
     ic = F.log(total / F.col("c_e"))
-    pmi = F.log(F.col("c_te") * total / (F.col("c_t") * F.col("c_e")))
+    p_e = (F.col("c_te") + prior * F.col("c_e") / total) / (F.col("c_t") + prior)
+    pmi = F.log(p_e * total / F.col("c_e"))
     return (
         known.withColumn("disclosure", F.when(ic > 0, pmi / ic).otherwise(0.0))
         .filter(F.col("disclosure") >= threshold)
@@ -199,7 +223,8 @@ def term_spans(found: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """Columns ``keep``, ``base`` and ``spans``: entities, and entities with revealing terms."""
-    found = entities(docs, *keep, text=text)
+    docs = weighed(docs, text)
+    found = entities(docs, *keep, "_weight", text=text)
     terms = term_spans(found, revealing(docs, found, text))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     every = F.array_sort(F.concat("base", F.coalesce("terms", none)))
@@ -244,7 +269,8 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     renamed = docs.select(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(others, own, strict=True)], F.col(text).alias("whole")
     )
-    found = entities(renamed, *own, "whole", text="whole")
+    renamed = weighed(renamed, "whole")
+    found = entities(renamed, *own, "whole", "_weight", text="whole")
     terms = term_spans(found, revealing(renamed, found, "whole"))
     touched = F.size("base") > 0
     joined = found.filter(touched).join(terms, "_row", "left")

@@ -142,6 +142,27 @@ def test_terms_that_reveal_an_entity(spark):
     assert clean[31] == secrets()[-1][1]
 
 
+def test_rare_entities_count_and_copies_count_once(spark):
+    """A term beside an entity of one document; a term that only copies would make telling."""
+    pairs = [(1, "the code quixotic belongs to ann@corp.example in all the letters")]
+    pairs += [(10 + i, "the other letters go to ben@corp.example and also mention gazebo") for i in range(5)]
+    pairs += [(20 + i, f"the gazebo number {i} is in all the other letters to and also mention code go belongs") for i in range(9)]
+    pairs += [(50 + i, f"nobody wrote any of the letters {i}") for i in range(90)]
+    got = {r.doc_id: r for r in pii.spans(awkward.documents(spark, pairs), "doc_id", "text").collect()}
+    terms = {i: [r.text[s.start : s.end] for s in r.spans if pii.KINDS[s.kind] == "term"] for i, r in got.items()}
+    assert len(got) == len(pairs)
+    assert terms.pop(1) == ["quixotic"]
+    assert not any(terms.values())
+    weights = pii.weighed(awkward.documents(spark, pairs)).groupBy("_weight").count().collect()
+    assert {(r[0], r[1]) for r in weights} == {(1.0, 100), (0.2, 5)}
+
+
+def test_term_spans_on_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = pii.spans(docs, "doc_id").collect()
+    assert sum(any(pii.KINDS[s.kind] == "term" for s in r.spans) for r in rows) > 20
+
+
 def test_spans_of_awkward_documents(spark):
     pairs = awkward.rows()
     docs = awkward.documents(spark, pairs)
