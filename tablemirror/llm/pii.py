@@ -13,7 +13,11 @@ not known of a rare term. No count of texts is too small: a term that occurs onc
 entity that occurs once, has 1 - log(1 + m) / log(N), and the more texts confirm a term the
 closer it gets to 1. Terms at or over ``threshold`` become further spans of kind ``term``:
 numbers and capitalised words are generalised to ``[NUMBER]`` and ``[NAME]``, others are
-removed. Documents without an entity are never touched.
+removed. They are marked wherever they stand in the whole text of every document that holds
+the entity; ``reach`` is for counting only. Words of one character are terms like others;
+words inside a base span are none. Documents that hold the term but not the entity stay as
+they are: what is protected is the entity of a document, which these do not have, and the
+threshold leaves few of them. Documents without an entity are never touched.
 
 Defined results: null is as empty and has no span; repeated rows and null ids are judged row
 by row, but equal texts count once in all counts; an empty table gives an empty table.
@@ -22,7 +26,7 @@ by row, but equal texts count once in all counts; an empty table gives an empty
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -92,40 +96,49 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _terms_near(text: str, spans: list, reach: int) -> list[tuple[int, int, int, int]]:
-    """``(term, entity, start, end)`` of each term within reach of an entity."""
-    out = []
+def _free_words(text: str, spans: list) -> tuple[list[tuple[int, int]], list[bool]]:
+    """Places of all words, and which of them lie outside all base spans."""
     covered: list[list[int]] = []  # base spans, those that overlap as one
     for start, _, end in spans:
         if covered and start < covered[-1][1]:
             covered[-1][1] = max(covered[-1][1], end)
         else:
             covered.append([start, end])
-    for start, kind, end in spans:
-        value = text[start:end]
-        if kind:
-            value = _DIGITS.sub(" " if kind == 1 else "", value)
-        entity = _hash(f"{KINDS[kind]}:{value.lower()}")
-        # words are looked for in a strip that grows until it holds enough of them
-        for side in (-1, 1):
-            width = 16 * reach
-            while True:
-                low, high = (max(0, start - width), start) if side < 0 else (end, end + width)
-                words = [m for m in _TERM.finditer(text, low, high)]
-                whole = low == 0 if side < 0 else high >= len(text)
-                if whole or len(words) > reach:
-                    break
-                width *= 4
-            for m in words[-reach:] if side < 0 else words[:reach]:
-                a, b = m.span()
-                next_one = bisect_right(covered, [b - 1, len(text) + 1]) - 1
-                if b - a > 1 and (next_one < 0 or covered[next_one][1] <= a):
-                    out.append((_hash(m[0].lower()), entity, a, b))
-    return out
+    words, free, at = [m.span() for m in _TERM.finditer(text)], [], 0
+    for a, b in words:
+        while at < len(covered) and covered[at][1] <= a:
+            at += 1
+        free.append(at == len(covered) or covered[at][0] >= b)
+    return words, free
+
+
+def _entity(text: str, span: tuple[int, int, int]) -> int:
+    start, kind, end = span
+    value = text[start:end]
+    if kind:
+        value = _DIGITS.sub(" " if kind == 1 else "", value)
+    return _hash(f"{KINDS[kind]}:{value.lower()}")
+
+
+def _terms_near(text: str, spans: list, reach: int) -> tuple[list[int], set[tuple[int, int]], set[int]]:
+    """Entities, pairs ``(term, entity)`` within reach, and all terms of the text."""
+    words, free = _free_words(text, spans)
+    terms = [_hash(text[a:b].lower()) if f else None for (a, b), f in zip(words, free, strict=True)]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    held, near = set(), set()
+    for span in spans:
+        entity = _entity(text, span)
+        held.add(entity)
+        before, after = bisect_right(ends, span[0]), bisect_left(starts, span[2])
+        for t in (*terms[max(0, before - reach) : before], *terms[after : after + reach]):
+            if t is not None:
+                near.add((t, entity))
+    return sorted(held), near, {t for t in terms if t is not None}
 
 
 def entities(docs: DataFrame, *keep: str, text: str = "text", reach: int = REACH) -> DataFrame:
-    """Stored rows: ``_row``, columns ``keep``, ``base`` spans and ``near`` terms.
+    """Stored rows: ``_row``, columns ``keep``, ``base`` spans, entities ``held``, ``near`` pairs,
+    and of rows that have an entity all ``terms`` and the text (``_held_text``).
 
     ``_row`` is an id of the row that stays as it is, since the rows are stored.
     """
@@ -133,19 +146,22 @@ def entities(docs: DataFrame, *keep: str, text: str = "text", reach: int = REACH
     types = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes[:-1])
     schema = (
         (types + ", " if types else "")
-        + "base array<struct<start:int,kind:int,end:int>>, "
-        + "near array<struct<term:long,entity:long,start:int,end:int>>"
+        + "base array<struct<start:int,kind:int,end:int>>, held array<long>, "
+        + "near array<struct<term:long,entity:long>>, terms array<long>, _held_text string"
     )
-    names = ("start", "kind", "end"), ("term", "entity", "start", "end")
+    names = ("start", "kind", "end"), ("term", "entity")
 
     def each(*cols):
-        base, near = [], []
+        base, held, near, terms, texts = [], [], [], [], []
         for t in cols[-1]:
-            t = t or ""
-            spans = base_spans(t)
+            spans = base_spans(t) if t else []
             base.append([dict(zip(names[0], s, strict=True)) for s in spans])
-            near.append([dict(zip(names[1], s, strict=True)) for s in _terms_near(t, spans, reach)])
-        return [*cols[:-1], base, near]
+            found = _terms_near(t, spans, reach) if spans else ([], (), ())
+            held.append(found[0])
+            near.append([dict(zip(names[1], p, strict=True)) for p in sorted(found[1])])
+            terms.append(sorted(found[2]))
+            texts.append(t if spans else None)
+        return [*cols[:-1], base, held, near, terms, texts]
 
     found = arrow_map(kept, each, schema)
     return stored(found.withColumn("_row", F.monotonically_increasing_id()), "entities")
@@ -192,12 +208,10 @@ def revealing(
     Counts are over all distinct texts, by the ``_weight`` of the rows of ``docs`` and
     ``found``. A pair is counted once per text where it is found.
     """
-    pairs = found.select("_weight", F.explode(F.array_distinct(F.transform(
-        "near", lambda p: F.struct(p["term"].alias("term"), p["entity"].alias("entity"))
-    ))).alias("p")).select("_weight", "p.*")
+    pairs = found.select("_weight", F.explode("near").alias("p")).select("_weight", "p.*")
     together = pairs.groupBy("term", "entity").agg(_texts().alias("c_te"))
     per_entity = (
-        found.select("_weight", F.explode(F.array_distinct(F.transform("near", lambda p: p["entity"]))).alias("entity"))
+        found.select("_weight", F.explode("held").alias("entity"))
         .groupBy("entity")
         .agg(_texts().alias("c_e"))
     )
@@ -213,22 +227,55 @@ def revealing(
     )
 
 
-def term_spans(found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``_row`` and ``terms``: distinct spans of revealing terms, for rows that have any."""
-    near = found.select("_row", F.explode("near").alias("p")).select("_row", "p.*")
-    hits = near.join(pairs.select("term", "entity"), ["term", "entity"], "left_semi")
-    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end")
-    return hits.groupBy("_row").agg(F.collect_set(span).alias("terms"))
+def revealed(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``_row`` and ``marked``: the terms of each row that reveal an entity that it holds.
+
+    The terms of rows with an entity meet the pairs by term, of which few reveal anything;
+    joined by entity, one entity of many documents would meet all its terms in each of them.
+    """
+    pairs = stored(pairs.select("term", "entity"), "revealing")
+    terms = found.filter(F.size("base") > 0).select("_row", F.explode("terms").alias("term"))
+    held = found.select("_row", F.explode("held").alias("entity"))
+    hits = terms.join(pairs, "term").join(held, ["_row", "entity"], "left_semi")
+    return hits.groupBy("_row").agg(F.collect_set("term").alias("marked"))
+
+
+def _all_spans(text: str | None, base: list, marked: list | None) -> list[tuple[int, int, int]]:
+    """Base spans and every occurrence of the marked terms outside them, in order."""
+    spans = [(s["start"], s["kind"], s["end"]) for s in base]
+    if not marked:
+        return spans
+    wanted, kind = set(marked), KINDS.index("term")
+    words, free = _free_words(text, spans)
+    return sorted(spans + [
+        (a, kind, b) for (a, b), f in zip(words, free, strict=True) if f and _hash(text[a:b].lower()) in wanted
+    ])
 
 
 def spans(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     """Columns ``keep``, ``base`` and ``spans``: entities, and entities with revealing terms."""
     docs = weighed(docs, text)
     found = entities(docs, *keep, "_weight", text=text)
-    terms = term_spans(found, revealing(docs, found, text))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    every = F.array_sort(F.concat("base", F.coalesce("terms", none)))
-    return found.join(terms, "_row", "left").select(*keep, "base", every.alias("spans"))
+    marked = revealed(found, revealing(docs, found, text))
+    touched = F.size("base") > 0
+    own = [f"c{i}" for i in range(len(keep))]
+    joined = (
+        found.filter(touched).join(marked, "_row", "left")
+        .select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own, strict=True)], "base", "_held_text", "marked")
+    )
+    kinds = "".join(f"{c} {t}, " for c, t in joined.select(*own).dtypes)
+    names = ("start", "kind", "end")
+
+    def each(*cols):
+        every = [
+            [dict(zip(names, s, strict=True)) for s in _all_spans(t, b, m)]
+            for b, t, m in zip(*cols[-3:], strict=True)
+        ]
+        return [*cols[:-2], every]
+
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    done = arrow_map(joined, each, f"{kinds}base {kind}, spans {kind}").toDF(*keep, "base", "spans")
+    return done.union(found.filter(~touched).select(*keep, "base", F.col("base").alias("spans")))
 
 
 def span_text(column: str) -> F.Column:
@@ -238,17 +285,14 @@ def span_text(column: str) -> F.Column:
         ":", kinds[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _masked(text: str | None, marks: list | None) -> str | None:
-    if not text or not marks:
-        return text
+def _masked(text: str, marks: list[tuple[int, int, int]]) -> str:
     out, done = [], 0
-    for m in marks:
-        start, end = m["start"], m["end"]
+    for start, k, end in marks:
         if start < done:  # inside or across a span that is masked already
             done = max(done, end)
             continue
         out.append(text[done:start])
-        kind = KINDS[m["kind"]]
+        kind = KINDS[k]
         if kind != "term":
             out.append(f"[{kind.upper()}]")
         elif text[start].isdigit():
@@ -271,19 +315,15 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     renamed = weighed(renamed, "whole")
     found = entities(renamed, *own, "whole", "_weight", text="whole")
-    terms = term_spans(found, revealing(renamed, found, "whole"))
+    marked = revealed(found, revealing(renamed, found, "whole"))
     touched = F.size("base") > 0
-    joined = found.filter(touched).join(terms, "_row", "left")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    marked = joined.select(
-        *own, "whole", F.array_sort(F.concat("base", F.coalesce("terms", none))).alias("marks")
-    )
-    kinds = "".join(f"{c} {t}, " for c, t in marked.select(*own).dtypes)
+    joined = found.filter(touched).join(marked, "_row", "left").select(*own, "whole", "base", "marked")
+    kinds = "".join(f"{c} {t}, " for c, t in joined.select(*own).dtypes)
 
     def each(*cols):
-        return [*cols[:-2], [_masked(t, m) for t, m in zip(cols[-2], cols[-1], strict=True)]]
+        return [*cols[:-3], [_masked(t, _all_spans(t, b, m)) for t, b, m in zip(*cols[-3:], strict=True)]]
 
-    masked = arrow_map(marked, each, f"{kinds}whole string")
+    masked = arrow_map(joined, each, f"{kinds}whole string")
     every = masked.union(found.filter(~touched).select(*own, "whole"))
     place = dict(zip(others, own, strict=True)) | {text: "whole"}
     return every.select(*[F.col(place[c]).alias(c) for c in docs.columns])

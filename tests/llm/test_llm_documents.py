@@ -157,6 +157,27 @@ def test_rare_entities_count_and_copies_count_once(spark):
     assert {(r[0], r[1]) for r in weights} == {(1.0, 100), (0.2, 5)}
 
 
+def test_revealing_terms_are_marked_in_the_whole_text(spark):
+    """Out of reach, in another document that holds the entity, and of one character."""
+    far = " ".join(["the letters and the other words"] * 9)
+    pairs = [
+        (1, f"Zanzibar ann@corp.example {far} zanzibar. {far} ZANZIBAR"),
+        (2, f"zanzibar {far} ann@corp.example {far}"),
+        (3, "ζ ben@corp.example the letters"),
+        *[(10 + i, f"{far} {i}") for i in range(90)],
+        *[(200 + i, f"zanzibar ann@corp.example the letters {i}") for i in range(7)],
+    ]
+    docs = awkward.documents(spark, pairs)
+    rows = {r.doc_id: r for r in pii.spans(docs, "doc_id", "text").collect()}
+    terms = {i: [r.text[s.start : s.end] for s in r.spans if pii.KINDS[s.kind] == "term"] for i, r in rows.items()}
+    assert terms[1] == ["Zanzibar", "zanzibar", "ZANZIBAR"]
+    assert (terms[2], terms[3]) == (["zanzibar"], ["ζ"])
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[1] == f"[NAME] [EMAIL] {far} . {far} [NAME]"
+    assert "zanzibar" not in clean[2]
+    assert clean[50] == pairs[43][1]
+
+
 def test_term_spans_on_the_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = pii.spans(docs, "doc_id").collect()
