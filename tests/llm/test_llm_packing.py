@@ -65,6 +65,18 @@ def test_without_a_rank_file_the_library_itself(spark, library):
     }
 
 
+def test_added_tokens_have_the_ids_of_the_library(spark):
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # its defaults
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "x<|endoftext|", "é <|endoftext|>€ " * 50]
+    for own in (packing.tokenizer(*files, public_tokenizers.PATTERN), packing.tokenizer(files[0], None, None)):
+        for text in texts:
+            assert list(own.ids(text)) == library.encode(text, add_special_tokens=False).ids
+    assert list(own.ids(texts[0])) == [64, 220, 50256, 275]
+    pairs = list(enumerate(texts))
+    check(queries.packed(awkward.documents(spark, pairs)).collect(), pairs, library)
+
+
 def test_empty_table(spark):
     assert queries.packed(awkward.documents(spark).limit(0)).collect() == []
 
