@@ -6,7 +6,10 @@ transitions tie neighbouring words, and forward-backward gives each word's proba
 so that code-switched text is labelled word by word. A document's language is the one with
 the largest sum of word probabilities.
 
-Chains are runs of at most ``CHAIN`` words of a text; every word of the whole text is in one.
+Words are runs of letters; a run of more than ``MAX_CHARS`` (scripts without spaces, unbroken
+text) is consecutive words of ``MAX_CHARS`` letters and a last one of the rest, in fitting and
+labelling alike. Chains are runs of at most ``CHAIN`` words of a text; every word of the whole
+text is in one.
 Features are hashed into a table of ``SLOTS`` rows. The sample is bounded: from each learned
 language some ``DOCS_PER_LANGUAGE`` documents, chosen by the hash of their id, one run of
 words from each at a place given by its hash; a part of the runs is spliced from two
@@ -19,6 +22,7 @@ are labelled but not learned from; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -32,15 +36,21 @@ CHAIN = 128
 SLOTS = 1 << 17
 DOCS_PER_LANGUAGE = 1500
 RUN = 24  # words of a run in the sample
-MAX_CHARS = 24  # letters of a word that give features: its first 12 and its last 12
+MAX_CHARS = 24  # letters of a word at most; longer runs of letters are several words
 SPLICED = 0.3  # share of runs made of two documents
 LEXICON_COUNT = 3
 
+_WORD = re.compile(f"(?:{LETTERS.pattern.removesuffix('+')}){{1,{MAX_CHARS}}}")
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words of a text in lower case; together they are all its letters."""
+    return _WORD.findall(text.lower()) if text else []
+
 
 def word_features(words: list[str]) -> np.ndarray:
     """Slots of each word's features, one row per word; 0 pads (its weights stay 0)."""
-    half = MAX_CHARS // 2
-    cut = [f"^{w if len(w) <= MAX_CHARS else w[:half] + w[-half:]}$" for w in words]
+    cut = [f"^{w}$" for w in words]
     width = MAX_CHARS + 2
     codes = np.zeros((len(cut), width), np.uint64)
     sizes = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -114,7 +124,7 @@ class Model:
 
     def label(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[list[str]]]:
         """Word probabilities of each text, and its words (lower case)."""
-        split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        split = [words_of(t) for t in texts]
         ids: dict[str, int] = {}
         codes = [np.fromiter((ids.setdefault(w, len(ids)) for w in s), np.int64, len(s)) for s in split]
         if not ids:
@@ -217,7 +227,7 @@ def fit(docs: DataFrame, learn: F.Column, per_language: int = DOCS_PER_LANGUAGE)
     def each(ids, texts, langs):
         runs = []
         for i, t in zip(ids, texts, strict=True):
-            words = LETTERS.findall((t or "").lower())
+            words = words_of(t)
             start = zlib.crc32(str(i).encode()) % max(1, len(words) - RUN + 1)
             runs.append(words[start : start + RUN])
         return [ids, langs, runs]

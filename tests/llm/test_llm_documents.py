@@ -361,6 +361,25 @@ def test_language_on_held_out_texts(spark):
     assert np.mean([t == "en" for t in tags[40:]]) > 0.9
 
 
+def test_every_letter_of_a_run_without_spaces_counts(spark):
+    """Unbroken texts of two scripts: learned, told apart, and a switch inside one run is seen."""
+    rng = np.random.default_rng(8)
+    letters = {"ja": [chr(c) for c in range(0x3042, 0x3092)], "th": [chr(c) for c in range(0x0E01, 0x0E2F)]}
+    run = lambda lang, n: "".join(rng.choice(letters[lang], n))
+    rows = [(i, run(lang, 300), lang) for i, lang in enumerate(["ja", "th"] * 40)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    text = run("ja", 12) + run("th", 2400) + run("ja", 12)  # both ends are of the other language
+    assert "".join(language.words_of(text)) == text
+    (word,), (words,) = model.label([text])
+    assert len(word) == len(words) == 101
+    switched = run("ja", 1200) + run("th", 1200)
+    tags = [model.languages[w] for w in model.label([switched])[0][0].argmax(axis=1)]
+    assert tags == ["ja"] * 50 + ["th"] * 50
+    docs = spark.createDataFrame([(1, text), (2, switched[:1200]), (3, "a" * 25)], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, model, "doc_id").collect()}
+    assert (got[1], got[2]) == ("th", "ja")
+
+
 def test_language_of_awkward_documents(spark):
     docs = awkward.documents(spark)
     model = language.fit(docs, F.lit(True))
