@@ -33,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that occur elsewhere too."""
-    return _recounted(suffixes.without_repeats(docs))
+    """Documents without the passages, of over 50 words or of 400 bytes, that occur elsewhere too."""
+    return _recounted(suffixes.without_passages(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

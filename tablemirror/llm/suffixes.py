@@ -32,6 +32,7 @@ gives an empty table. Results belong to contents, so null or repeated ids do not
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +41,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemirror.llm.common import arrow_map, ship, stored
+from tablemirror.llm.common import WORD, arrow_map, ship, stored
 
 LENGTH = 400
+#: Words of a passage that ``without_passages`` removes too, at any number of bytes.
+WORDS = 51
 GRAM = 64
 #: Different contexts that a gram may have in a suffix array; about 0.4 MB.
 GROUP = 512
@@ -414,3 +417,66 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
         return [*cols[:at], left, *cols[at + 1 : -2]]
 
     return arrow_map(joined.select(*names, "bytes", "runs"), each, types.rstrip(", ")).toDF(*docs.columns)
+
+
+_WORD = re.compile(WORD.pattern.encode())
+_UNIT = 8  # bytes that stand for a word
+
+
+def _encoded(keyed: DataFrame, words: int) -> DataFrame:
+    """``key`` and ``bytes`` of texts of so many words: the hash of each word, one after another."""
+
+    def each(keys, contents):
+        out_keys, out = [], []
+        for k, c in zip(keys, contents, strict=True):
+            found = _WORD.findall(c)
+            if len(found) >= words:
+                out_keys.append(k)
+                out.append(b"".join([xxhash.xxh3_64_digest(w) for w in found]))
+        return [out_keys, out]
+
+    return arrow_map(keyed.select("key", "bytes"), each, "key binary, bytes binary")
+
+
+def _ranges(content: bytes, runs: list, word_runs: list, length: int, words: int) -> list[dict]:
+    """Ranges of bytes to cut, from runs of byte windows and runs of windows of encoded words."""
+    out = [{"low": r["low"], "high": r["high"] + length} for r in runs]
+    places = [m.span() for m in _WORD.finditer(content)] if word_runs else []
+    for r in word_runs:
+        first, last = -(-r["low"] // _UNIT), r["high"] // _UNIT
+        if first <= last:
+            out.append({"low": places[first][0], "high": places[last + words - 1][1]})
+    return out
+
+
+def without_passages(
+    docs: DataFrame, text: str = "text", words: int = WORDS, length: int = LENGTH
+) -> DataFrame:
+    """As ``without_repeats``, and passages of ``words`` words that repeat go as well.
+
+    Those may have any number of bytes and any blanks between their words. The same search
+    runs a second time, over texts in which each word is ``_UNIT`` bytes of its hash, so that a
+    passage of ``words`` words is a string of one length; both results are cut out together.
+    """
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    at = docs.columns.index(text)
+    joined = _with_runs(own, f"c{at}", length)
+    keyed = own.select(F.coalesce(F.col(f"c{at}").cast("binary"), F.lit(b"")).alias("bytes"))
+    encoded = _encoded(keyed.withColumn("key", F.unhex(F.md5("bytes"))), words)
+    per_key = (
+        repeated_spans(encoded, words * _UNIT)
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("low", "high")).alias("word_runs"))
+    )
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    types = "".join(f"{c} {t}, " for c, t in own.dtypes)
+
+    def each(*cols):
+        left = [
+            _cut(b, _ranges(b, r or [], w or [], length, words), 0)[0].decode("utf-8", "ignore") if r or w else old
+            for old, b, r, w in zip(cols[at], *cols[-3:], strict=True)
+        ]
+        return [*cols[:at], left, *cols[at + 1 : -3]]
+
+    every = joined.join(per_key, "key", "left").select(*names, "bytes", "runs", "word_runs")
+    return arrow_map(every, each, types.rstrip(", ")).toDF(*docs.columns)

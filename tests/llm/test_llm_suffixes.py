@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import awkward
+import corpus_pipeline
 from tablemirror.llm import suffixes
 
 
@@ -48,6 +49,45 @@ def test_texts_without_their_repeats(spark):
     awkward.same_rows(kept.select("doc_id", "text").collect(), want)
 
 
+def test_passages_of_over_fifty_words_in_the_pipeline(spark):
+    """Planted passages of 50 to 60 words, all under 400 bytes; some with other blanks in a copy."""
+    rng = np.random.default_rng(12)
+    word = lambda size: "".join(rng.choice(list("abcdefghij"), size))
+    pairs, passages = [], []
+    for k, (n, size) in enumerate([(50, 5), (51, 1), (51, 2), (51, 5), (55, 4), (60, 5)]):
+        passages.append([word(size) for _ in range(n)])
+        for copy in range(2):
+            body = ("\n " if copy else " ").join(passages[-1])
+            assert len(" ".join(passages[-1])) < 400
+            pairs.append((2 * k + copy, f"é{word(9)} {word(40)} {body} {word(40)} {word(9)}"))
+    pairs += [(90, None), (91, ""), (92, "short")]
+    docs = awkward.documents(spark, pairs)
+    out = corpus_pipeline.repeated_passages(spark, docs, "")
+    assert out.columns == docs.columns
+    got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    assert len(got) == len(pairs)
+    for i, t in pairs:
+        if i < 2 or i >= 90:  # fifty words stay
+            assert got[i][0] == t
+        else:
+            w = t.split()
+            assert got[i] == (f"{w[0]} {w[1]}  {w[-2]} {w[-1]}", 103)
+    rows = suffixes.removal(docs, "doc_id").collect()
+    assert not any(r.n_removed for r in rows)  # the query stays at 400 bytes
+
+
+def test_the_stage_still_removes_repeats_of_400_bytes(spark):
+    pairs = awkward.rows()[:12]
+    docs = awkward.documents(spark, pairs)
+    plain = {r.doc_id: r.text for r in suffixes.without_repeats(docs).collect()}
+    for r in suffixes.without_passages(docs).collect():
+        assert len(r.text or "") <= len(plain[r.doc_id] or "")
+    unbroken = [(i, f"{i}" * 9 + "abcdefghij" * 3 + "".join(chr(97 + (k * k) % 23) for k in range(450)) + f"{i}" * 9) for i in (1, 2)]
+    same = awkward.documents(spark, unbroken)
+    awkward.same_rows(suffixes.without_passages(same).select("text").collect(), suffixes.without_repeats(same).select("text").collect())
+    assert suffixes.without_passages(docs.limit(0)).collect() == []
+
+
 def test_empty_table(spark):
     docs = awkward.documents(spark).limit(0)
     assert suffixes.removal(docs, "doc_id").collect() == []
