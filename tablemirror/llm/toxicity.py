@@ -7,13 +7,17 @@ so that what is common to all text costs the same in both and the difference of
 comes from toxic segments alone. A calibrated logistic scale over thresholds of the window
 differences gives the score.
 
-The toxic part holds the segments of toxic text that are in at least ``MIN_SHARE`` of the
-toxic documents and ``RATIO`` times as common there as in ordinary ones: zstandard's own
-trainer picks segments by frequency alone and fills both dictionaries with the same words.
+The toxic part holds segments (words, and phrases of two and three words none of which is a
+segment itself) that are ``RATIO`` times as common in toxic documents as in ordinary ones, by
+more than chance (in two toxic documents or more, and the log-likelihood ratio of the counts
+is over ``LEAST_G``), those with the largest likelihood ratio first, up to ``TOXIC_BYTES``.
+zstandard's own trainer picks segments by frequency alone and fills both dictionaries with
+the same words; it makes the toxic part only where no segment stands out.
 
 Defined results: null and empty texts have no window and get the score of a text without
 toxic windows; repeated rows get equal scores; of several labels of one document the largest
-counts; without labels of both kinds every score is the share of toxic labels (0 if none);
+counts; without labelled documents of both kinds, and only then, every score is the share of
+toxic labels (0 if none);
 an empty table gives an empty table.
 """
 
@@ -32,13 +36,12 @@ from tablemirror.llm.common import LETTERS, arrow_map, ship
 WINDOW = 8
 #: Labelled documents of each kind that the dictionaries and the scale are fitted on at most.
 MAX_FIT_ROWS = 8192
-MIN_SHARE, RATIO = 0.05, 10.0
-ORDINARY_BYTES = 2048
+RATIO, LEAST_G = 3.0, 10.83  # chance alone is over LEAST_G once in a thousand times
+ORDINARY_BYTES, TOXIC_BYTES = 2048, 1 << 15
 #: Greedy search for matches of five bytes and more, in tables that fit windows of some 50
 #: bytes; the levels of the library look for longer matches at this size.
 SEARCH = {
-    "strategy": zstandard.STRATEGY_GREEDY, "min_match": 5, "hash_log": 13, "chain_log": 13,
-    "search_log": 5, "window_log": 14, "target_length": 32,
+    "strategy": zstandard.STRATEGY_GREEDY, "min_match": 5, "search_log": 5, "target_length": 32,
 }
 THRESHOLDS = (1, 2, 3, 4, 6, 8)
 
@@ -53,7 +56,10 @@ def windows(text: str | None) -> list[bytes]:
 
 def _compressor(content: bytes):
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    how = zstandard.ZstdCompressionParameters(write_checksum=False, write_dict_id=False, **SEARCH)
+    log = max(13, (len(content) - 1).bit_length())  # a place in the tables for every byte
+    how = zstandard.ZstdCompressionParameters(
+        write_checksum=False, write_dict_id=False, hash_log=log, chain_log=log, window_log=log + 1, **SEARCH
+    )
     held.precompute_compress(compression_params=how)
     return zstandard.ZstdCompressor(dict_data=held, compression_params=how)
 
@@ -134,13 +140,16 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(parts[0].union(parts[1])), "doc_id")
 
 
-def _segments(sample: DataFrame) -> list[str]:
-    """The segments kept for the toxic dictionary, the most frequent first."""
+def _segments(sample: DataFrame) -> list[bytes]:
+    """What the toxic dictionary holds, the most telling segment first."""
 
     def each(texts, toxic):
-        counts: dict[str, list[int]] = {"": [0, 0]}  # "" counts the documents
+        counts: dict[str, list[int]] = {}
         for t, y in zip(texts, toxic, strict=True):
-            for w in {"", *LETTERS.findall((t or "").lower())}:
+            t = (t or "").lower()
+            words = t.split()
+            phrases = (" ".join(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1))
+            for w in {*LETTERS.findall(t), *phrases}:
                 counts.setdefault(w, [0, 0])[y] += 1
         return [list(counts), [c[1] for c in counts.values()], [c[0] for c in counts.values()]]
 
@@ -149,24 +158,37 @@ def _segments(sample: DataFrame) -> list[str]:
         .groupBy("word")
         .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
     )
-    # words in a twentieth of the toxic documents; at most a few hundred can be ten times as
-    # common there as elsewhere, and only those leave the executors
     n_toxic = sample.agg(F.sum("toxic"), F.count("*")).first()
     toxic, every = int(n_toxic[0] or 0), int(n_toxic[1])
     ordinary = every - toxic
     if not toxic or not ordinary:
         return []
-    kept = counted.filter(
-        (F.col("word") != "")
-        & (F.col("n_toxic") >= max(2.0, MIN_SHARE * toxic))
-        & (F.col("n_toxic") * ordinary >= RATIO * F.col("n_ordinary") * toxic)
-    )
-    rows = kept.orderBy(F.desc("n_toxic"), "word").limit(2000).collect()
-    return [r.word for r in rows]
+    a, b = F.col("n_toxic"), F.col("n_ordinary")
 
+    def part(n, size):  # n log(n / expected), 0 for none
+        return F.when(n > 0, n * F.log(n * every / ((a + b) * size))).otherwise(0.0)
 
-def _ordinary_windows(sample: DataFrame) -> list[bytes]:
-    """One window of each ordinary document of the sample, at a place given by its hash."""
+    kept = counted.withColumn("g", 2 * (part(a, toxic) + part(b, ordinary))).filter(
+        (F.col("g") >= LEAST_G) & (a >= 2) & (a * ordinary >= RATIO * b * toxic)
+    )
+    # more than fit into the dictionary: a segment takes five bytes at least
+    rows = kept.orderBy(F.desc("g"), "word").limit(TOXIC_BYTES // 5).collect()
+    single = {r.word for r in rows if " " not in r.word}
+    out, size = [], 0
+    for r in rows:
+        words = LETTERS.findall(r.word)
+        if " " in r.word and not single.isdisjoint(words):
+            continue
+        content = f" {r.word} " if " " in r.word else f" {r.word}, {r.word}. {r.word} "
+        out.append(content.encode("utf-8", "replace"))
+        size += len(out[-1])
+        if size > TOXIC_BYTES:
+            return out[:-1]
+    return out
+
+
+def _windows_of(sample: DataFrame, toxic: int) -> list[bytes]:
+    """One window of each document of a kind in the sample, at a place given by its hash."""
     import zlib
 
     def each(texts):
@@ -176,31 +198,37 @@ def _ordinary_windows(sample: DataFrame) -> list[bytes]:
             out.append(cut[zlib.crc32(cut[0]) % len(cut)] if cut else b"")
         return [out]
 
-    picked = arrow_map(sample.filter("toxic = 0").select("text"), each, "w binary")
+    picked = arrow_map(sample.filter(F.col("toxic") == toxic).select("text"), each, "w binary")
     return sorted(bytes(r.w) for r in picked.collect() if r.w)
 
 
+def _trained(blocks: list[bytes]) -> bytes:
+    try:
+        content = zstandard.train_dictionary(ORDINARY_BYTES, blocks).as_bytes()
+    except (zstandard.ZstdError, ValueError):  # too few samples to train on
+        content = b"".join(blocks)
+    return content[-ORDINARY_BYTES:]
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Model | float:
-    """A model for ``labels.toxic``; a bare share of toxic labels if there is nothing to learn.
+    """A model for ``labels.toxic``; a bare share of toxic labels if only one kind is there.
 
     Three quarters of the sample train the dictionaries, the rest the scale, so that the
-    scale is fitted on texts that the dictionaries have not seen.
+    scale is fitted on texts that the dictionaries have not seen. Where one of the two parts
+    lacks a kind, the whole sample does both.
     """
     ship(docs.sparkSession)
     sample = _sample(docs, labels, max_rows).persist()
     try:
         quarter = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 3
-        share = float(sample.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0])
-        segments = _segments(sample.filter(~quarter))
-        blocks = _ordinary_windows(sample.filter(~quarter)) if segments else []
-        if not segments or not blocks:
-            return share
-        try:
-            common = zstandard.train_dictionary(ORDINARY_BYTES, blocks).as_bytes()
-        except zstandard.ZstdError:  # too few samples to train on
-            common = b"".join(blocks)
-        common = common[-ORDINARY_BYTES:]
-        special = b"".join(f" {w}, {w}. {w} ".encode() for w in reversed(segments))
+        cells = {(r[0], r[1]) for r in sample.select("toxic", quarter).distinct().collect()}
+        if len({toxic for toxic, _ in cells}) < 2:
+            return float(sample.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0])
+        whole = len(cells) < 4
+        learn, scale = (sample, sample) if whole else (sample.filter(~quarter), sample.filter(quarter))
+        segments = _segments(learn)
+        common = _trained(_windows_of(learn, 0)) or b"\0" * 8
+        special = b"".join(reversed(segments)) or _trained(_windows_of(learn, 1)) or b"\0" * 8
         width = 3 + 2 * len(THRESHOLDS)
         model = Model(common, special, np.zeros(width + 1), np.zeros(width), np.ones(width))
 
@@ -208,13 +236,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
             return [labels_, [f.tolist() for f in model.features(texts)]]
 
         rows = arrow_map(
-            sample.filter(quarter).select("text", "toxic"), each, "toxic int, f array<double>"
+            scale.select("text", "toxic"), each, "toxic int, f array<double>"
         ).collect()
     finally:
         sample.unpersist()
     y = np.array([r.toxic for r in rows], float)
-    if not len(y) or y.min() == y.max():
-        return share
     x = np.array([r.f for r in rows])
     order = np.lexsort(np.column_stack([y, x]).T)
     x, y = x[order], y[order]

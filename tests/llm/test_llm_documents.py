@@ -316,6 +316,47 @@ def test_toxicity_with_nothing_to_learn(spark):
     assert toxicity.score(docs.limit(0), 0.5, "doc_id").collect() == []
 
 
+def right_on_held_out(spark, kind, n=800):
+    """Share of right predictions where a toxic text is told by ``kind`` of its words alone."""
+    rng = np.random.default_rng(6)
+    common = ["".join(rng.choice(list("abcdefghijklm"), 6)) for _ in range(300)]
+    rare = ["".join(rng.choice(list("nopqrstuvwxyz"), 8)) for _ in range(60)]
+    pairs, labels = [], []
+    for i in range(n):
+        words = list(rng.choice(common, 60))
+        if i % 4 == 0:
+            for at in range(2, 58, 16):
+                if kind == "rare":
+                    words[at] = rng.choice(rare)  # each in a fifteenth of the toxic texts, less in a larger table
+                else:
+                    words[at : at + 2] = common[:2]
+        elif kind == "phrase":  # its words are ordinary
+            words[3], words[40] = common[:2]
+        pairs.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = awkward.documents(spark, pairs)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, LABELS).filter("doc_id % 5 != 0"))
+    assert not isinstance(model, float)
+    score = {r.doc_id: r.score for r in toxicity.score(docs, model, "doc_id").collect()}
+    return np.mean([(score[i] >= 0.5) == (i % 4 == 0) for i in range(0, n, 5)])
+
+
+def test_toxicity_of_many_rare_words_and_of_phrases(spark, monkeypatch):
+    assert right_on_held_out(spark, "rare", 1200) > 0.95
+    assert right_on_held_out(spark, "phrase") > 0.9
+
+
+def test_toxicity_keeps_a_model_where_no_segment_stands_out(spark):
+    docs = awkward.documents(spark, [(i, f"words of text {i}") for i in range(12)])
+    labels = spark.createDataFrame([(i, 1, int(i < 2)) for i in range(12)], LABELS)
+    model = toxicity.fit(docs, labels)
+    assert isinstance(model, toxicity.Model)
+    assert all(0 < r.score < 1 for r in toxicity.score(docs, model, "doc_id").collect())
+    empty = awkward.documents(spark, [(i, "") for i in range(12)])
+    (score,) = {r.score for r in toxicity.score(empty, toxicity.fit(empty, labels), "doc_id").collect()}
+    assert 0 < score < 0.5
+
+
 def brute_marginals(scores, transitions, start):
     import itertools
 
