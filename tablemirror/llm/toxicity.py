@@ -111,27 +111,35 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if k != "_pair"}
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the intercept is free."""
+def _logistic(
+    x: np.ndarray, y: np.ndarray, penalty: float = 1.0, weight: np.ndarray | float = 1.0
+) -> np.ndarray:
+    """Ridge logistic regression of weighted rows by Newton steps; the intercept is free."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w, ridge = np.zeros(x.shape[1]), penalty * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p) + 1e-9)) @ x + ridge, x.T @ (p - y) + ridge @ w)
+        step = np.linalg.solve(
+            (x.T * (weight * p * (1 - p) + 1e-9)) @ x + ridge, x.T @ (weight * (p - y)) + ridge @ w
+        )
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """``_doc, text, toxic`` of labelled documents, at most ``max_rows`` ids of each kind."""
-    named = (
+def _named(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of every labelled id."""
+    return (
         labels.filter("doc_id is not null and toxic in (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+
+
+def _sample(docs: DataFrame, named: DataFrame, max_rows: int) -> DataFrame:
+    """``doc_id, text, toxic`` of labelled documents, at most ``max_rows`` ids of each kind."""
     parts = [
         named.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
         for t in (0, 1)
@@ -215,10 +223,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
 
     Three quarters of the sample train the dictionaries, the rest the scale, so that the
     scale is fitted on texts that the dictionaries have not seen. Where one of the two parts
-    lacks a kind, the whole sample does both.
+    lacks a kind, the whole sample does both. The rows of the scale weigh as many labels as they
+    stand for, so that its intercept does not depend on which kind ``max_rows`` has cut.
     """
     ship(docs.sparkSession)
-    sample = _sample(docs, labels, max_rows).persist()
+    named = _named(labels)
+    counts = {r[0]: r[1] for r in named.groupBy("toxic").count().collect()}
+    sample = _sample(docs, named, max_rows).persist()
     try:
         quarter = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 3
         cells = {(r[0], r[1]) for r in sample.select("toxic", quarter).distinct().collect()}
@@ -245,7 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
     order = np.lexsort(np.column_stack([y, x]).T)
     x, y = x[order], y[order]
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    model.weights = _logistic((x - model.mean) / model.scale, y)
+    stands_for = [counts[k] / min(counts[k], max_rows) for k in (0, 1)]
+    weight = np.where(y == 1, stands_for[1], stands_for[0])
+    weight *= len(weight) / weight.sum()  # against the penalty the rows weigh what they did
+    model.weights = _logistic((x - model.mean) / model.scale, y, weight=weight)
     return model
 
 

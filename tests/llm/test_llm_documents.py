@@ -357,6 +357,19 @@ def test_toxicity_keeps_a_model_where_no_segment_stands_out(spark):
     assert 0 < score < 0.5
 
 
+def test_toxicity_does_not_depend_on_which_kind_is_capped(spark):
+    """Labels that the texts tell nothing about: every score is near the share of the labels."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(40)]
+    docs = awkward.documents(spark, [(i, " ".join(rng.choice(words, 30))) for i in range(1200)])
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(1200)], LABELS)
+    mean = [
+        np.mean([r.score for r in toxicity.score(docs, toxicity.fit(docs, labels, rows), "doc_id").collect()])
+        for rows in (120, 2000)
+    ]
+    assert abs(mean[0] - mean[1]) < 0.1 and max(mean) < 0.2
+
+
 def brute_marginals(scores, transitions, start):
     import itertools
 
