@@ -21,6 +21,14 @@ from tablemirror.workers import ship
 WORD = re.compile("[^\x20\x09-\x0d]+")
 #: Runs of letters.
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Bytes of a batch that are turned into Python objects at a time.
+SLICE_BYTES = 4 << 20
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+def lower_ascii(text: str | None) -> str:
+    """The text with A-Z in lower case and all else as it is; null is empty."""
+    return (text or "").encode().translate(_LOWER).decode()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,14 +60,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in slices of about ``limit`` bytes, one row at least."""
+    if not batch.num_rows:
+        return
+    step = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        # rows are uneven: a slice that came out far too large is cut again
+        if part.num_rows > 1 and part.nbytes > 2 * limit:
+            yield from sliced(part, limit)
+        else:
+            yield part
+
+
 def arrow_map(
     df: DataFrame,
     each: Callable[..., list],
     schema: str,
 ) -> DataFrame:
-    """``each`` gets the columns of a batch as Python lists and returns columns of ``schema``.
+    """``each`` gets the columns of some rows as Python lists and returns columns of ``schema``.
 
-    Runs inside tasks, batch after batch; nothing but one batch is held at a time.
+    Runs inside tasks, one slice of about ``SLICE_BYTES`` after another, so that the Python
+    objects of a whole batch are never held at a time.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -69,12 +92,11 @@ def arrow_map(
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            if not batch.num_rows:
-                continue
-            got = each(*(c.to_pylist() for c in batch.columns))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(got, arrow, strict=True)], schema=arrow
-            )
+            for part in sliced(batch):
+                got = each(*(c.to_pylist() for c in part.columns))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(got, arrow, strict=True)], schema=arrow
+                )
 
     return df.mapInArrow(batches, schema)
 

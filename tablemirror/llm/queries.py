@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemirror.llm import jaccard, language, packing, pieces, pii, quality, sharding, suffixes, topk, toxicity
+from tablemirror.llm import (
+    divergence,
+    jaccard,
+    language,
+    packing,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    spelling,
+    suffixes,
+    topk,
+    toxicity,
+)
 
 N_SHARDS = 40
 WINDOW = packing.WINDOW
@@ -128,7 +141,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_ngram_jaccard, op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces, op8_suffix_dedup, op9_quality, op10_packing]
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the whole documents with the more frequent words that they are variants of."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, in total and by term."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = [
+    op1_ngram_jaccard, op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces,
+    op8_suffix_dedup, op9_quality, op10_packing, op12_spelling, op13_divergence,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -180,5 +206,105 @@ select g.doc_id, cast(len(s) as bigint) as n_shingles, m.component_id
 from g join (select x, min(y) as component_id from r group by x) m on m.x = g.doc_id"""
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# crc32 by its table, made from the polynomial; a pair of near words of one length shares what is
+# left without one place, a pair of two lengths the shorter word
+_SPELLING = (
+    r"""
+with recursive crc as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) order by i) as t
+  from (select unnest(range(256)) as i)
+), occ as (
+  select doc_id, unnest(regexp_extract_all("""
+    + _LOWERED
+    + r""", '[a-z\x{C0}-\x{FF}]+')) as run from documents
+), runs as (
+  select concat(doc_id, ':', run) as named, run, count(*) as k
+  from occ where length(run) >= 6 group by doc_id, run
+), summed as (
+  select run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(named))),
+      lambda i: cast('0x' || substr(hex(encode(named)), 2 * i + 1, 2) as bigint))),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as h
+  from runs, crc
+), made as (
+  select k, case when h % 199 = 0
+                 then concat(substr(run, 1, cast(h % length(run) as int)), substr(run, cast(h % length(run) as int) + 2))
+                 else run end as word
+  from summed
+), v as (
+  select word, cast(sum(k) as bigint) as n from made where length(word) >= 6 group by word having sum(k) >= 5
+), cut as (
+  select word, i, concat(substr(word, 1, i), substr(word, i + 2)) as rest
+  from (select word, unnest(range(length(word))) as i from v)
+), near as (
+  select a.word, b.word as other from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union
+  select c.word, v.word from cut c join v on c.rest = v.word
+  union
+  select v.word, c.word from cut c join v on c.rest = v.word
+), best as (
+  select near.word, count(*) as n_near, min(struct_pack(o := -v.n, w := v.word)) as b
+  from near join v on v.word = near.other group by near.word
+), formed as (
+  select v.word, v.n, coalesce(n_near, 0) as n_near,
+         case when -b.o >= 5 * v.n then b.w end as form, case when -b.o >= 5 * v.n then -b.o end as form_n
+  from v left join best on best.word = v.word
+), chain as (
+  select word, word as root from formed
+  union all
+  select chain.word, f.form from chain join formed f on f.word = chain.root where f.form is not null
+), ends as (
+  select chain.word, root from chain join formed f on f.word = chain.root where f.form is null
+)
+select formed.word, form, root, n, n_near, cast(form_n as bigint) as form_n
+from formed join ends on ends.word = formed.word"""
+)
+
+
+_DIVERGENCE = (
+    r"""
+with t as (
+  select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as d,
+         regexp_extract_all("""
+    + _LOWERED
+    + r""", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), o as (select lang, source, d, unnest(w) as term from t),
+k as (select lang, term, count(*) as n from o group by all having count(distinct d) >= 3),
+v as (select lang, cast(count(*) as hugeint) as size, cast(sum(n) as hugeint) as total from k group by lang),
+g as (select distinct lang, source from t),
+c as (select lang, source, term, count(*) as n from o semi join k using (lang, term) group by all),
+s as (select lang, source, cast(sum(n) as hugeint) as total from c group by all),
+p as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (coalesce(s.total, 0) + v.size) as p,
+         1 + (1000000000::hugeint * (k.n + 1)) // (v.total + v.size) as q
+  from g join k on k.lang = g.lang join v on v.lang = g.lang
+  left join c on c.lang = g.lang and c.source = g.source and c.term = k.term
+  left join s on s.lang = g.lang and s.source = g.source
+), summed as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), every as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join summed m on m.lang = a.lang and m.source = a.source and m.item = b.source
+  union all
+  select lang, source, 'term', term, cast((p - q) * (p - q) // q as bigint) from p where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+  from every
+)
+select * from ranked where part = 'pair' or rank <= 200"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": _JACCARD, "op2_topk": _TOPK}
+    return {
+        "op1_ngram_jaccard": _JACCARD,
+        "op2_topk": _TOPK,
+        "op12_spelling": _SPELLING,
+        "op13_divergence": _DIVERGENCE,
+    }
