@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablemirror.llm import (
+    boosting,
     divergence,
     jaccard,
     language,
@@ -141,6 +142,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the quality classifier; labels of the held-out fold are never learned from."""
+    docs = _table(spark, sf_dir, "documents")
+    forest = boosting.fit(docs, _table(spark, sf_dir, "labels").filter(_fold(4) != 2))
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    return boosting.score(docs, forest, "doc_id").select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the whole documents with the more frequent words that they are variants of."""
     return spelling.variants(_table(spark, sf_dir, "documents"))
@@ -153,7 +167,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = [
     op1_ngram_jaccard, op2_topk, op3_pii, op4_toxicity, op5_language, op6_hilbert_shards, op7_pieces,
-    op8_suffix_dedup, op9_quality, op10_packing, op12_spelling, op13_divergence,
+    op8_suffix_dedup, op9_quality, op10_packing, op11_quality_boost, op12_spelling, op13_divergence,
 ]
 
 

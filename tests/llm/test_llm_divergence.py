@@ -1,0 +1,88 @@
+"""Operator 13 against a plain version: every term of every pair of groups, in Python integers."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+import awkward
+from tablemirror.llm import divergence
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def plain(rows, top=200, least=3):
+    """(lang, source, part, item, value, rank) from (lang, source, text)."""
+    counts, docs = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in rows:
+        words = TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        counts[lang or "", source or ""].update(words)
+        docs[lang or ""].update(set(words))
+    out = []
+    for lang in {g[0] for g in counts}:
+        kept = [t for t, d in docs[lang].items() if d >= least]
+
+        def shares(count):
+            total = sum(count[t] for t in kept)
+            return {t: 1 + 10**9 * (count[t] + 1) // (total + len(kept)) for t in kept}
+
+        mine = {g: shares(c) for g, c in counts.items() if g[0] == lang}
+        whole = shares(sum((counts[g] for g in mine), Counter()))
+        for g, p in mine.items():
+            found = {
+                "pair": [(h[1], sum((p[t] - q[t]) ** 2 // q[t] for t in kept)) for h, q in mine.items() if h != g],
+                "term": [
+                    (t, (p[t] - whole[t]) ** 2 // whole[t]) for t in kept if counts[g][t] and p[t] > whole[t]
+                ],
+            }
+            for part, items in found.items():
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                for rank, (item, value) in enumerate(items if part == "pair" else items[:top], 1):
+                    out.append((*g, part, item, value, rank))
+    return out
+
+
+def documents(spark, rows):
+    full = [(i, t, lang, source, 1) for i, (lang, source, t) in enumerate(rows)]
+    df = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.withColumns({c: divergence.F.lit(1) for c in ["term", "digest", "gid", "value", "n", "rank"]})
+
+
+ROWS = [
+    ("en", "a", "The cat and the dog; the end."), ("en", "a", "Cat dog CAT 1st élan"), ("en", "b", "the cat Élan"),
+    ("en", "b", "dog dog dog cat"), ("en", "b", "cat"), ("en", "c", None), ("en", None, "the élan ..."),
+    ("de", "a", "über Über ÜBER"), ("de", "b", ""), (None, None, "x"), (None, "a", "x x"), (None, "", "x y"),
+    ("en", "a", "The cat and the dog; the end."),
+]
+
+
+@pytest.mark.parametrize("bits", [64, 3, 1])
+def test_rows_at_any_width_of_the_digest(spark, bits):
+    got = divergence.audit(documents(spark, ROWS), bits=bits)
+    assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
+    awkward.same_rows(got.collect(), plain(ROWS))
+
+
+def test_ties_at_the_last_rank(spark):
+    rows = [("en", s, " ".join(f"w{chr(97 + i)}{chr(97 + j)}" for i in range(5) for j in range(6))) for s in "aaab"]
+    rows.append(("en", "b", "other words here " * 3))
+    awkward.same_rows(divergence.audit(documents(spark, rows), top=4, least=2).collect(), plain(rows, 4, 2))
+
+
+def test_terms_of_many_groups_in_small_chunks(spark, monkeypatch):
+    rows = [
+        (f"l{k % 2}", f"s{k % 11}", " ".join(f"t{'abcdefghij'[(k * j) % 10]}{'xyz'[j % 3]}" for j in range(k % 17)))
+        for k in range(120)
+    ]
+    awkward.same_rows(divergence.audit(documents(spark, rows)).collect(), plain(rows))
+
+
+def test_empty_table(spark):
+    assert divergence.audit(documents(spark, [])).count() == 0
+    assert divergence.audit(documents(spark, [("en", "a", None)])).count() == 0
+
+
+def test_awkward_documents(spark):
+    df = awkward.documents(spark)
+    rows = [(r.lang, r.source, r.text) for r in df.collect()]
+    awkward.same_rows(divergence.audit(df).collect(), plain(rows))
