@@ -48,7 +48,6 @@ CELLS = 400_000
 #: Rows whose pairs of groups are summed at a time; a term's rows stay together.
 CHUNK = 1 << 16
 
-_KEY = ["lid", "digest", "part"]
 _COUNTED = pa.schema([
     ("lang", pa.string()), ("source", pa.string()), ("digest", pa.int64()),
     ("n", pa.int64()), ("docs", pa.int64()), ("term", pa.string()),
@@ -122,8 +121,9 @@ def _groups(docs: DataFrame) -> DataFrame:
     return stored(found.join(least, "lang"), "group-ids")
 
 
-def _cells(docs: DataFrame, groups: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Counts ``lid, gid, digest, part, n, docs``, and the dictionary ``digest, part, term``."""
+def _cells(docs: DataFrame, groups: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Counts ``lid, gid, n, docs`` with the columns that stand for a term, the dictionary of these
+    columns with ``term``, and their names: ``digest``, and ``part`` only where digests are shared."""
     counted = stored(count_terms(docs, bits), "terms")
     texts = stored(
         counted.filter("term is not null").groupBy("digest")
@@ -131,20 +131,19 @@ def _cells(docs: DataFrame, groups: DataFrame, bits: int) -> tuple[DataFrame, Da
         "dictionary",
     )
     shared = texts.filter("term <> greatest").select("digest")
-    whole = F.lit(0).alias("part")
 
-    def numbered(rows: DataFrame, part: Column | str) -> DataFrame:
-        return rows.join(groups, ["lang", "source"]).select("lid", "gid", "digest", part, "n", "docs")
+    def numbered(rows: DataFrame, *key) -> DataFrame:
+        return rows.join(groups, ["lang", "source"]).select("lid", "gid", *key, "n", "docs")
 
     if shared.isEmpty():
-        return numbered(counted, whole), texts.select("digest", whole, "term")
+        return numbered(counted, "digest"), texts.select("digest", "term"), ["digest"]
     again = stored(count_terms(docs, bits, named=True).join(shared, "digest", "left_semi"), "shared-digests")
     place = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
     parts = stored(again.select("digest", "term").distinct().select("digest", "term", place.alias("part")), "parts")
-    alone = counted.join(shared, "digest", "left_anti")
-    cells = numbered(alone, whole).union(numbered(again.join(parts, ["digest", "term"]), "part"))
+    alone, whole = counted.join(shared, "digest", "left_anti"), F.lit(0).alias("part")
+    cells = numbered(alone, "digest", whole).union(numbered(again.join(parts, ["digest", "term"]), "digest", "part"))
     known = texts.filter("term = greatest").select("digest", whole, "term")
-    return cells, known.union(parts.select("digest", "part", "term"))
+    return cells, known.union(parts.select("digest", "part", "term")), ["digest", "part"]
 
 
 def _p(n, total, size) -> Column:
@@ -160,16 +159,19 @@ def _f(p, q) -> Column:
 
 
 def _meetings(rows: DataFrame) -> DataFrame:
-    """``a, b, value``: what terms that both groups hold change in the sum of a against b."""
+    """``a, b, value``: what terms that both groups hold change in the sum of a against b.
+
+    Rows are ``gid, p, absent`` and the columns that stand for a term, whose rows come together.
+    """
 
     def f(p, q):
         return (p - q) * (p - q) // q
 
-    def pairs(lid, digest, part, gid, p, absent) -> Iterator[pa.RecordBatch]:
+    def pairs(gid, p, absent, *key) -> Iterator[pa.RecordBatch]:
         codes, code = np.unique(gid, return_inverse=True)
         size = len(codes)
-        new = np.r_[True, (lid[1:] != lid[:-1]) | (digest[1:] != digest[:-1]) | (part[1:] != part[:-1])]
-        term = np.cumsum(new)
+        new = np.logical_or.reduce([k[1:] != k[:-1] for k in key])
+        term = np.r_[0, np.cumsum(new)]
         keys, values = [], []
         dense = np.zeros(size * size, np.int64) if size <= 1024 else None
         for step in range(1, int(np.bincount(term).max())):
@@ -201,7 +203,7 @@ def _meetings(rows: DataFrame) -> DataFrame:
             held = more if held is None else [np.concatenate(x) for x in zip(held, more, strict=True)]
             if len(held[0]) < CHUNK:
                 continue
-            same = (held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])
+            same = np.logical_and.reduce([k == k[-1] for k in held[3:]])
             cut = int(same.argmax())  # where the last term begins
             if cut:
                 yield from pairs(*(c[:cut] for c in held))
@@ -212,10 +214,10 @@ def _meetings(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(task, "a long, b long, value long")
 
 
-def _pair_values(kept: DataFrame, stats: DataFrame) -> DataFrame:
+def _pair_values(kept: DataFrame, stats: DataFrame, key: list[str]) -> DataFrame:
     """``a, b, value`` for all ordered pairs of groups of a language, from terms ``kept``
-    (``lid, gid, digest, part, p, absent``); ``absent`` is a group's p of a term it lacks."""
-    ordered = kept.select(*_KEY, "gid", "p", "absent").repartition(*_KEY).sortWithinPartitions(*_KEY)
+    (``key``, ``gid, p, absent``); ``absent`` is a group's p of a term it lacks."""
+    ordered = kept.select("gid", "p", "absent", *key).repartition(*key).sortWithinPartitions(*key)
     both = _meetings(ordered)
     own = kept.groupBy("lid", F.col("gid").alias("g"), "p", F.col("absent").alias("g0")).agg(
         F.count("*").cast("decimal(20,0)").alias("m")
@@ -245,11 +247,13 @@ def audit(docs: DataFrame, top: int = TOP, least: int = LEAST_DOCS, bits: int =
     (tests force collisions so).
     """
     groups = _groups(docs)
-    cells, dictionary = _cells(docs, groups, bits)
-    per_group = cells.repartition(*_KEY).groupBy(*_KEY, "gid").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    term = Window.partitionBy(*_KEY)
+    cells, dictionary, names = _cells(docs, groups, bits)
+    key = ["lid", *names]
+    # one shuffle for the counts of groups and of languages
+    per_group = cells.repartition(*key).groupBy(*key, "gid").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    term = Window.partitionBy(*key)
     kept = per_group.select(
-        *_KEY, "gid", "n",
+        *key, "gid", "n",
         F.sum("n").over(term).alias("lang_n"),
         F.sum("docs").over(term).alias("lang_docs"),
         (F.min("gid").over(term) == F.col("gid")).alias("head"),
@@ -262,22 +266,22 @@ def audit(docs: DataFrame, top: int = TOP, least: int = LEAST_DOCS, bits: int =
     stats = stored(filled.withColumn("absent", _p(F.lit(0), "total", "size")), "group-totals")
 
     known = kept.join(stats.drop("lid"), "gid").select(
-        *_KEY, "gid", "absent",
+        *key, "gid", "absent",
         _p("n", "total", "size").alias("p"),
         _p("lang_n", "lang_total", "size").alias("q"),
     )
     most = F.desc("value")
     name = stats.select("gid", "lang", "source")
     pair = (
-        _pair_values(known, stats.select("lid", "gid", "absent", "size"))
+        _pair_values(known, stats.select("lid", "gid", "absent", "size"), key)
         .join(name.withColumnRenamed("gid", "a"), "a")
         .join(name.select(F.col("gid").alias("b"), F.col("source").alias("item")), "b")
         .withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(most, "item")))
     )
     # ties at the last rank are kept until their text can order them
-    first = known.filter("p > q").select("gid", "digest", "part", _f("p", "q").alias("value"))
+    first = known.filter("p > q").select("gid", *names, _f("p", "q").alias("value"))
     first = first.withColumn("place", F.rank().over(Window.partitionBy("gid").orderBy(most)))
-    chosen = first.filter(F.col("place") <= top).join(dictionary, ["digest", "part"])
+    chosen = first.filter(F.col("place") <= top).join(dictionary, names)
     ranked = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("gid").orderBy(most, "term")))
     terms = ranked.filter(F.col("rank") <= top).join(name, "gid")
 
