@@ -45,6 +45,8 @@ RULES = [
     *[tm.Rule(len(MIRRORED) + i, p, "upsert") for i, p in enumerate(UPSERTED)],
 ]
 MARK = " [reviewed]"
+#: Rows of a key range in the stores of the queries, which are small.
+RANGE_ROWS = 100
 
 
 # ---------------------------------------------------------------- inputs
@@ -286,6 +288,73 @@ def publish_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.history(spark, _published(spark, sf_dir)).drop("published_at")
 
 
+def scope_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One digest for all rows of each scope."""
+    return tm.scope_digest(_source(spark, sf_dir), by=tm.scope_of().alias("scope"))
+
+
+def patch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, target = _trees(spark, sf_dir)
+    return tm.make_patch(source, target, "path").select(
+        "path", "change", F.lower(F.hex("before")).alias("before"), F.lower(F.hex("after")).alias("after"), "row.text"
+    )
+
+
+def apply_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the patch from target to source makes of the target: the source."""
+    source, target = _trees(spark, sf_dir)
+    return tm.apply_patch(target, tm.make_patch(source, target, "path"))
+
+
+def compose_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the target over the source back to the target without its English documents, at once."""
+    source, target = _trees(spark, sf_dir)
+    last = target.filter("lang <> 'en'")
+    there = tm.make_patch(source, target, "path")
+    back = tm.make_patch(last, source, "path", validate=False)
+    return tm.apply_patch(target, tm.compose_patches(there, back))
+
+
+def _ranged(spark: SparkSession, sf_dir: str) -> str:
+    """A store of key ranges: the target, then the same with one scope mirrored from the source."""
+    store = _scratch(spark)
+    source, target = _trees(spark, sf_dir)
+    how = {"keys": "path", "rows_per_range": RANGE_ROWS}
+    tm.publish_ranged(target, store, "first import", "ann", 0, **how)
+    result = tm.mirror(source, target, ["src1/", "quarantine/"], validate=False)
+    tm.publish_ranged(result, store, "mirror two scopes", "ben", 1, **how)
+    return store
+
+
+def diff_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions by their digest trees."""
+    return tm.diff_versions(spark, _ranged(spark, sf_dir), 1, 2)
+
+
+def diff_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The working tree against the newest version, of which only differing ranges are read."""
+    store = _ranged(spark, sf_dir)
+    return tm.diff_latest(_source(spark, sf_dir), store, rows_per_range=RANGE_ROWS)
+
+
+def read_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.read_latest(spark, _ranged(spark, sf_dir))
+
+
+def read_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scopes of the newest version, from the files that can hold them."""
+    return tm.read_latest(spark, _ranged(spark, sf_dir), scope=["src1/", "src12/"])
+
+
+def publish_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version after a patch that turns one scope into the source's."""
+    store = _ranged(spark, sf_dir)
+    latest = tm.read_latest(spark, store)
+    patch = tm.make_patch(tm.mirror(_source(spark, sf_dir), latest, "src7/", validate=False), latest, "path")
+    tm.publish_patch(patch, store, "one more scope", "cid", 2, rows_per_range=RANGE_ROWS)
+    return tm.read_latest(spark, store)
+
+
 def scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes per top folder of a tree of text files, one folder per document source."""
     root = _scratch(spark) + "/tree"
@@ -339,6 +408,15 @@ _QUERIES = [
     run_plan_summary,
     read_latest,
     publish_history,
+    scope_digest,
+    patch_rows,
+    apply_patch,
+    compose_patches,
+    diff_versions,
+    diff_latest,
+    read_ranged,
+    read_scope,
+    publish_patch,
     scan_files,
     scan_content,
 ]
@@ -396,6 +474,18 @@ _RESULT = """, res as (
 
 _PLAN = _TREES + _RESULT.format(named="")
 
+# a row digest: each column by name, behind its length, or as a digest, or a dash for null
+_DIGEST = "left(sha256(concat({parts})), 32)"
+_WIDE = "coalesce(sha256({0}), '-')"
+_CONTENT = _DIGEST.format(parts=", ".join(_WIDE.format(c) for c in ("lang", "text")))
+_ROW = _DIGEST.format(parts=", ".join(_WIDE.format(c) for c in ("lang", "path", "text")))
+
+_MIRRORED = _TREES + """, res as (
+  select * from src where split_part(path, '/', 1) in ({scopes})
+  union all
+  select * from tgt where split_part(path, '/', 1) not in ({scopes})
+)"""
+
 
 def oracle_sql() -> dict[str, str]:
     changes = _TREES + _CHANGES.format(source="src")
@@ -489,6 +579,39 @@ def oracle_sql() -> dict[str, str]:
                     count(*) filter (where change = 'modified'),
                     count(*) filter (where change = 'deleted')
              from chg""",
+        "scope_digest": _TREES
+        + f""", d as (
+               select split_part(path, '/', 1) as scope, {_ROW} as h from src
+             ), s as (
+               select scope, count(*) as n,
+                      sum(cast(cast('0x' || h[1:16] as ubigint) as hugeint)) as high,
+                      sum(cast(cast('0x' || h[17:32] as ubigint) as hugeint)) as low
+               from d group by scope
+             )
+             select scope, n, concat(
+               format('{{:016x}}', cast((high + low // 18446744073709551616) % 18446744073709551616 as ubigint)),
+               format('{{:016x}}', cast(low % 18446744073709551616 as ubigint))) as digest
+             from s""",
+        "patch_rows": _TREES
+        + f""", a as (select path, text, {_CONTENT} as h from src),
+             b as (select path, {_CONTENT} as h from tgt)
+             select coalesce(a.path, b.path) as path,
+                    case when b.path is null then 'added' when a.path is null then 'deleted'
+                         else 'modified' end as change,
+                    b.h as before, a.h as after, a.text
+             from a full outer join b on a.path = b.path where a.h is distinct from b.h""",
+        "apply_patch": _TREES + "select * from src",
+        "compose_patches": _TREES + "select * from tgt where lang <> 'en'",
+        "diff_versions": _MIRRORED.format(scopes="'src1', 'quarantine'")
+        + _CHANGES.format(source="res")
+        + "select path, change from chg where change <> 'unchanged'",
+        "diff_latest": _MIRRORED.format(scopes="'src1', 'quarantine'")
+        + _CHANGES.format(source="src").replace("tgt", "res")
+        + "select path, change from chg where change <> 'unchanged'",
+        "read_ranged": _MIRRORED.format(scopes="'src1', 'quarantine'") + "select * from res",
+        "read_scope": _MIRRORED.format(scopes="'src1', 'quarantine'")
+        + "select * from res where split_part(path, '/', 1) in ('src1', 'src12')",
+        "publish_patch": _MIRRORED.format(scopes="'src1', 'quarantine', 'src7'") + "select * from res",
         "scan_files": """
             select concat('source=', source) as scope, cast(sum(strlen(text) + 1) as bigint) as n_bytes
             from documents group by source""",

@@ -3,42 +3,64 @@
 from tablemirror import errors
 from tablemirror.functions import row_digest
 from tablemirror.operators import (
+    apply_patch,
     change_summary,
     check_keys,
+    compose_patches,
     diff,
     duplicate_keys,
     in_scope,
+    make_patch,
     mirror,
     missing_required,
     null_keys,
     out_of_scope,
+    scope_digest,
     scope_of,
     select_required,
     upsert,
 )
 from tablemirror.plans import Rule, load_rules, run_plan
-from tablemirror.sources import history, latest_version, publish, read_latest, scan_files
+from tablemirror.sources import (
+    diff_latest,
+    diff_versions,
+    history,
+    latest_version,
+    publish,
+    publish_patch,
+    publish_ranged,
+    read_latest,
+    scan_files,
+)
 
 __all__ = [
     "Rule",
+    "apply_patch",
     "change_summary",
     "check_keys",
+    "compose_patches",
     "diff",
+    "diff_latest",
+    "diff_versions",
     "duplicate_keys",
     "errors",
     "history",
     "in_scope",
     "latest_version",
     "load_rules",
+    "make_patch",
     "mirror",
     "missing_required",
     "null_keys",
     "out_of_scope",
     "publish",
+    "publish_patch",
+    "publish_ranged",
     "read_latest",
     "row_digest",
     "run_plan",
     "scan_files",
+    "scope_digest",
     "scope_of",
     "select_required",
     "upsert",

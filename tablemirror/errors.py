@@ -29,6 +29,10 @@ class ScanError(TableMirrorError):
     """A folder is missing, or its storage cannot be listed in full."""
 
 
+class PatchError(TableMirrorError):
+    """A change set was made for other rows than those it is applied to."""
+
+
 class PublishError(TableMirrorError):
     """A version was not published; the store is as before."""
 

@@ -1,3 +1,3 @@
-from tablemirror.functions.digest import digest_bytes, row_digest
+from tablemirror.functions.digest import content_digest, digest_bytes, digest_sum, row_digest
 
-__all__ = ["digest_bytes", "row_digest"]
+__all__ = ["content_digest", "digest_bytes", "digest_sum", "row_digest"]

@@ -74,6 +74,53 @@ def row_digest(df: DataFrame, cols: str | Sequence[str], name: str = "digest") -
     return df.withColumn(name, F.sha2(F.concat(*[F.coalesce(p, F.lit("-")) for p in parts]), 256))
 
 
+def content_digest(df: DataFrame, cols: Sequence[str], stored: str | None = None) -> Column:
+    """16 bytes that stand for the values of ``cols``, in whatever order they are named.
+
+    The first half of a SHA-256 over one part for each column, by name: the digest of a wide
+    value, any other value behind its length, a dash for null. So no two different rows share one input.
+    Where ``df`` has the digest of a wide column as ``<column><stored>``, that is read in its place.
+    """
+    cols = sorted(cols)
+    require_columns(df, cols)
+    parts = [_framed(df, c, stored) for c in cols] or [F.lit("")]
+    return F.unhex(F.left(F.sha2(F.concat(*parts), 256), F.lit(32)))
+
+
+def _framed(df: DataFrame, column: str, stored: str | None) -> Column:
+    dt = df.schema[column].dataType
+    if is_wide_type(dt):
+        known = stored is not None and column + stored in df.columns
+        part = F.lower(F.hex(F.col(column + stored) if known else digest_bytes(column, dt)))
+    else:
+        text = _canonical(df, column)
+        part = F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)
+    return F.coalesce(part, F.lit("-"))
+
+
+_HALF = 1 << 64
+
+
+def digest_sum(digest: Column) -> Column:
+    """Aggregate of 16-byte digests: their sum modulo 2**128, as 32 hex digits; null for no rows.
+
+    The order and the partitioning of the rows do not matter, a repeated row counts again, and the
+    sum over a group is the sum of the sums over its parts. Combines before the shuffle.
+    """
+
+    def total(at: int) -> Column:
+        return F.sum(F.conv(F.hex(F.substring(digest, at, 8)), 16, 10).cast("decimal(20,0)"))
+
+    size = F.lit(str(_HALF)).cast("decimal(20,0)")
+    low, high = total(9), total(1)
+    high = high + F.call_function("div", low, size)
+
+    def digits(n: Column) -> Column:
+        return F.lower(F.lpad(F.conv((n % size).cast("decimal(20,0)").cast("string"), 10, 16), 16, "0"))
+
+    return F.concat(digits(high), digits(low))
+
+
 def _part(df: DataFrame, column: str) -> Column:
     dt = df.schema[column].dataType
     if isinstance(dt, (T.ArrayType, T.StructType)) and _nestable(dt):

@@ -1,17 +1,15 @@
 from tablemirror.sources.files import scan_files
-from tablemirror.sources.store import (
-    HISTORY_SCHEMA,
-    history,
-    latest_version,
-    publish,
-    read_latest,
-)
+from tablemirror.sources.ranged import diff_latest, diff_versions, publish_patch, publish_ranged
+from tablemirror.sources.store import history, latest_version, publish, read_latest
 
 __all__ = [
-    "HISTORY_SCHEMA",
+    "diff_latest",
+    "diff_versions",
     "history",
     "latest_version",
     "publish",
+    "publish_patch",
+    "publish_ranged",
     "read_latest",
     "scan_files",
 ]

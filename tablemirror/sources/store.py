@@ -28,7 +28,6 @@ from tablemirror.errors import (
     NothingChangedError,
     PublishError,
     SchemaError,
-    StaleParentError,
 )
 from tablemirror.functions.digest import digest_bytes, is_wide_type, wide_columns
 from tablemirror.operators.diff import (
@@ -42,38 +41,17 @@ from tablemirror.operators.diff import (
 )
 from tablemirror.operators.keys import checked_key_stats
 from tablemirror.schemas import check_comparable, check_same_schema, key_list, require_columns
-from tablemirror.sources import paths
-
-HISTORY_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("parent", T.LongType()),
-        T.StructField("message", T.StringType()),
-        T.StructField("author", T.StringType()),
-        T.StructField("published_at", T.TimestampType()),
-        T.StructField("n_added", T.LongType()),
-        T.StructField("n_modified", T.LongType()),
-        T.StructField("n_deleted", T.LongType()),
-    ]
-)
-_STORED_SCHEMA = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("folder", T.StringType())])
-
+from tablemirror.sources import paths, versions
+from tablemirror.sources.ranged import ROW_DIGEST, Version, read_scope
 
 def history(spark: SparkSession, store: str) -> DataFrame:
     """Published versions; empty for a store that has none yet."""
-    return _rows(spark, store).select(*HISTORY_SCHEMA.names)
-
-
-def _rows(spark: SparkSession, store: str) -> DataFrame:
-    where = paths.join(store, "history")
-    if not paths.exists(spark, where):
-        return _empty(spark, _STORED_SCHEMA)
-    return spark.read.schema(_STORED_SCHEMA).parquet(where)
+    return versions.rows(spark, store).select(*versions.HISTORY_SCHEMA.names)
 
 
 def latest_version(spark: SparkSession, store: str) -> int:
     """Newest published version, 0 if there is none."""
-    return history(spark, store).agg(F.max("version")).first()[0] or 0
+    return versions.latest(spark, store)
 
 
 def read_latest(
@@ -81,19 +59,24 @@ def read_latest(
     store: str,
     schema: T.StructType | None = None,
     with_digests: bool = False,
+    scope: str | Sequence[str] | None = None,
+    column: str = "path",
 ) -> DataFrame:
     """The newest version only.
 
     A store without a version raises, unless ``schema`` is given: then it reads as
     an empty table. ``with_digests=True`` keeps the stored ``__sha256`` columns, for
-    ``diff(..., digest=[...])``.
+    ``diff(..., digest=[...])``. ``scope`` keeps the rows under one or several prefixes of
+    ``column``; of a ranged version, only files that can hold such rows are read.
     """
-    newest = _rows(spark, store).agg(F.max(F.struct("version", "folder"))).first()[0]
+    newest = versions.rows(spark, store).agg(F.max(F.struct("version", "folder"))).first()[0]
     if newest and newest["version"]:
+        if scope is not None:
+            return read_scope(spark, store, scope, column)
         return _read(spark, store, newest["folder"], with_digests)
     if schema is None:
         raise PublishError(f"nothing has been published in {store}")
-    return _empty(spark, schema)
+    return versions.empty(spark, schema)
 
 
 def publish(
@@ -131,11 +114,12 @@ def publish(
     validate = INLINE if validate is None else validate
     if validate not in (True, False, INLINE):
         raise KeyCheckError(f"validate must be True, False or {INLINE!r}, not {validate!r}")
-    _refuse_stale(spark, store, parent)
+    versions.refuse_stale(spark, store, parent)
     require_columns(result, keys)
     check_comparable(result, [c for c in result.columns if c not in keys])
     wide = _digest_columns(result, keys, digest)
-    before = _read(spark, store, _folder(spark, store, parent), True) if parent else None
+    before = _read(spark, store, versions.folder(spark, store, parent), True) if parent else None
+    before = before.drop(ROW_DIGEST) if before is not None else None
     if before is not None:
         check_same_schema(result, _plain(before))
 
@@ -153,14 +137,14 @@ def publish(
         counts = _count_changes(written, before, keys, wide, validate)
         if not any(counts.values()) and not allow_empty:
             raise NothingChangedError(f"nothing changed since version {parent}")
-        _refuse_stale(spark, store, parent)
+        versions.refuse_stale(spark, store, parent)
     except Exception:
         paths.delete(spark, where)
         raise
     if not any(counts.values()):
         paths.delete(spark, where)
         return parent
-    _append_history(spark, store, version, parent, message, author, counts, folder)
+    versions.append(spark, store, version, parent, message, author, counts, folder)
     return version
 
 
@@ -191,30 +175,6 @@ def _count_changes(
     return counts
 
 
-def _append_history(spark, store, version, parent, message, author, counts, folder) -> None:
-    values = {
-        "version": F.lit(version),
-        "parent": F.lit(parent),
-        "message": F.lit(message),
-        "author": F.lit(author),
-        "published_at": F.current_timestamp(),
-        "n_added": F.lit(counts[ADDED]),
-        "n_modified": F.lit(counts[MODIFIED]),
-        "n_deleted": F.lit(counts[DELETED]),
-        "folder": F.lit(folder),
-    }
-    row = spark.range(1).select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in _STORED_SCHEMA]
-    )
-    row.coalesce(1).write.mode("append").parquet(paths.join(store, "history"))
-
-
-def _refuse_stale(spark: SparkSession, store: str, parent: int) -> None:
-    latest = latest_version(spark, store)
-    if latest != parent:
-        raise StaleParentError(f"parent is {parent} but the latest version is {latest}")
-
-
 def _digest_columns(
     result: DataFrame, keys: list[str], digest: Sequence[str] | None
 ) -> list[str]:
@@ -230,19 +190,10 @@ def _digest_columns(
     return list(digest)
 
 
-def _folder(spark: SparkSession, store: str, version: int) -> str:
-    return _rows(spark, store).filter(F.col("version") == version).agg(F.max("folder")).first()[0]
-
-
 def _read(spark: SparkSession, store: str, folder: str, with_digests: bool) -> DataFrame:
-    df = spark.read.parquet(paths.join(store, "snapshots", folder))
-    return df if with_digests else _plain(df)
+    version = Version(spark, store, folder)
+    return version.with_digests if with_digests else version.rows
 
 
 def _plain(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.endswith(DIGEST_SUFFIX)])
-
-
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-    return spark.range(0).select(*columns).filter(F.lit(False))

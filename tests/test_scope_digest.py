@@ -1,0 +1,83 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import tablemirror as tm
+from tablemirror.errors import SchemaError
+from tablemirror.functions import content_digest, digest_sum
+
+ROWS = [("a/1", "x", 1), ("a/2", None, None), ("b/1", "x", 1), ("b/1", "", 0), (None, None, None)]
+
+
+def table(spark, rows=ROWS):
+    return spark.createDataFrame(rows, "path string, text string, n_words int")
+
+
+def plain(row) -> int:
+    path, text, n = row
+    parts = [
+        "-" if n is None else f"{len(str(n))}:{n}",
+        *["-" if v is None else hashlib.sha256(v.encode()).hexdigest() for v in (path, text)],
+    ]
+    return int(hashlib.sha256("".join(parts).encode()).hexdigest()[:32], 16)
+
+
+def total(rows) -> str:
+    return f"{sum(map(plain, rows)) % 2**128:032x}"
+
+
+def test_sum_of_row_digests(spark):
+    assert tm.scope_digest(table(spark)).collect() == [(5, total(ROWS))]
+    by = {r.scope: (r.n, r.digest) for r in tm.scope_digest(table(spark), by=tm.scope_of().alias("scope")).collect()}
+    assert by == {"a": (2, total(ROWS[:2])), "b": (2, total(ROWS[2:4])), None: (1, total(ROWS[4:]))}
+
+
+def test_order_partitions_and_column_order_do_not_matter(spark):
+    one = tm.scope_digest(table(spark)).first()
+    other = table(spark, ROWS[::-1]).repartition(5).select("text", "n_words", "path")
+    assert tm.scope_digest(other).first() == one
+
+
+def test_one_row_less_changed_or_repeated_shows(spark):
+    seen = {tm.scope_digest(table(spark, rows)).first().digest for rows in (
+        ROWS, ROWS[1:], [*ROWS, ROWS[0]], [("a/1", "y", 1), *ROWS[1:]], [("a/1x", "", 1), *ROWS[1:]],
+    )}
+    assert len(seen) == 5
+
+
+def test_sums_carry_and_wrap(spark):
+    top = spark.createDataFrame([(bytes([255] * 16),)] * 300, "d binary")
+    assert top.agg(digest_sum(F.col("d")).alias("s")).first().s == f"{300 * (2**128 - 1) % 2**128:032x}"
+    low = spark.createDataFrame([(bytes(8) + bytes([255] * 8),)] * 3, "d binary")
+    assert low.agg(digest_sum(F.col("d")).alias("s")).first().s == f"{3 * (2**64 - 1):032x}"
+    assert low.filter("false").agg(digest_sum(F.col("d")).alias("s")).first().s is None
+
+
+def test_empty_tables(spark):
+    assert tm.scope_digest(table(spark, [])).collect() == [(0, "0" * 32)]
+    assert tm.scope_digest(table(spark, []), by="path").count() == 0
+
+
+def test_stored_digests_stand_for_their_columns(spark):
+    df = table(spark)
+    stored = df.withColumn("text__sha256", F.unhex(F.sha2("text", 256))).drop("text").withColumn("text", F.lit("unread"))
+    cols = ["path", "text", "n_words"]
+    assert stored.select(content_digest(stored, cols, "__sha256")).collect() == df.select(content_digest(df, cols)).collect()
+
+
+def test_values_that_are_equal_have_equal_digests(spark):
+    zeros = spark.createDataFrame([(0.0, [1.0, -0.0]), (-0.0, [1.0, 0.0])], "d double, v array<double>")
+    assert len(set(zeros.select(content_digest(zeros, ["d", "v"])).collect())) == 1
+
+
+def test_combines_before_the_shuffle(spark):
+    plan = tm.scope_digest(table(spark), by="path")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_refusals(spark):
+    with pytest.raises(SchemaError):
+        tm.scope_digest(table(spark), cols="absent")
+    with pytest.raises(SchemaError):
+        tm.scope_digest(table(spark), by=F.col("path").alias("n"))
