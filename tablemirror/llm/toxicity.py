@@ -2,17 +2,21 @@
 
 Two zstandard dictionaries are trained, one on ordinary and one on toxic text. A text is cut
 into windows of words; a window that the toxic dictionary compresses to fewer bytes than the
-ordinary one is closer to toxic text. Both dictionaries end in the same ordinary content,
-so that what is common to all text costs the same in both and the difference of the lengths
-comes from toxic segments alone. A calibrated logistic scale over thresholds of the window
-differences gives the score.
-
-The toxic part holds segments (words, and phrases of two and three words none of which is a
-segment itself) that are ``RATIO`` times as common in toxic documents as in ordinary ones, by
-more than chance (in two toxic documents or more, and the log-likelihood ratio of the counts
-is over ``LEAST_G``), those with the largest likelihood ratio first, up to ``TOXIC_BYTES``.
-zstandard's own trainer picks segments by frequency alone and fills both dictionaries with
-the same words; it makes the toxic part only where no segment stands out.
+ordinary one is closer to toxic text. Both dictionaries hold the same ordinary content, so that
+what is common to all text costs about the same in both and the difference of the lengths comes
+from toxic segments. A calibrated logistic scale over thresholds of the window differences gives
+the score.
+
+zstandard's trainer picks segments by frequency, and most of toxic text is ordinary. So the toxic
+part is trained on what ordinary text does not explain: of the windows of toxic documents only
+words stay whose beginning (``BEGINNINGS`` letters), or which with their neighbour, is ``RATIO``
+times as common in toxic documents as in ordinary ones, by more than chance: the log-likelihood
+ratio of its counts is one that not one of twenty samples would show for any of all the
+beginnings, or of all the pairs of words, that were tested. What the dictionary holds is then the
+trainer's choice: whole words, stems with their endings, parts of both.
+
+Case marks where a word begins: all text is lower-cased, then the first ``MARKED`` letters of each word
+are written in capitals, so a beginning does not match the middle of another word.
 
 Defined results: null and empty texts have no window and get the score of a text without
 toxic windows; repeated rows get equal scores; of several labels of one document the largest
@@ -34,10 +38,22 @@ from tablemirror.llm.common import LETTERS, arrow_map, ship
 
 #: Words in a window.
 WINDOW = 8
+#: Letters at the beginning of a word that are written in capitals.
+MARKED = 6
+#: Lengths of the beginnings of words that are counted.
+BEGINNINGS = (4, 5, 6)
 #: Labelled documents of each kind that the dictionaries and the scale are fitted on at most.
 MAX_FIT_ROWS = 8192
-RATIO, LEAST_G = 3.0, 10.83  # chance alone is over LEAST_G once in a thousand times
-ORDINARY_BYTES, TOXIC_BYTES = 2048, 1 << 15
+#: Windows that either part of the dictionaries is trained on at most.
+MAX_FIT_WINDOWS = 1 << 15
+#: Beginnings and pairs of words that are kept at most, of either.
+MAX_TELLING = 4096
+RATIO, CHANCE = 3.0, 0.05
+ORDINARY_BYTES, TOXIC_BYTES = 2048, 1 << 13
+#: Sizes of segments and of the strings they are found by, for the trainer.
+SEGMENT, PART = 48, 6
+#: The three offsets that stand between the tables and the content of a new dictionary.
+_OFFSETS = b"".join(n.to_bytes(4, "little") for n in (1, 4, 8))
 #: Greedy search for matches of five bytes and more, in tables that fit windows of some 50
 #: bytes; the levels of the library look for longer matches at this size.
 SEARCH = {
@@ -46,12 +62,18 @@ SEARCH = {
 THRESHOLDS = (1, 2, 3, 4, 6, 8)
 
 
+def _window(words: list[str]) -> bytes:
+    marked = " ".join([w[:MARKED].upper() + w[MARKED:] for w in words])
+    return f" {marked} ".encode("utf-8", "replace")
+
+
+def _cut(text: str | None) -> list[list[str]]:
+    words = LETTERS.findall((text or "").lower())
+    return [words[i : i + WINDOW] for i in range(0, len(words), WINDOW)]
+
+
 def windows(text: str | None) -> list[bytes]:
-    words = (text or "").lower().split()
-    return [
-        f" {' '.join(words[i : i + WINDOW])} ".encode("utf-8", "replace")
-        for i in range(0, len(words), WINDOW)
-    ]
+    return [_window(words) for words in _cut(text)]
 
 
 def _compressor(content: bytes):
@@ -112,7 +134,7 @@ class Model:
 
 
 def _logistic(
-    x: np.ndarray, y: np.ndarray, penalty: float = 1.0, weight: np.ndarray | float = 1.0
+    x: np.ndarray, y: np.ndarray, penalty: float = 4.0, weight: np.ndarray | float = 1.0
 ) -> np.ndarray:
     """Ridge logistic regression of weighted rows by Newton steps; the intercept is free."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -145,77 +167,102 @@ def _sample(docs: DataFrame, named: DataFrame, max_rows: int) -> DataFrame:
         for t in (0, 1)
     ]
     # bounded by max_rows, hence small enough to broadcast at any size of the corpus
-    return docs.select("doc_id", "text").join(F.broadcast(parts[0].union(parts[1])), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(parts[0].union(parts[1])), "doc_id")
+    # an id that is repeated counts once, so that the bound holds for rows too
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
 
 
-def _segments(sample: DataFrame) -> list[bytes]:
-    """What the toxic dictionary holds, the most telling segment first."""
+def _beginnings(word: str) -> list[str]:
+    return [word[:k] for k in BEGINNINGS if len(word) >= k]
+
+
+def _pairs(words: list[str]) -> list[str]:
+    return [f"{x} {y}" for x, y in zip(words, words[1:])]
+
+
+def _telling(sample: DataFrame) -> set[str]:
+    """Beginnings and pairs of words that are more common in toxic documents than chance allows."""
 
     def each(texts, toxic):
         counts: dict[str, list[int]] = {}
         for t, y in zip(texts, toxic, strict=True):
-            t = (t or "").lower()
-            words = t.split()
-            phrases = (" ".join(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1))
-            for w in {*LETTERS.findall(t), *phrases}:
-                counts.setdefault(w, [0, 0])[y] += 1
+            words = LETTERS.findall((t or "").lower())
+            for b in {*_pairs(words), *(b for w in set(words) for b in _beginnings(w))}:
+                counts.setdefault(b, [0, 0])[y] += 1
         return [list(counts), [c[1] for c in counts.values()], [c[0] for c in counts.values()]]
 
     counted = (
         arrow_map(sample.select("text", "toxic"), each, "word string, n_toxic long, n_ordinary long")
-        .groupBy("word")
+        .groupBy("word", F.contains("word", F.lit(" ")).alias("pair"))
         .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
     )
-    n_toxic = sample.agg(F.sum("toxic"), F.count("*")).first()
-    toxic, every = int(n_toxic[0] or 0), int(n_toxic[1])
-    ordinary = every - toxic
+    kinds = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
+    toxic, ordinary = kinds.get(1, 0), kinds.get(0, 0)
     if not toxic or not ordinary:
-        return []
-    a, b = F.col("n_toxic"), F.col("n_ordinary")
+        return set()
+    every, a, b = toxic + ordinary, F.col("n_toxic"), F.col("n_ordinary")
 
     def part(n, size):  # n log(n / expected), 0 for none
         return F.when(n > 0, n * F.log(n * every / ((a + b) * size))).otherwise(0.0)
 
-    kept = counted.withColumn("g", 2 * (part(a, toxic) + part(b, ordinary))).filter(
-        (F.col("g") >= LEAST_G) & (a >= 2) & (a * ordinary >= RATIO * b * toxic)
-    )
-    # more than fit into the dictionary: a segment takes five bytes at least
-    rows = kept.orderBy(F.desc("g"), "word").limit(TOXIC_BYTES // 5).collect()
-    single = {r.word for r in rows if " " not in r.word}
-    out, size = [], 0
-    for r in rows:
-        words = LETTERS.findall(r.word)
-        if " " in r.word and not single.isdisjoint(words):
-            continue
-        content = f" {r.word} " if " " in r.word else f" {r.word}, {r.word}. {r.word} "
-        out.append(content.encode("utf-8", "replace"))
-        size += len(out[-1])
-        if size > TOXIC_BYTES:
-            return out[:-1]
+    common = a * ordinary >= RATIO * b * toxic
+    scored = counted.select("word", "pair", F.when(common, 2 * (part(a, toxic) + part(b, ordinary))).alias("g"))
+    # how many of either kind were tested, and those that may pass: chance alone exceeds g
+    # with a probability below exp(-g / 2)
+    tests = {r["pair"]: r["n"] for r in scored.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    out: set[str] = set()
+    for pair, n in tests.items():
+        least = float(2 * np.log(n / CHANCE))
+        kept = scored.filter((F.col("pair") == pair) & (F.col("g") >= least))
+        out |= {r.word for r in kept.orderBy(F.desc("g"), "word").limit(MAX_TELLING).collect()}
     return out
 
 
-def _windows_of(sample: DataFrame, toxic: int) -> list[bytes]:
-    """One window of each document of a kind in the sample, at a place given by its hash."""
+def _left_over(words: list[str], telling: set[str]) -> list[str]:
+    """The words that begin or pair as only toxic words do."""
+    alone = [not telling.isdisjoint(_beginnings(w)) for w in words]
+    both = [not (x or y) and p in telling for x, y, p in zip(alone, alone[1:], _pairs(words))]
+    near = [x or y for x, y in zip([False, *both], [*both, False], strict=True)] if words else []
+    return [w for w, x, y in zip(words, alone, near, strict=True) if x or y]
+
+
+def _fit_windows(sample: DataFrame, each) -> list[bytes]:
+    found = arrow_map(sample, each, "w binary").filter(F.length("w") > 2)
+    return sorted(bytes(r.w) for r in found.orderBy(F.xxhash64("w"), "w").limit(MAX_FIT_WINDOWS).collect())
+
+
+def _plain_windows(sample: DataFrame, toxic: int, telling: set[str]) -> list[bytes]:
+    """One window without telling words of each document of a kind, at a place given by its hash."""
     import zlib
 
+    def each(texts):
+        cut = [[_window(words) for words in _cut(t) if not _left_over(words, telling)] for t in texts]
+        return [[ws[zlib.crc32(ws[0]) % len(ws)] if ws else b"" for ws in cut]]
+
+    return _fit_windows(sample.filter(F.col("toxic") == toxic).select("text"), each)
+
+
+def _toxic_windows(sample: DataFrame, telling: set[str]) -> list[bytes]:
+    """Windows of the toxic documents' words that begin as only toxic words do."""
+
     def each(texts):
         out = []
         for t in texts:
-            cut = windows(t)
-            out.append(cut[zlib.crc32(cut[0]) % len(cut)] if cut else b"")
+            words = _left_over(LETTERS.findall((t or "").lower()), telling)
+            out += [_window(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
         return [out]
 
-    picked = arrow_map(sample.filter(F.col("toxic") == toxic).select("text"), each, "w binary")
-    return sorted(bytes(r.w) for r in picked.collect() if r.w)
+    return _fit_windows(sample.filter("toxic = 1").select("text"), each)
 
 
-def _trained(blocks: list[bytes]) -> bytes:
+def _trained(blocks: list[bytes], size: int) -> bytes:
+    """The content of a dictionary that zstandard has trained on ``blocks``, without its tables."""
     try:
-        content = zstandard.train_dictionary(ORDINARY_BYTES, blocks).as_bytes()
+        made = zstandard.train_dictionary(size, blocks, k=SEGMENT, d=PART).as_bytes()
+        at = made.find(_OFFSETS)
+        return made[at + len(_OFFSETS) :] if at >= 0 else made
     except (zstandard.ZstdError, ValueError):  # too few samples to train on
-        content = b"".join(blocks)
-    return content[-ORDINARY_BYTES:]
+        return b"".join(blocks)[-size:]
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Model | float:
@@ -237,9 +284,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
             return float(sample.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0])
         whole = len(cells) < 4
         learn, scale = (sample, sample) if whole else (sample.filter(~quarter), sample.filter(quarter))
-        segments = _segments(learn)
-        common = _trained(_windows_of(learn, 0)) or b"\0" * 8
-        special = b"".join(reversed(segments)) or _trained(_windows_of(learn, 1)) or b"\0" * 8
+        telling = _telling(learn)
+        left = _toxic_windows(learn, telling) if telling else _plain_windows(learn, 1, telling)
+        common = _trained(_plain_windows(learn, 0, telling), ORDINARY_BYTES) or b"\0" * 8
+        special = _trained(left, TOXIC_BYTES) or b"\0" * 8
         width = 3 + 2 * len(THRESHOLDS)
         model = Model(common, special, np.zeros(width + 1), np.zeros(width), np.ones(width))
 

@@ -370,6 +370,57 @@ def test_toxicity_does_not_depend_on_which_kind_is_capped(spark):
     assert abs(mean[0] - mean[1]) < 0.1 and max(mean) < 0.2
 
 
+def test_toxicity_features_against_single_windows():
+    """Gains and features as a plain reading of the method gives them, one window at a time."""
+    ordinary, toxic = b" THEIR HOUSE IS OVER THE RIVER AND THE TREES ", b" CLOWN STUPIDly WORTHLess IDIOT "
+    width = 3 + 2 * len(toxicity.THRESHOLDS)
+    model = toxicity.Model(ordinary, toxic, np.zeros(width + 1), np.zeros(width), np.ones(width))
+    texts = [
+        None, "", "1 2 3", "The house of the river.", "a stupidly clownish, worthless idiot " * 3,
+        " ".join(f"word{'abcdefgh'[i % 8]} their" for i in range(40)) + " clown",
+    ]
+
+    def length(content, block):
+        return len(toxicity._compressor(content).compress(block))
+
+    for text, got in zip(texts, model.features(texts), strict=True):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        blocks = [words[i : i + 8] for i in range(0, len(words), 8)]
+        marked = [(" " + " ".join(w[:6].upper() + w[6:] for w in b) + " ").encode() for b in blocks]
+        gains = sorted(
+            (length(bytes(len(toxic)) + ordinary, b) - length(toxic + ordinary, b) for b in marked), reverse=True
+        )
+        if not gains:
+            assert not got.any()
+            continue
+        over = [sum(g >= t for g in gains) for t in toxicity.THRESHOLDS]
+        want = [gains[0], np.mean(gains[:3]), np.mean(gains), *(min(n, 10) for n in over), *(n / len(gains) for n in over)]
+        assert np.allclose(got, want)
+    assert model.features(texts)[4][0] > model.features(texts)[3][0]
+
+
+def test_toxicity_on_the_held_out_fold_of_the_given_table(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    held = [r for r in queries.op4_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    y, score = np.array([labels[r.doc_id] for r in held]), np.array([r.score for r in held])
+
+    def area(some):
+        order = np.argsort(score[some], kind="stable")
+        rank = np.empty(len(order))
+        rank[order] = np.arange(1, len(order) + 1)
+        good, bad = (y[some] == 1).sum(), (y[some] == 0).sum()
+        return (rank[y[some] == 1].sum() - good * (good + 1) / 2) / (good * bad)
+
+    for one in ("en", "de", "fr", "es"):
+        print(one, area(np.array([lang[r.doc_id] == one for r in held])))
+    hit = score >= 0.5
+    print("recall", hit[y == 1].mean(), "false positives", hit[y == 0].mean())
+    assert area(np.ones(len(y), bool)) >= 0.9
+    assert hit[y == 1].mean() > 0.5 and hit[y == 0].mean() < 0.03
+
+
 def brute_marginals(scores, transitions, start):
     import itertools
 
