@@ -306,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     stands_for = [counts[k] / min(counts[k], max_rows) for k in (0, 1)]
     weight = np.where(y == 1, stands_for[1], stands_for[0])
-    weight *= len(weight) / weight.sum()  # against the penalty the rows weigh what they did
+    weight *= weight.sum() / (weight**2).sum()  # uneven weights tell as much as fewer even ones
     model.weights = _logistic((x - model.mean) / model.scale, y, weight=weight)
     return model
 
