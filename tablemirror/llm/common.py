@@ -57,9 +57,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that ``stored`` has written since the last ``scratch_of`` was left.
+_SCRATCH: list[str] = []
+
+
+def delete_tables(spark: SparkSession, tables: list[str], but_not_of: DataFrame) -> list[str]:
+    """Delete tables written by ``stored`` that ``but_not_of`` does not read; return the others."""
+    read = but_not_of.inputFiles()
+    held = [t for t in tables if any(f"{t.rsplit('/', 1)[1]}/" in f for f in read)]
+    for path in set(tables) - set(held):
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return held
+
+
+def scratch_of(build: Callable[[], DataFrame]) -> tuple[DataFrame, list[str]]:
+    """``build()``, and the tables that were stored meanwhile, which its result may still read."""
+    before = len(_SCRATCH)
+    made = build()
+    tables = _SCRATCH[before:]
+    del _SCRATCH[before:]
+    return made, tables
+
+
 def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batch`` in slices of about ``limit`` bytes, one row at least."""
     if not batch.num_rows:

@@ -178,8 +178,18 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
         end = differs[run_end[known]]
         smaller[known] = data[end] < data[end + 1]
     places = np.flatnonzero(smaller)
-    # stage one: direct sort
-    direct = np.array(sorted(places.tolist(), key=lambda i: raw[i : i + depth]), np.int64)
+    # stage one: direct sort, one bucket of two bytes after another, so that only the suffixes of
+    # a bucket are held as strings at a time
+    pair = data[places].astype(np.int64) << 8 | data[places + 1]
+    by_pair = np.argsort(pair, kind="stable")
+    ends = np.flatnonzero(np.r_[np.diff(pair[by_pair]) != 0, True]) + 1 if len(places) else []
+    direct, begin = np.empty(len(places), np.int64), 0
+    for end in ends:
+        bucket = places[by_pair[begin:end]]
+        if end - begin > 1:
+            bucket = sorted(bucket.tolist(), key=lambda i: raw[i : i + depth])
+        direct[begin:end] = bucket
+        begin = end
     cuts = np.searchsorted(data[direct], np.arange(257)) if len(direct) else np.zeros(257, int)
     # stage two: each bucket in turn hands its larger predecessors to theirs, in order
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]

@@ -88,9 +88,27 @@ def jaccard_groups(texts: list) -> tuple[list[frozenset], list[int]]:
     return sets, [groups.top(i) for i in range(len(sets))]
 
 
-def without_repeats(texts: list, length: int = 400) -> list[tuple[bytes, int, int]]:
-    """Kept bytes, removed bytes and removed runs of each text."""
+def without_passages(texts: list, words: int = 51, length: int = 400) -> list[str]:
+    """The texts without repeated strings of ``length`` bytes and repeated runs of ``words`` words,
+    both judged on the input, the blanks within a run of words included."""
     contents = [(t or "").encode() for t in texts]
+    places = [[m.span() for m in re.finditer(WORD.pattern.encode(), c)] for c in contents]
+    gone = [bytearray(g) for g in repeated_bytes(contents, length)]
+    seen: dict[tuple, list] = {}
+    for d, (c, found) in enumerate(zip(contents, places)):
+        run = [c[a:b] for a, b in found]
+        for k in range(len(run) - words + 1):
+            seen.setdefault(tuple(run[k : k + words]), []).append((d, k))
+    for where in seen.values():
+        if len(where) > 1:
+            for d, k in where:
+                low, high = places[d][k][0], places[d][k + words - 1][1]
+                gone[d][low:high] = b"\1" * (high - low)
+    return [bytes(b for b, g in zip(c, mark) if not g).decode("utf-8", "ignore") for c, mark in zip(contents, gone)]
+
+
+def repeated_bytes(contents: list[bytes], length: int) -> list[bytes]:
+    """A one for each byte that a repeated string of ``length`` bytes covers."""
     seen: dict[bytes, int] = {}
     for c in contents:
         for s in range(len(c) - length + 1):
@@ -102,6 +120,15 @@ def without_repeats(texts: list, length: int = 400) -> list[tuple[bytes, int, in
         for s in range(len(c) - length + 1):
             if seen[c[s : s + length]] > 1:
                 gone[s : s + length] = b"\1" * length
+        out.append(bytes(gone))
+    return out
+
+
+def without_repeats(texts: list, length: int = 400) -> list[tuple[bytes, int, int]]:
+    """Kept bytes, removed bytes and removed runs of each text."""
+    contents = [(t or "").encode() for t in texts]
+    out = []
+    for c, gone in zip(contents, repeated_bytes(contents, length), strict=True):
         kept = bytes(b for b, g in zip(c, gone) if not g)
-        out.append((kept, sum(gone), len(re.findall(b"\1+", bytes(gone)))))
+        out.append((kept, sum(gone), len(re.findall(b"\1+", gone))))
     return out
