@@ -166,6 +166,18 @@ def diff_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.diff(turned, vectors, "vec_id", keep_unchanged=True)
 
 
+def diff_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map of turns for each conversation, without system turns and built the other way round."""
+    talks = _table(spark, sf_dir, "conversations")
+    turn = F.struct("turn", F.struct("role", "text").alias("said"))
+
+    def one_map(rows: DataFrame, ascending: bool) -> DataFrame:
+        entries = F.sort_array(F.collect_list(turn), ascending)
+        return rows.groupBy("conv_id").agg(F.map_from_entries(entries).alias("turns"))
+
+    return tm.diff(one_map(talks.filter("role <> 'system'"), False), one_map(talks, True), "conv_id", keep_unchanged=True)
+
+
 def select_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled document has to be there."""
     labelled = _table(spark, sf_dir, "labels").select("doc_id")
@@ -391,6 +403,7 @@ _QUERIES = [
     diff_orders_rebuilt,
     diff_conversations,
     diff_embeddings,
+    diff_maps,
     select_required,
     required_missing,
     scope_filter,
@@ -528,6 +541,10 @@ def oracle_sql() -> dict[str, str]:
             select vec_id, case when label < 5 and list_reverse(embedding) <> embedding
                                 then 'modified' else 'unchanged' end as change
             from embeddings""",
+        "diff_maps": """
+            select conv_id, case when bool_and(role = 'system') then 'deleted'
+                                 when bool_or(role = 'system') then 'modified' else 'unchanged' end as change
+            from conversations group by conv_id""",
         "select_required": """
             select * from documents where doc_id in (select doc_id from labels)""",
         "required_missing": _TREES

@@ -30,6 +30,7 @@ from tablemirror.sources import (
     publish_patch,
     publish_ranged,
     read_latest,
+    release_claim,
     scan_files,
 )
 
@@ -57,6 +58,7 @@ __all__ = [
     "publish_patch",
     "publish_ranged",
     "read_latest",
+    "release_claim",
     "row_digest",
     "run_plan",
     "scan_files",

@@ -14,9 +14,12 @@ from tablemirror.schemas import require_columns
 
 def is_wide_type(dt: T.DataType) -> bool:
     """Columns of variable width whose digests are equal exactly where the values are: text,
-    binary, and arrays and structs with an array of fixed-width parts."""
+    binary, arrays and structs with an array of fixed-width parts, and whatever holds a map, which
+    text may be part of."""
     if isinstance(dt, T.BinaryType) or dt == T.StringType():
         return True
+    if _has_map(dt):
+        return _formable(dt)
     return isinstance(dt, (T.ArrayType, T.StructType)) and _nestable(dt)
 
 
@@ -29,10 +32,11 @@ def digest_bytes(column: str, dt: T.DataType | None = None) -> Column:
     """SHA-256 of a column as 32 bytes; null stays null, and null is unlike empty.
 
     Arrays and structs are digested as JSON with null fields kept, in which each value has
-    one form: both zeros are 0.0 and all NaN are one.
+    one form: both zeros are 0.0 and all NaN are one. Maps are the arrays of their entries in the order of
+    their keys, so that two maps with equal entries are equal however they were built.
     """
     col = F.col(column)
-    if isinstance(dt, (T.ArrayType, T.StructType)):
+    if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
         whole = F.to_json(F.struct(_one_form(col, dt).alias("v")), {"ignoreNullFields": "false"})
         col = F.when(col.isNotNull(), whole)
     return F.unhex(F.sha2(col, 256))
@@ -46,7 +50,36 @@ def _nestable(dt: T.DataType) -> bool:
     return isinstance(dt, (T.NumericType, T.BooleanType, T.DateType))
 
 
+def _has_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.ArrayType):
+        return _has_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_has_map(f.dataType) for f in dt)
+    return isinstance(dt, T.MapType)
+
+
+def _formable(dt: T.DataType) -> bool:
+    """As ``_nestable``, with text and maps as parts."""
+    if isinstance(dt, T.ArrayType):
+        return _formable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return bool(dt.fields) and all(_formable(f.dataType) for f in dt)
+    if isinstance(dt, T.MapType):
+        return _formable(dt.keyType) and _formable(dt.valueType)
+    return dt == T.StringType() or _nestable(dt)
+
+
 def _one_form(col: Column, dt: T.DataType) -> Column:
+    if isinstance(dt, T.MapType):
+        # a value as text, as maps within maps cannot be ordered; JSON frames every text in it
+        def entry(e: Column) -> Column:
+            value = F.struct(_one_form(e["value"], dt.valueType).alias("v"))
+            return F.struct(
+                _one_form(e["key"], dt.keyType).alias("k"),
+                F.to_json(value, {"ignoreNullFields": "false"}).alias("v"),
+            )
+
+        return F.array_sort(F.transform(F.map_entries(col), entry))
     if isinstance(dt, T.ArrayType):
         return F.transform(col, lambda x: _one_form(x, dt.elementType))
     if isinstance(dt, T.StructType):
@@ -123,7 +156,7 @@ def digest_sum(digest: Column) -> Column:
 
 def _part(df: DataFrame, column: str) -> Column:
     dt = df.schema[column].dataType
-    if isinstance(dt, (T.ArrayType, T.StructType)) and _nestable(dt):
+    if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)) and is_wide_type(dt):
         return F.lower(F.hex(digest_bytes(column, dt)))
     return F.sha2(_canonical(df, column), 256)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablemirror.errors import PatchError, SchemaError
-from tablemirror.functions.digest import content_digest
+from tablemirror.functions.digest import content_digest, is_wide_type
 from tablemirror.operators.diff import ADDED, DELETED, DIGEST_SUFFIX, MODIFIED
 from tablemirror.operators.keys import check_sides, checked_key_stats, key_stats
 from tablemirror.operators.merge import without
@@ -39,7 +39,7 @@ def make_patch(
     ignored = [c for c in {*source.columns, *target.columns} if c.endswith(DIGEST_SUFFIX)]
     check_same_schema(source, target, ignore=ignored)
     payload = [c for c in plain if c not in keys]
-    check_comparable(source, payload)
+    check_comparable(source, [c for c in payload if not is_wide_type(source.schema[c].dataType)])
     check_sides(source, target, keys, validate)
 
     def narrow(df: DataFrame, name: str) -> DataFrame:

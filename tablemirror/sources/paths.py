@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -39,5 +40,25 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(p)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist yet; False if it does. One of several callers wins.
+
+    Local disks and HDFS decide that in one step. Object stores do as far as their Hadoop client
+    makes a create without overwrite conditional; one that only looks first can let two callers in.
+    """
+    fs, p = _resolve(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        if fs.getScheme() == "file":
+            local = spark._jvm.java.io.File(fs.makeQualified(p).toUri().getPath())
+            return local.createNewFile()
+        fs.create(p, False).close()
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+
+
 def join(root: str, *steps: str) -> str:
     return "/".join([root.rstrip("/"), *steps])

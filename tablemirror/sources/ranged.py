@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablemirror.errors import EmptyMessageError, NothingChangedError, PublishError, SchemaError
-from tablemirror.functions.digest import content_digest, digest_sum
+from tablemirror.errors import EmptyMessageError, NothingChangedError, PublishError, SchemaError, StaleParentError
+from tablemirror.functions.digest import content_digest, digest_sum, is_wide_type
 from tablemirror.operators.diff import ADDED, DELETED, DIGEST_SUFFIX, MODIFIED, UNCHANGED, change_summary, diff
 from tablemirror.operators.keys import any_null, checked_key_stats
 from tablemirror.operators.patch import apply_patch, patch_keys
@@ -70,7 +70,7 @@ def publish_ranged(
     reserved = [c for c in result.columns if c.endswith(DIGEST_SUFFIX) or c in (START, "leaf")]
     if reserved:
         raise SchemaError(f"reserved column name: {', '.join(reserved)}")
-    check_comparable(result, [c for c in result.columns if c not in keys])
+    check_comparable(result, [f.name for f in result.schema if f.name not in keys and not is_wide_type(f.dataType)])
     scope = _scope_column(result, keys, scope)
     before = version_of(spark, store, parent) if parent else None
     if before is not None:
@@ -93,7 +93,11 @@ def publish_ranged(
     if not any(counts.values()):
         _drop(spark, where.values())
         return parent
-    versions.append(spark, store, parent + 1, parent, message, author, counts, folder)
+    try:
+        versions.append(spark, store, parent + 1, parent, message, author, counts, folder)
+    except StaleParentError:
+        _drop(spark, where.values())
+        raise
     return parent + 1
 
 
@@ -148,7 +152,11 @@ def publish_patch(
         _drop(spark, where.values())
         raise
     _drop(spark, [where["starts"], where["leaves"]])
-    versions.append(spark, store, parent + 1, parent, message, author, counts, folder)
+    try:
+        versions.append(spark, store, parent + 1, parent, message, author, counts, folder)
+    except StaleParentError:
+        _drop(spark, where.values())
+        raise
     return parent + 1
 
 

@@ -2,14 +2,14 @@
 
     <store>/snapshots/N-<attempt>/   one full snapshot, Parquet
     <store>/history/                 one row per published version, Parquet
+    <store>/claims/N                 an empty file: a writer has taken this number
 
 A version exists once its history row does; the row names the snapshot's folder. It is
 written last and readers go through it, so a snapshot that is half written, or whose
 publication failed, is never seen. Every attempt writes to a folder of its own and deletes
-no other: a writer that is refused leaves all published versions as they were. Plain files
-offer no compare-and-swap: two writers that append their rows in the same moment can
-still both count as the next version, so a store has any number of readers but is meant for
-one writer at a time.
+no other: a writer that is refused leaves all published versions as they were. Of two writers
+that come to the same version in the same moment, one claims its number and the other is
+refused (``versions``), where the storage offers an exclusive create (``paths.create_new``).
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from tablemirror.errors import (
     NothingChangedError,
     PublishError,
     SchemaError,
+    StaleParentError,
 )
 from tablemirror.functions.digest import digest_bytes, is_wide_type, wide_columns
 from tablemirror.operators.diff import (
@@ -116,8 +117,8 @@ def publish(
         raise KeyCheckError(f"validate must be True, False or {INLINE!r}, not {validate!r}")
     versions.refuse_stale(spark, store, parent)
     require_columns(result, keys)
-    check_comparable(result, [c for c in result.columns if c not in keys])
     wide = _digest_columns(result, keys, digest)
+    check_comparable(result, [c for c in result.columns if c not in keys and c not in wide])
     before = _read(spark, store, versions.folder(spark, store, parent), True) if parent else None
     before = before.drop(ROW_DIGEST) if before is not None else None
     if before is not None:
@@ -144,7 +145,11 @@ def publish(
     if not any(counts.values()):
         paths.delete(spark, where)
         return parent
-    versions.append(spark, store, version, parent, message, author, counts, folder)
+    try:
+        versions.append(spark, store, version, parent, message, author, counts, folder)
+    except StaleParentError:
+        paths.delete(spark, where)
+        raise
     return version
 
 

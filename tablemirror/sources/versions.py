@@ -1,4 +1,9 @@
-"""The history of a store: which versions exist, and the folder of each."""
+"""The history of a store: which versions exist, and the folder of each.
+
+A version's number is claimed before its history row is written, by creating the file
+``<store>/claims/<version>``, which only one of several writers can. A writer that dies between
+claim and row leaves a claim without a version: ``release_claim`` takes it back.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablemirror.errors import StaleParentError
+from tablemirror.errors import PublishError, StaleParentError
 from tablemirror.operators.diff import ADDED, DELETED, MODIFIED
 from tablemirror.sources import paths
 
@@ -46,7 +51,19 @@ def refuse_stale(spark: SparkSession, store: str, parent: int) -> None:
         raise StaleParentError(f"parent is {parent} but the latest version is {newest}")
 
 
+def release_claim(spark: SparkSession, store: str, version: int) -> None:
+    """Give back the number of a version whose writer is gone and has recorded none."""
+    if folder(spark, store, version):
+        raise PublishError(f"version {version} has been published")
+    paths.delete(spark, paths.join(store, "claims", str(version)))
+
+
 def append(spark, store, version, parent, message, author, counts, folder) -> None:
+    """Claim the version and record it; raise if another writer has claimed it."""
+    if not paths.create_new(spark, paths.join(store, "claims", str(version))):
+        raise StaleParentError(
+            f"another writer has claimed version {version}; if it is gone, release_claim gives it back"
+        )
     values = {
         "version": F.lit(version),
         "parent": F.lit(parent),

@@ -122,8 +122,10 @@ def test_no_key_columns(tree):
 def test_map_payload(tree, nest):
     df = tree.withColumn("extra", F.expr(nest))
     with pytest.raises(SchemaError, match="extra"):
-        tm.diff(df, df, "path")
+        tm.diff(df, df, "path", digest=[])  # by value
+    assert tm.diff(df, df, "path").count() == 0
     assert tm.diff(df, df, "path", compare=["text"]).count() == 0
+    assert tm.row_digest(df, ["extra", "path"]).select("digest").distinct().count() == df.count()
 
 
 def test_map_as_sorted_entries(tree):
