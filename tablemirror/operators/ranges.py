@@ -46,10 +46,10 @@ def with_start(df: DataFrame, keys: Sequence[str], starts: DataFrame) -> DataFra
     """
     keys = list(keys)
     found = starts.select(*keys)
-    size = key_stats(found, keys)
-    if size.rows <= LISTED:
-        listed = found.collect()
+    listed = found.limit(LISTED + 1).collect()
+    if len(listed) <= LISTED:
         return df.withColumn(START, _found(df, keys, listed))
+    size = key_stats(found, keys)
     step = -(-2 * size.rows // LISTED)
     while True:
         some = found.filter(F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(step)) == 0).limit(LISTED + 1).collect()

@@ -36,6 +36,10 @@ ROWS_PER_RANGE = 500_000
 #: Stored with each row: 16 bytes of digest over all its columns.
 ROW_DIGEST = "__row" + DIGEST_SUFFIX
 _BITS = 64
+_NODE = T.StructType([
+    T.StructField("level", T.IntegerType()), T.StructField("id", T.LongType()), T.StructField("parent", T.LongType()),
+    T.StructField("n", T.LongType()), T.StructField("digest", T.StringType()),
+])
 #: Folders of a version; the first two are gone once it is published.
 _PARTS = ("starts", "leaves", "snapshots", "manifests", "trees")
 
@@ -218,16 +222,21 @@ class Version:
     def __init__(self, spark: SparkSession, store: str, folder: str):
         self.spark, self.store = spark, store
         where = paths.join(store, "manifests", folder)
-        self.manifest = self.tree = self.keys = self.scope = None
+        self.manifest = self.keys = self.scope = None
         if paths.exists(spark, where):
             self.manifest = spark.read.parquet(where)
-            self.tree = spark.read.parquet(paths.join(store, "trees", folder))
+            self._tree = paths.join(store, "trees", folder)
             self.keys = self.manifest.schema[START].dataType.names
             self.scope = self.manifest.schema["scopes"].metadata.get("column")
             self.schema = T.StructType.fromJson(self.manifest.schema["files"].metadata["schema"])
         else:
             self.plain = spark.read.parquet(paths.join(store, "snapshots", folder))
 
+    @property
+    def tree(self) -> DataFrame:
+        start = T.StructField("start", self.manifest.schema[START].dataType)
+        return self.spark.read.schema(T.StructType([*_NODE.fields[:3], start, *_NODE.fields[3:]])).parquet(self._tree)
+
     @property
     def rows(self) -> DataFrame:
         every = self.plain if self.manifest is None else self._read(self.manifest)
@@ -386,7 +395,7 @@ def _store(rows, leaves, kept, scope, keys, starts, where, rows_per_range) -> Da
         F.col("files").alias("files", metadata={"schema": schema.jsonValue()}),
     )
     marked.coalesce(1).write.parquet(where["manifests"])
-    manifest = spark.read.parquet(where["manifests"])
+    manifest = spark.read.schema(marked.schema).parquet(where["manifests"])
     clash = manifest.groupBy("id").count().filter("count > 1").limit(1).collect()
     if clash:
         raise PublishError("two ranges share one number; choose another rows_per_range")

@@ -121,19 +121,19 @@ def test_stale_parent(spark, store):
 @pytest.mark.parametrize("mine", [{"a/1": "mine"}, {"a/1": "x"}])
 def test_a_competitor_is_not_harmed(spark, store, monkeypatch, mine):
     """Another writer publishes version 2 after this one's first look at the history."""
-    from tablemirror.sources import store as store_module
+    from tablemirror.sources import versions as version_rows
 
     put(snapshot(spark, {"a/1": "x"}), store, 0)
-    check, calls = store_module._refuse_stale, []
+    check, calls = version_rows.refuse_stale, []
 
     def late(*args):
         check(*args)
         calls.append(1)
         if len(calls) == 1:
-            monkeypatch.setattr(store_module, "_refuse_stale", check)
+            monkeypatch.setattr(version_rows, "refuse_stale", check)
             assert put(snapshot(spark, {"a/1": "theirs"}), store, 1) == 2
 
-    monkeypatch.setattr(store_module, "_refuse_stale", late)
+    monkeypatch.setattr(version_rows, "refuse_stale", late)
     with pytest.raises((StaleParentError, NothingChangedError)):
         put(snapshot(spark, mine), store, 1)
     assert as_dict(tm.read_latest(spark, store)) == {"a/1": "theirs"}
