@@ -232,7 +232,10 @@ def fit(docs: DataFrame, learn: F.Column, per_language: int = DOCS_PER_LANGUAGE)
             runs.append(words[start : start + RUN])
         return [ids, langs, runs]
 
-    rows = arrow_map(picked, each, "doc_id long, lang string, run array<string>").collect()
+    # ids that are repeated do not unbound the sample
+    most = 2 * per_language * len(languages)
+    found = arrow_map(picked, each, "doc_id long, lang string, run array<string>")
+    rows = found.orderBy(F.xxhash64("doc_id", "run"), "doc_id", "lang", "run").limit(most).collect()
     rows = sorted((r.doc_id, r.lang, r.run) for r in rows if r.run)
     if not rows:
         return None
