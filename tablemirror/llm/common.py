@@ -6,6 +6,8 @@ that further columns of the input, whatever they are called, never clash with it
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
@@ -98,6 +100,13 @@ def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
             yield part
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: its worker goes on to other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_map(
     df: DataFrame,
     each: Callable[..., list],
@@ -121,6 +130,8 @@ def arrow_map(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(got, arrow, strict=True)], schema=arrow
                 )
+                del got
+        give_back()
 
     return df.mapInArrow(batches, schema)
 

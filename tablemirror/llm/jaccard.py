@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemirror.llm.common import arrow_map, components, ship, stored
+from tablemirror.llm.common import arrow_map, components, give_back, ship, stored
 
 WORDS = 5
 #: Documents from which a shingle is hot, and hot shingles that are listed at most (8 MB).
@@ -385,6 +385,8 @@ def _leaf_pairs(groups: DataFrame) -> DataFrame:
             rest = [c[keep:] for c in columns]
         if rest is not None:
             yield out(leaf_pairs(*rest))
+        rest = None
+        give_back()
 
     def out(found):
         return pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in (0, 1)], ["a", "b"])
@@ -418,6 +420,8 @@ def _tree_pairs(groups: DataFrame) -> DataFrame:
                     last = group
         if len(held) > 1:
             yield done()
+        held = []
+        give_back()
 
     return groups.mapInArrow(blocks, "a long, b long").distinct()
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablemirror.llm.common import ship, stored
+from tablemirror.llm.common import give_back, ship, sliced, stored
 
 WINDOW = 2048
 END_ID = 1
@@ -83,7 +83,7 @@ def tokenise(
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = tokenizer(json_path, ranks_path, pattern).ids
         part, start = TaskContext.get().partitionId(), 0
-        for batch in rows:
+        for batch in (part_ for whole in rows for part_ in sliced(whole)):
             ids = [
                 np.array([*ids_of(t or ""), END_ID], "<u4").tobytes()
                 for t in batch.column(1).to_pylist()
@@ -96,6 +96,9 @@ def tokenise(
                 ["doc_id", "part", "start", "n", "ids"],
             )
             start = int(ends[-1]) if len(n) else start
+        del ids_of
+        _LOADED.clear()  # some 100 MB, which the stages that follow in this worker have no use for
+        give_back()
 
     return stored(kept.mapInArrow(batches, schema), "tokens")
 

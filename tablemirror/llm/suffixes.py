@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemirror.llm.common import WORD, arrow_map, ship, stored
+from tablemirror.llm.common import WORD, arrow_map, give_back, ship, stored
 
 LENGTH = 400
 #: Words of a passage that ``without_passages`` removes too, at any number of bytes.
@@ -297,6 +297,8 @@ def mark(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
                     last = row["gram"]
         if held:
             yield block(held)
+        held = []
+        give_back()
 
     return contexts.mapInArrow(blocks, "key binary, low int, high int")
 
