@@ -78,7 +78,7 @@ def publish_ranged(
     scope = _scope_column(result, keys, scope)
     before = version_of(spark, store, parent) if parent else None
     if before is not None:
-        check_same_schema(result, before.rows)
+        check_same_schema(result, before.shape)
     folder = f"{parent + 1}-{uuid.uuid4().hex}"
     where = {part: paths.join(store, part, folder) for part in _PARTS}
     try:
@@ -182,7 +182,7 @@ def diff_versions(
     for version, number in ((a, old), (b, new)):
         if version is None:
             raise PublishError(f"there is no version {number}")
-    check_same_schema(a.rows, b.rows)
+    check_same_schema(a.shape, b.shape)
     if a.manifest is None or b.manifest is None or a.keys != b.keys:
         keys = keys or a.keys or b.keys
         if keys is None:
@@ -205,7 +205,7 @@ def diff_latest(
     if latest is None or latest.manifest is None:
         raise PublishError(f"the newest version in {store} has no ranges")
     keys = latest.keys
-    check_same_schema(source, latest.rows)
+    check_same_schema(source, latest.shape)
     if validate:
         checked_key_stats(keys, source=source)
     rows = _placed(source, keys, starts_of(source, keys, rows_per_range))
@@ -232,6 +232,12 @@ class Version:
         else:
             self.plain = spark.read.parquet(paths.join(store, "snapshots", folder))
 
+    @property
+    def shape(self) -> DataFrame:
+        """A table without rows, with the columns of the version; no file is listed for it."""
+        every = self.plain if self.manifest is None else versions.empty(self.spark, self.schema)
+        return every.select(*[c for c in every.columns if not c.endswith(DIGEST_SUFFIX)])
+
     @property
     def tree(self) -> DataFrame:
         start = T.StructField("start", self.manifest.schema[START].dataType)
@@ -295,7 +301,7 @@ def read_scope(spark: SparkSession, store: str, prefix: str | Sequence[str], col
     latest = version_of(spark, store, versions.latest(spark, store))
     if latest is None:
         raise PublishError(f"nothing has been published in {store}")
-    check_scope_column(latest.rows, column)
+    check_scope_column(latest.shape, column)
     return latest.in_scope(prefixes, column)
 
 
