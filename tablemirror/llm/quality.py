@@ -24,7 +24,8 @@ from tablemirror.llm.common import WORD, arrow_map
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-#: Labelled rows that the trees are fitted on at most; all rows are scored.
+#: Labelled ids whose documents the trees are fitted on at most; all rows are scored. Where ids are
+#: repeated, up to twice as many rows of them.
 MAX_FIT_ROWS = 8192
 #: Share of good rows of the sample, at most, that may fall below the threshold.
 MAX_GOOD_LOST = 0.002
