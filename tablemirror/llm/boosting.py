@@ -102,7 +102,9 @@ class Forest:
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Probability of label 1 for each row of ``x``."""
-        x = np.asarray(x, float).reshape(len(x), -1)
+        x = np.asarray(x, float)
+        if not len(x):
+            return np.empty(0)
         total = np.full(len(x), self.base)
         rows = np.arange(len(x))[:, None]
         node = np.broadcast_to(self.roots, (len(x), len(self.roots)))
@@ -254,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> For
 
     rows = (
         arrow_map(sample.select(F.xxhash64("doc_id"), "text", F.col("quality").cast("int")), each, "h long, y int, x array<double>")
-        .orderBy("h", "x").limit(max_rows).collect()
+        .orderBy(F.xxhash64("h", "x"), "h", "x").limit(max_rows).collect()
     )
     y = np.array([r.y for r in rows], float)
     if not len(y) or y.min() == y.max():
