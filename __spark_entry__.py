@@ -131,6 +131,17 @@ def diff_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.change_summary(changes, by=tm.scope_of(prefixes=nested).alias("scope"))
 
 
+def folder_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes below every folder of a tree with a folder for each digit of an id; some lie at its top."""
+    docs = _table(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string")
+    digits = F.regexp_replace(number, "(.)", "$1/")
+    folder = F.when(F.col("lang") == "fr", "").otherwise(F.concat("source", F.lit("/"), "lang", F.lit("/"), digits))
+    target = docs.select(F.concat(folder, number).alias("path"), "text")
+    source = target.filter(F.length("text") >= 400)
+    return tm.folder_summary(tm.diff(source, target, "path", keep_unchanged=True, validate="inline"))
+
+
 def diff_orders_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order status rebuilt from the line items, against the status on record."""
     status = (
@@ -244,6 +255,12 @@ def upsert_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set(key_checks.BROADCAST_SETTING, before)
 
 
+def without_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target rows that the source lacks; bits rule out most others before the join."""
+    source, target = _trees(spark, sf_dir)
+    return tm.without_keys(target, source, "path")
+
+
 def mirror_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _trees(spark, sf_dir)
     return tm.mirror(source, target, MIRRORED)
@@ -400,6 +417,7 @@ _QUERIES = [
     diff_by_scope,
     diff_changed_rows,
     diff_by_rule,
+    folder_summary,
     diff_orders_rebuilt,
     diff_conversations,
     diff_embeddings,
@@ -414,6 +432,7 @@ _QUERIES = [
     null_keys,
     upsert,
     upsert_shuffled,
+    without_keys,
     mirror_scope,
     run_plan,
     run_plan_loaded,
@@ -520,6 +539,18 @@ def oracle_sql() -> dict[str, str]:
                         else split_part(folder, '/', 1) end as scope,
                    case when stays then 'unchanged' else 'deleted' end as change, count(*) as n
             from paths group by all""",
+        "folder_summary": r"""
+            with recursive leaf as (
+              select case when lang = 'fr' then '' else concat(source, '/', lang, '/',
+                       regexp_replace(cast(doc_id as varchar), '(.)', '\1/', 'g')) end as folder,
+                     case when length(text) >= 400 then 'unchanged' else 'deleted' end as change, count(*) as n
+              from documents group by all
+            ), up as (
+              select folder, change, n from leaf
+              union all
+              select regexp_replace(folder, '[^/]*/$', ''), change, n from up where folder <> ''
+            )
+            select folder, change, cast(sum(n) as bigint) as n from up group by all""",
         "diff_orders_rebuilt": """
             with built as (
               select l_orderkey, case when bool_and(l_linestatus = 'F') then 'F'
@@ -568,6 +599,8 @@ def oracle_sql() -> dict[str, str]:
         "upsert_shuffled": _TREES
         + """select * from src union all
              select * from tgt where not exists (select 1 from src where src.path = tgt.path)""",
+        "without_keys": _TREES
+        + "select * from tgt where not exists (select 1 from src where src.path = tgt.path)",
         "mirror_scope": _TREES
         + """select * from src where split_part(path, '/', 1) in ('src1', 'quarantine', 'inbox')
              union all

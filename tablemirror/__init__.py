@@ -9,7 +9,9 @@ from tablemirror.operators import (
     compose_patches,
     diff,
     duplicate_keys,
+    folder_summary,
     in_scope,
+    key_filter,
     make_patch,
     mirror,
     missing_required,
@@ -19,6 +21,7 @@ from tablemirror.operators import (
     scope_of,
     select_required,
     upsert,
+    without_keys,
 )
 from tablemirror.plans import Rule, load_rules, run_plan
 from tablemirror.sources import (
@@ -45,8 +48,10 @@ __all__ = [
     "diff_versions",
     "duplicate_keys",
     "errors",
+    "folder_summary",
     "history",
     "in_scope",
+    "key_filter",
     "latest_version",
     "load_rules",
     "make_patch",
@@ -66,4 +71,5 @@ __all__ = [
     "scope_of",
     "select_required",
     "upsert",
+    "without_keys",
 ]

@@ -1,5 +1,7 @@
 from tablemirror.operators.diff import change_summary, diff
+from tablemirror.operators.folders import folder_summary
 from tablemirror.operators.keys import check_keys, duplicate_keys, null_keys
+from tablemirror.operators.membership import key_filter, without_keys
 from tablemirror.operators.merge import mirror, upsert
 from tablemirror.operators.patch import apply_patch, compose_patches, make_patch
 from tablemirror.operators.required import missing_required, select_required
@@ -13,7 +15,9 @@ __all__ = [
     "compose_patches",
     "diff",
     "duplicate_keys",
+    "folder_summary",
     "in_scope",
+    "key_filter",
     "make_patch",
     "mirror",
     "missing_required",
@@ -23,4 +27,5 @@ __all__ = [
     "scope_of",
     "select_required",
     "upsert",
+    "without_keys",
 ]

@@ -64,7 +64,7 @@ def checked_key_stats(keys: str | Sequence[str], **sides: DataFrame) -> dict[str
     """
     found = reduce(DataFrame.union, [_key_report(df, keys, side) for side, df in sides.items()])
     stats = {}
-    limit = _limit(found)
+    limit = broadcast_limit(found)
     for row in found.collect():
         if row["bad"] is not None:
             example = row["bad"]["key"].asDict()
@@ -132,7 +132,7 @@ def key_stats(df: DataFrame, keys: str | Sequence[str]) -> KeyStats:
     """Row count and key bytes, from a scan of the key columns without a shuffle of rows."""
     keys = _checked(df, keys)
     found = df.agg(F.count("*").alias("rows"), F.sum(key_width(df, keys)).alias("bytes")).first()
-    return KeyStats(found["rows"], found["bytes"] or 0, _limit(df))
+    return KeyStats(found["rows"], found["bytes"] or 0, broadcast_limit(df))
 
 
 def split_stats(
@@ -158,7 +158,7 @@ def split_stats(
         )
         .first()
     )
-    limit = _limit(df)
+    limit = broadcast_limit(df)
     hits = KeyStats(found["hits"], found["hit_bytes"] or 0, limit)
     rest = KeyStats(found["rest"], found["rest_bytes"] or 0, limit)
     return hits, None if found["unfit"] else rest
@@ -173,7 +173,8 @@ def _checked(df: DataFrame, keys: str | Sequence[str]) -> list[str]:
     return keys
 
 
-def _limit(df: DataFrame) -> int:
+def broadcast_limit(df: DataFrame) -> int:
+    """Bytes that may be broadcast, as set in the session."""
     return int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_DEFAULT)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablemirror.errors import EmptySourceError
 from tablemirror.operators.keys import check_sides, key_stats, split_stats
+from tablemirror.operators.membership import without_keys
 from tablemirror.operators.scope import (
     check_prefixes,
     check_scope_column,
@@ -68,8 +69,9 @@ def without(
     ``small`` says that the source's keys were measured and may be broadcast. If they
     may not, the keys of both sides meet first, without the payload: where
     either the rows to drop or the rows to keep turn out to be few, those are
-    broadcast and the target is read in place. Only if both are many is it shuffled, or if
-    its payload is no wider than keys are.
+    broadcast and the target is read in place. If both are many, but most rows stay, a table of
+    bits (``without_keys``) keeps most of these out of the shuffle. All of the target is
+    shuffled only otherwise, or if its payload is no wider than keys are.
     """
     keys = list(keys)
     gone = source.select(*keys)
@@ -83,6 +85,8 @@ def without(
         return target.join(F.broadcast(mine.join(gone, keys, "left_semi")), keys, "left_anti")
     if rest is not None and rest.small:
         return target.join(F.broadcast(mine.join(gone, keys, "left_anti")), keys, "left_semi")
+    if rest is not None and 2 * hits.rows <= rest.rows:
+        return without_keys(target, gone, keys)
     return target.join(gone, keys, "left_anti")
 
 
