@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import random
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
@@ -15,17 +18,25 @@ from tablemirror.sources import paths
 from tablemirror.workers import ship
 
 LIST, SKIP = "list", "skip"
-_NAMES = 8192  # rows of a batch of names
+_ROWS = 8192  # rows of a batch of names
 _BYTES = 16 << 20  # bytes of a batch of contents
 
-_LISTED = "path string, folder boolean, modified timestamp, length bigint"
+#: A folder of more names than this is listed by several tasks, up to ``_PARTS``.
+SPLIT = 50_000
+_PARTS, _SAMPLE = 64, 4096
+
+FILE, FOLDER, RANGE = "file", "folder", "range"
+_FOLDER = "path string, least string, beyond string"
+_LISTED = "path string, kind string, modified timestamp, length bigint, least string, beyond string"
 _ARROW = pa.schema([
-    ("path", pa.string()), ("folder", pa.bool_()),
-    ("modified", pa.timestamp("us", "UTC")), ("length", pa.int64()),
+    ("path", pa.string()), ("kind", pa.string()), ("modified", pa.timestamp("us", "UTC")),
+    ("length", pa.int64()), ("least", pa.string()), ("beyond", pa.string()),
 ])
 
 
-def scan_files(spark: SparkSession, root: str, content: bool = False, hidden: str = LIST) -> DataFrame:
+def scan_files(
+    spark: SparkSession, root: str, content: bool = False, hidden: str = LIST, split: int = SPLIT
+) -> DataFrame:
     """One row per file below ``root``: ``path`` relative to it, ``modified``, ``length``.
 
     ``content=True`` adds the bytes; a file over 2 GB then fails, while listing
@@ -34,9 +45,14 @@ def scan_files(spark: SparkSession, root: str, content: bool = False, hidden: st
     files are rows like all others; empty folders are none. A missing root raises.
 
     Executors list the tree level by level, one row per folder, so that no list of names
-    sits on the driver; the rows of a level are kept (persisted) for the next one. This is
-    Python code over pyarrow's file systems (local, HDFS, S3 and others). A storage that it
-    does not know raises ``ScanError`` unless ``hidden="skip"`` is given: then Spark's own
+    sits on the driver; the rows of a level are written to the checkpoint folder for the next
+    one (in a session without such a folder they are persisted). On local and mounted disks
+    names stream by, and a folder of more than ``split`` names is cut into ranges of names, up
+    to 64, which are listed by tasks of their own. Elsewhere the storage's client hands over a
+    folder as one list, in one task.
+
+    This is Python code over pyarrow's file systems (local, HDFS, S3 and others). A storage that
+    it does not know raises ``ScanError`` unless ``hidden="skip"`` is given: then Spark's own
     reader lists the tree, without names that begin with a dot or an underscore and
     without empty files.
     """
@@ -54,12 +70,15 @@ def scan_files(spark: SparkSession, root: str, content: bool = False, hidden: st
             f"{uri} cannot be listed with hidden names; hidden={SKIP!r} scans it without them"
         ) from unknown
     ship(spark)
-    level = spark.createDataFrame([("",)], "path string")
+    level = spark.createDataFrame([("", None, None)], _FOLDER)
     found = []
     while True:
-        below = level.mapInArrow(lambda batches: _children(uri, batches), _LISTED).persist()
-        found.append(below.filter("not folder").select("path", "modified", "length"))
-        level = below.filter("folder").select("path").repartition("path")
+        below = level.mapInArrow(lambda batches: _children(uri, split, batches), _LISTED)
+        below = _stored(spark, below)
+        found.append(below.filter(F.col("kind") == FILE).select("path", "modified", "length"))
+        # a range of names is dealt like a folder of its own
+        level = below.filter(F.col("kind") != FILE).select("path", "least", "beyond")
+        level = level.repartition("path", "least")
         if level.isEmpty():
             break
     files = reduce(DataFrame.union, found)
@@ -72,25 +91,85 @@ def scan_files(spark: SparkSession, root: str, content: bool = False, hidden: st
     )
 
 
-def _children(uri: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What lies directly in each folder."""
+def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The rows, listed once: what a lost executor held is read again, not listed anew."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return df.checkpoint()
+    return df.persist()
+
+
+def _children(
+    uri: str, split: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """What lies directly in each folder, or the ranges that a huge one is cut into."""
     files, base = arrow_fs.FileSystem.from_uri(uri)
     base = base.rstrip("/")
+    streams = isinstance(files, arrow_fs.LocalFileSystem)
     for batch in batches:
-        for folder in batch.column(0).to_pylist():
-            inside = files.get_file_info(arrow_fs.FileSelector(f"{base}/{folder}"))
-            for at in range(0, len(inside), _NAMES):
-                part = inside[at : at + _NAMES]
-                is_folder = [i.type == arrow_fs.FileType.Directory for i in part]
-                columns = [
-                    [f"{folder}{i.base_name}{'/' if d else ''}" for i, d in zip(part, is_folder)],
-                    is_folder,
-                    [i.mtime for i in part],
-                    [0 if d else i.size for i, d in zip(part, is_folder)],
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-                )
+        for folder, least, beyond in zip(*(c.to_pylist() for c in batch.columns)):
+            place = f"{base}/{folder}"
+            if not streams:
+                inside = files.get_file_info(arrow_fs.FileSelector(place))
+                for at in range(0, len(inside), _ROWS):
+                    yield _listed(folder, inside[at : at + _ROWS])
+                continue
+            cuts = _cuts(place, split) if beyond is None and least is None else []
+            if cuts:
+                yield _ranges(folder, cuts)
+                continue
+            names = _names(place, least, beyond)
+            while some := list(islice(names, _ROWS)):
+                yield _listed(folder, files.get_file_info([f"{place}{name}" for name in some]))
+
+
+def _names(place: str, least: str | None, beyond: str | None) -> Iterator[str]:
+    """Names in a folder from ``least`` on and before ``beyond``, as the disk hands them out."""
+    with os.scandir(place) as entries:
+        for entry in entries:
+            if (least is None or entry.name >= least) and (beyond is None or entry.name < beyond):
+                yield entry.name
+
+
+def _cuts(place: str, split: int) -> list[str]:
+    """Names that cut a folder of more than ``split`` names into ranges of about as many each.
+
+    One pass over the names that keeps an even sample of them.
+    """
+    held, n, draw = [], 0, random.Random(0)
+    for name in _names(place, None, None):
+        n += 1
+        if len(held) < _SAMPLE:
+            held.append(name)
+        elif (at := draw.randrange(n)) < _SAMPLE:
+            held[at] = name
+    parts = min(-(-n // split), _PARTS)
+    held.sort()
+    return sorted({held[len(held) * i // parts] for i in range(1, parts)})
+
+
+def _ranges(folder: str, cuts: list[str]) -> pa.RecordBatch:
+    n = len(cuts) + 1
+    # the first range begins at the empty name, so that it is not taken for the whole folder
+    columns = [[folder] * n, [RANGE] * n, [None] * n, [None] * n, ["", *cuts], [*cuts, None]]
+    return _batch(columns)
+
+
+def _listed(folder: str, part: list[arrow_fs.FileInfo]) -> pa.RecordBatch:
+    is_folder = [i.type == arrow_fs.FileType.Directory for i in part]
+    return _batch([
+        [f"{folder}{i.base_name}{'/' if d else ''}" for i, d in zip(part, is_folder)],
+        [FOLDER if d else FILE for d in is_folder],
+        [i.mtime for i in part],
+        [0 if d else i.size for i, d in zip(part, is_folder)],
+        [None] * len(part),
+        [None] * len(part),
+    ])
+
+
+def _batch(columns: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
+    )
 
 
 def _contents(uri: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,10 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import tablemirror as tm
 from tablemirror.errors import ScanError
+from tablemirror.sources import files
 from trees import changes_of
 
 FILES = {
@@ -109,3 +111,29 @@ def test_the_whole_round(spark, root, tmp_path):
     assert got == {**moved, "proj/other": b"k", "top": b"t"}
     last = tm.history(spark, store).filter("version = 2").first()
     assert (last.n_added, last.n_modified, last.n_deleted) == (3, 1, 1)
+
+
+def test_a_huge_folder_is_listed_in_ranges_of_names(spark, tmp_path):
+    base = tmp_path / "huge"
+    write(base, {f"logs/{i % 700:04d} ü{i}": b"x" * (i % 3) for i in range(3000)})
+    write(base, {"logs/below/one": b"1", "logs/zz/two": b"22", "top": b""})
+    want = {str(p.relative_to(base)): p.stat().st_size for p in base.rglob("*") if p.is_file()}
+    for split in (1, 500, 3001, 10**6):
+        rows = tm.scan_files(spark, str(base), split=split).collect()
+        assert len(rows) == len(want)
+        assert {r.path: r.length for r in rows} == want
+
+
+def test_ranges_are_even_and_names_stream(tmp_path):
+    base = tmp_path / "many"
+    base.mkdir()
+    for i in range(20_000):
+        (base / f"part-{i:06d}").touch()
+    cuts = files._cuts(f"{base}/", 5000)
+    assert len(cuts) == 3
+    edges = [None, *cuts, None]
+    sizes = [sum(1 for _ in files._names(f"{base}/", a, b)) for a, b in zip(edges, edges[1:])]
+    assert sum(sizes) == 20_000 and max(sizes) < 6500
+    folder = pa.RecordBatch.from_pydict({"path": [""], "least": ["part-005000"], "beyond": [None]})
+    first = next(files._children(f"file://{base}", 5000, iter([folder])))
+    assert first.num_rows == files._ROWS  # a batch, not the list of the folder
