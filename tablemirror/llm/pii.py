@@ -17,7 +17,13 @@ removed. They are marked wherever they stand in the whole text of every document
 the entity; ``reach`` is for counting only. Words of one character are terms like others;
 words inside a base span are none. Documents that hold the term but not the entity stay as
 they are: what is protected is the entity of a document, which these do not have, and the
-threshold leaves few of them. Documents without an entity are never touched.
+threshold leaves few of them.
+
+Secrets, such as keys and tokens, are protected too: runs of at least ``SECRET_LENGTH`` letters
+and digits, some of both, that carry ``SECRET_BITS`` bits or more by the entropy of their own
+characters. They become spans of kind ``secret`` outside the base spans, which stay as they
+are. No terms are gathered for them: a secret names nobody, and is safe once it is masked.
+Documents with neither an entity nor a secret are never touched.
 
 Defined results: null is as empty and has no span; repeated rows and null ids are judged row
 by row, but equal texts count once in all counts; an empty table gives an empty table.
@@ -27,6 +33,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
+from math import log2
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,13 +42,15 @@ from pyspark.sql import functions as F
 
 from tablemirror.llm.common import arrow_map, stored
 
-KINDS = ("email", "ip", "card", "phone", "term")
+KINDS = ("email", "ip", "card", "phone", "term", "secret")
 #: Words on each side of an entity that may reveal it.
 REACH = 8
 #: Texts that stand for what is not known of a term.
 PRIOR = 0.5
 #: Disclosure from which a term is generalised or removed.
 THRESHOLD = 0.9
+#: Characters, and bits of information, that make a run of letters and digits a secret.
+SECRET_LENGTH, SECRET_BITS = 20, 64
 #: Groups of equal texts whose counts are broadcast at most (about 32 bytes each).
 BROADCAST_GROUPS = 1 << 22
 
@@ -51,6 +61,7 @@ _CARD = re.compile("[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile("[^0-9]")
 _TERM = re.compile(r"\w+")
+_RUN = re.compile("[A-Za-z0-9]{%d,}" % SECRET_LENGTH)
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -92,6 +103,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _bits(token: str) -> float:
+    """Length by the entropy of the token's own characters."""
+    return sum(n * log2(len(token) / n) for n in Counter(token).values())
+
+
+def secret_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``(start, kind, end)`` of all secrets that no base span touches, in order."""
+    kind, out, at, reach = KINDS.index("secret"), [], 0, 0
+    for m in _RUN.finditer(text):
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][2])
+            at += 1
+        token = m[0]
+        if reach <= m.start() and not token.isalpha() and not token.isdigit() and _bits(token) >= SECRET_BITS:
+            out.append((m.start(), kind, m.end()))
+    return out
+
+
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -136,9 +165,13 @@ def _terms_near(text: str, spans: list, reach: int) -> tuple[list[int], set[tupl
     return sorted(held), near, {t for t in terms if t is not None}
 
 
+_SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
 def entities(docs: DataFrame, *keep: str, text: str = "text", reach: int = REACH) -> DataFrame:
-    """Stored rows: ``_row``, columns ``keep``, ``base`` spans, entities ``held``, ``near`` pairs,
-    and of rows that have an entity all ``terms`` and the text (``_held_text``).
+    """Stored rows: ``_row``, columns ``keep``, ``base`` spans, ``kept_safe`` (base spans and
+    secrets), entities ``held``, ``near`` pairs, of rows that have an entity all ``terms``, and of
+    rows that have a span the text (``_held_text``).
 
     ``_row`` is an id of the row that stays as it is, since the rows are stored.
     """
@@ -146,22 +179,24 @@ def entities(docs: DataFrame, *keep: str, text: str = "text", reach: int = REACH
     types = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes[:-1])
     schema = (
         (types + ", " if types else "")
-        + "base array<struct<start:int,kind:int,end:int>>, held array<long>, "
+        + f"base {_SPANS}, kept_safe {_SPANS}, held array<long>, "
         + "near array<struct<term:long,entity:long>>, terms array<long>, _held_text string"
     )
     names = ("start", "kind", "end"), ("term", "entity")
 
     def each(*cols):
-        base, held, near, terms, texts = [], [], [], [], []
+        base, safe, held, near, terms, texts = [], [], [], [], [], []
         for t in cols[-1]:
             spans = base_spans(t) if t else []
+            every = sorted(spans + secret_spans(t, spans)) if t else []
             base.append([dict(zip(names[0], s, strict=True)) for s in spans])
+            safe.append([dict(zip(names[0], s, strict=True)) for s in every])
             found = _terms_near(t, spans, reach) if spans else ([], (), ())
             held.append(found[0])
             near.append([dict(zip(names[1], p, strict=True)) for p in sorted(found[1])])
             terms.append(sorted(found[2]))
-            texts.append(t if spans else None)
-        return [*cols[:-1], base, held, near, terms, texts]
+            texts.append(t if every else None)
+        return [*cols[:-1], base, safe, held, near, terms, texts]
 
     found = arrow_map(kept, each, schema)
     return stored(found.withColumn("_row", F.monotonically_increasing_id()), "entities")
@@ -240,9 +275,9 @@ def revealed(found: DataFrame, pairs: DataFrame) -> DataFrame:
     return hits.groupBy("_row").agg(F.collect_set("term").alias("marked"))
 
 
-def _all_spans(text: str | None, base: list, marked: list | None) -> list[tuple[int, int, int]]:
-    """Base spans and every occurrence of the marked terms outside them, in order."""
-    spans = [(s["start"], s["kind"], s["end"]) for s in base]
+def _all_spans(text: str | None, safe: list, marked: list | None) -> list[tuple[int, int, int]]:
+    """Base spans, secrets, and every occurrence of the marked terms outside them, in order."""
+    spans = [(s["start"], s["kind"], s["end"]) for s in safe]
     if not marked:
         return spans
     wanted, kind = set(marked), KINDS.index("term")
@@ -253,15 +288,15 @@ def _all_spans(text: str | None, base: list, marked: list | None) -> list[tuple[
 
 
 def spans(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
-    """Columns ``keep``, ``base`` and ``spans``: entities, and entities with revealing terms."""
+    """Columns ``keep``, ``base`` and ``spans``: entities, and these with secrets and revealing terms."""
     docs = weighed(docs, text)
     found = entities(docs, *keep, "_weight", text=text)
     marked = revealed(found, revealing(docs, found, text))
-    touched = F.size("base") > 0
+    touched = F.size("kept_safe") > 0
     own = [f"c{i}" for i in range(len(keep))]
     joined = (
         found.filter(touched).join(marked, "_row", "left")
-        .select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own, strict=True)], "base", "_held_text", "marked")
+        .select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own, strict=True)], "base", "kept_safe", "_held_text", "marked")
     )
     kinds = "".join(f"{c} {t}, " for c, t in joined.select(*own).dtypes)
     names = ("start", "kind", "end")
@@ -271,10 +306,9 @@ def spans(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
             [dict(zip(names, s, strict=True)) for s in _all_spans(t, b, m)]
             for b, t, m in zip(*cols[-3:], strict=True)
         ]
-        return [*cols[:-2], every]
+        return [*cols[:-3], every]
 
-    kind = "array<struct<start:int,kind:int,end:int>>"
-    done = arrow_map(joined, each, f"{kinds}base {kind}, spans {kind}").toDF(*keep, "base", "spans")
+    done = arrow_map(joined, each, f"{kinds}base {_SPANS}, spans {_SPANS}").toDF(*keep, "base", "spans")
     return done.union(found.filter(~touched).select(*keep, "base", F.col("base").alias("spans")))
 
 
@@ -306,7 +340,7 @@ def _masked(text: str, marks: list[tuple[int, int, int]]) -> str:
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with entities replaced by their kind, revealing terms generalised or removed.
 
-    All columns and rows stay. Only rows with an entity go through the join with the terms.
+    All columns and rows stay. Only rows with an entity or a secret go through the join with the terms.
     """
     others = [c for c in docs.columns if c != text]
     own = [f"c{i}" for i in range(len(others))]
@@ -316,8 +350,8 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     renamed = weighed(renamed, "whole")
     found = entities(renamed, *own, "whole", "_weight", text="whole")
     marked = revealed(found, revealing(renamed, found, "whole"))
-    touched = F.size("base") > 0
-    joined = found.filter(touched).join(marked, "_row", "left").select(*own, "whole", "base", "marked")
+    touched = F.size("kept_safe") > 0
+    joined = found.filter(touched).join(marked, "_row", "left").select(*own, "whole", "kept_safe", "marked")
     kinds = "".join(f"{c} {t}, " for c, t in joined.select(*own).dtypes)
 
     def each(*cols):

@@ -67,7 +67,15 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
     base = F.sha2(pii.span_text("base").cast("binary"), 256)
-    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.span_text("spans").alias("spans"))
+    secret = pii.KINDS.index("secret")
+    return found.select(
+        "doc_id",
+        *counts,
+        base.alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+        F.size(F.filter("spans", lambda span: span["kind"] == secret)).cast("long").alias("n_secret"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
