@@ -46,13 +46,15 @@ def with_start(df: DataFrame, keys: Sequence[str], starts: DataFrame) -> DataFra
     """
     keys = list(keys)
     found = starts.select(*keys)
-    listed = found.limit(LISTED + 1).collect()
+    # ordered here, since a plan would sort its list anew at every step of every row's search
+    listed = found.orderBy(*keys).limit(LISTED + 1).collect()
     if len(listed) <= LISTED:
         return df.withColumn(START, _found(df, keys, listed))
     size = key_stats(found, keys)
     step = -(-2 * size.rows // LISTED)
     while True:
-        some = found.filter(F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(step)) == 0).limit(LISTED + 1).collect()
+        some = found.filter(F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(step)) == 0)
+        some = some.orderBy(*keys).limit(LISTED + 1).collect()
         if len(some) <= LISTED:
             break
         step *= 2
@@ -65,20 +67,20 @@ def with_start(df: DataFrame, keys: Sequence[str], starts: DataFrame) -> DataFra
     return joined.withColumn(START, F.get("__list", at - 1)).drop(part, "__list")
 
 
-def _sorted_list(df: DataFrame, keys: list[str], rows: list) -> Column:
-    values = [F.struct(*[F.lit(r[k]).cast(df.schema[k].dataType).alias(k) for k in keys]) for r in rows]
-    return F.array_sort(F.array(*values))
+def _list(df: DataFrame, keys: list[str], rows: list) -> Column:
+    """The rows as a constant of the plan, in the order given."""
+    return F.array(*[F.struct(*[F.lit(r[k]).cast(df.schema[k].dataType).alias(k) for k in keys]) for r in rows])
 
 
 def _places(df: DataFrame, keys: list[str], rows: list) -> Column:
-    return _search(_sorted_list(df, keys, rows), F.struct(*keys), len(rows)) if rows else F.lit(0)
+    return _search(_list(df, keys, rows), F.struct(*keys), len(rows)) if rows else F.lit(0)
 
 
 def _found(df: DataFrame, keys: list[str], rows: list) -> Column:
     if not rows:
         nothing = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
         return F.when(F.lit(False), F.struct(*nothing))
-    return F.get(_sorted_list(df, keys, rows), _places(df, keys, rows) - 1)
+    return F.get(_list(df, keys, rows), _places(df, keys, rows) - 1)
 
 
 def _search(ordered: Column, key: Column, most: int) -> Column:

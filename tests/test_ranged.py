@@ -69,6 +69,14 @@ def test_a_row_lies_in_the_range_of_the_greatest_start_not_above_it(spark, monke
     assert got == {k: max((s for s in first if s <= k), default=None) for k in keys}
 
 
+def test_no_row_sorts_the_list_of_starts(spark):
+    """The starts are a constant of the plan; an array sorted in it is sorted for every row and step."""
+    df = spark.createDataFrame([(k,) for k in sorted(tree(200))], "path string")
+    found = ranges.with_start(df, ["path"], ranges.starts_of(df, ["path"], ROWS))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "named_struct" not in plan
+
+
 def test_ranges_of_several_keys_and_of_none(spark):
     df = spark.createDataFrame([(i // 7, f"é{i % 7}") for i in range(140)], "a int, b string")
     starts = ranges.starts_of(df, ["a", "b"], 4)
