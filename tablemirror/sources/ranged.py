@@ -25,7 +25,7 @@ from tablemirror.errors import EmptyMessageError, NothingChangedError, PublishEr
 from tablemirror.functions.digest import content_digest, digest_sum, is_wide_type
 from tablemirror.operators.diff import ADDED, DELETED, DIGEST_SUFFIX, MODIFIED, UNCHANGED, change_summary, diff
 from tablemirror.operators.keys import any_null, checked_key_stats
-from tablemirror.operators.patch import apply_patch, patch_keys
+from tablemirror.operators.patch import apply_patch, check_patch, patch_keys
 from tablemirror.operators.ranges import START, start_id, starts_of, tree_over, unequal_leaves, with_start
 from tablemirror.operators.scope import check_prefixes, check_scope_column, scope_of, under
 from tablemirror.schemas import check_comparable, check_same_schema, key_list, require_columns
@@ -40,8 +40,9 @@ _NODE = T.StructType([
     T.StructField("level", T.IntegerType()), T.StructField("id", T.LongType()), T.StructField("parent", T.LongType()),
     T.StructField("n", T.LongType()), T.StructField("digest", T.StringType()),
 ])
-#: Folders of a version; the first two are gone once it is published.
-_PARTS = ("starts", "leaves", "snapshots", "manifests", "trees")
+#: Folders of a version; the first ones are gone once it is published.
+_PASSING = ("starts", "leaves", "patches")
+_PARTS = (*_PASSING, "snapshots", "manifests", "trees")
 
 
 def publish_ranged(
@@ -93,7 +94,7 @@ def publish_ranged(
     except Exception:
         _drop(spark, where.values())
         raise
-    _drop(spark, [where["starts"], where["leaves"]])
+    _drop(spark, [where[part] for part in _PASSING])
     if not any(counts.values()):
         _drop(spark, where.values())
         return parent
@@ -117,7 +118,8 @@ def publish_patch(
     """Apply ``patch`` (see ``make_patch``) to the ranged version ``parent`` and publish the outcome.
 
     Only the ranges that hold a key of the patch are read and written; all others are named again.
-    The patch is refused unless it was made for the rows that ``parent`` holds.
+    The patch is refused unless it was made for the rows that ``parent`` holds. It is computed once
+    and read from the store for each step, until the version is published.
     """
     spark = patch.sparkSession
     if not message:
@@ -129,14 +131,17 @@ def publish_patch(
     keys = before.keys
     if sorted(patch_keys(patch)) != sorted(keys):
         raise SchemaError(f"the patch must have the keys {', '.join(keys)}")
-    old_starts = before.manifest.filter(F.col(START).isNotNull()).select(f"{START}.*")
-    asked = with_start(patch.select(*keys), keys, old_starts)
-    touched = asked.select(start_id(keys).alias("id")).distinct()
-    part = before.only(touched)
-    result = apply_patch(part, patch, keys)
+    check_patch(before.shape, patch, keys)
     folder = f"{parent + 1}-{uuid.uuid4().hex}"
     where = {part: paths.join(store, part, folder) for part in _PARTS}
     try:
+        patch.write.parquet(where["patches"])
+        patch = spark.read.schema(patch.schema).parquet(where["patches"])
+        old_starts = before.manifest.filter(F.col(START).isNotNull()).select(f"{START}.*")
+        asked = with_start(patch.select(*keys), keys, old_starts)
+        touched = asked.select(start_id(keys).alias("id")).distinct()
+        part = before.only(touched)
+        result = apply_patch(part, patch, keys)
         kept = before.manifest.join(touched, "id", "left_anti")
         # new limits within the touched ranges, and all old ones: a limit stays though its row may go
         gone = before.manifest.join(touched, "id", "left_semi")
@@ -155,7 +160,7 @@ def publish_patch(
     except Exception:
         _drop(spark, where.values())
         raise
-    _drop(spark, [where["starts"], where["leaves"]])
+    _drop(spark, [where[part] for part in _PASSING])
     try:
         versions.append(spark, store, parent + 1, parent, message, author, counts, folder)
     except StaleParentError:

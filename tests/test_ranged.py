@@ -188,6 +188,23 @@ def test_patches_write_only_their_ranges(spark, store, parts):
         tm.publish_patch(patch, store, "m", "ann", 1)
 
 
+def test_a_patch_is_computed_once(spark, store):
+    old = tree(60)
+    new = {k: v for k, v in old.items() if v != "x"} | {"a/new": "1"}
+    put(snapshot(spark, old), store, 0)
+    patch = tm.make_patch(snapshot(spark, new), tm.read_latest(spark, store), "path")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(change):
+        seen.add(1)
+        return change
+
+    counted = patch.withColumn("change", F.udf(count, "string")("change"))
+    tm.publish_patch(counted, store, "m", "ann", 1, rows_per_range=ROWS)
+    assert seen.value == patch.count()
+    assert as_dict(tm.read_latest(spark, store)) == new
+
+
 def test_patches_that_empty_ranges_and_the_table(spark, store):
     one = tree(60)
     put(snapshot(spark, one), store, 0)
