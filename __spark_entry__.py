@@ -47,6 +47,8 @@ RULES = [
 MARK = " [reviewed]"
 #: Rows of a key range in the stores of the queries, which are small.
 RANGE_ROWS = 100
+#: Bytes of a file that scan_content splits into lines at a time.
+PIECE = 1 << 20
 
 
 # ---------------------------------------------------------------- inputs
@@ -399,7 +401,7 @@ def scan_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark) + "/tree"
     docs = _table(spark, sf_dir, "documents").select("source", "text")
     docs.write.partitionBy("source").text(root)
-    files = tm.scan_files(spark, root, content=True).filter(F.col("path").endswith(".txt"))
+    files = tm.scan_files(spark, root, content=True, piece=PIECE).filter(F.col("path").endswith(".txt"))
     lines = files.select(
         tm.scope_of().alias("scope"),
         F.explode(F.split(F.expr("decode(substring(content, 1, octet_length(content) - 1), 'utf-8')"), "\n")).alias("line"),

@@ -20,6 +20,8 @@ from tablemirror.workers import ship
 LIST, SKIP = "list", "skip"
 _ROWS = 8192  # rows of a batch of names
 _BYTES = 16 << 20  # bytes of a batch of contents
+_TASK_BYTES = 32 << 20  # bytes of contents that a task reads, on average
+_READ = 64 << 10  # bytes read at a time in search of the end of a line
 
 #: A folder of more names than this is listed by several tasks, up to ``_PARTS``.
 SPLIT = 50_000
@@ -35,12 +37,19 @@ _ARROW = pa.schema([
 
 
 def scan_files(
-    spark: SparkSession, root: str, content: bool = False, hidden: str = LIST, split: int = SPLIT
+    spark: SparkSession,
+    root: str,
+    content: bool = False,
+    hidden: str = LIST,
+    split: int = SPLIT,
+    piece: int | None = None,
 ) -> DataFrame:
     """One row per file below ``root``: ``path`` relative to it, ``modified``, ``length``.
 
     ``content=True`` adds the bytes; a file over 2 GB then fails, while listing
-    has no such limit. Compare trees with ``compare=["content"]``, since a new
+    has no such limit. With ``piece`` a file of more than so many bytes comes as several rows, each of
+    whole lines with the offset ``start`` of its first byte: a row holds the lines that begin within
+    ``piece`` bytes, so that tasks hold little of a large file and share its work. Compare trees with ``compare=["content"]``, since a new
     time stamp alone is no change. Names that begin with a dot or an underscore and empty
     files are rows like all others; empty folders are none. A missing root raises.
 
@@ -58,6 +67,8 @@ def scan_files(
     """
     if hidden not in (LIST, SKIP):
         raise ScanError(f"hidden must be {LIST!r} or {SKIP!r}, not {hidden!r}")
+    if piece is not None and (not content or hidden == SKIP or piece < 1):
+        raise ScanError("pieces of at least one byte need content=True and hidden='list'")
     if not paths.exists(spark, root):
         raise ScanError(f"no such folder: {root}")
     if hidden == SKIP:
@@ -84,11 +95,17 @@ def scan_files(
     files = reduce(DataFrame.union, found)
     if not content:
         return files
-    spread = files.repartition("path")
-    return spread.mapInArrow(
-        lambda batches: _contents(uri, batches),
-        "path string, modified timestamp, length bigint, content binary",
-    )
+    total = files.agg(F.sum("length")).first()[0] or 0
+    # a number of tasks by the bytes to read: by the rows, which are small, Spark would take one
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
+    own = "path string, modified timestamp, length bigint"
+    if piece is None:
+        spread = files.repartition(tasks, "path")
+        return spread.mapInArrow(lambda batches: _contents(uri, batches), f"{own}, content binary")
+    last = F.greatest(F.col("length") - 1, F.lit(0))
+    cut = files.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(piece).cast("long"))))
+    spread = cut.repartition(tasks, "path", "start")
+    return spread.mapInArrow(lambda batches: _pieces(uri, piece, batches), f"{own}, start bigint, content binary")
 
 
 def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -190,6 +207,57 @@ def _contents(uri: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                 held, size, start = [], 0, i + 1
 
 
+def _pieces(uri: str, piece: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the lines that begin within ``piece`` bytes from ``start``; none if no line does."""
+    files, base = arrow_fs.FileSystem.from_uri(uri)
+    base = base.rstrip("/")
+    for batch in batches:
+        held, size = [], 0
+        for i, (path, start) in enumerate(zip(batch["path"].to_pylist(), batch["start"].to_pylist())):
+            with files.open_input_file(f"{base}/{path}") as file:
+                at, lines = _lines(file, start, piece)
+            if lines or not start:
+                held.append((i, at, lines))
+                size += len(lines)
+            if held and (size >= _BYTES or i == batch.num_rows - 1):
+                yield _filled(batch, held)
+                held, size = [], 0
+        if held:
+            yield _filled(batch, held)
+
+
+def _filled(batch: pa.RecordBatch, held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    rows = batch.select(["path", "modified", "length"]).take(pa.array([i for i, _, _ in held], pa.int64()))
+    more = [pa.array([at for _, at, _ in held], pa.int64()), pa.array([lines for _, _, lines in held], pa.binary())]
+    return pa.RecordBatch.from_arrays([*rows.columns, *more], [*rows.schema.names, "start", "content"])
+
+
+def _lines(file: pa.NativeFile, start: int, piece: int) -> tuple[int, bytes]:
+    """The lines that begin at ``start`` or within ``piece`` bytes from there, and where the first does."""
+    begin = _after_line(file, start) if start else 0
+    if begin >= start + piece:
+        return begin, b""
+    end = _after_line(file, start + piece)
+    file.seek(begin)
+    return begin, file.read(end - begin)
+
+
+def _after_line(file: pa.NativeFile, at: int) -> int:
+    """The first place from ``at`` on where a line begins, or the end of the file."""
+    size = file.size()
+    at -= 1  # a line feed just before begins one at ``at``
+    while at < size:
+        file.seek(at)
+        some = file.read(_READ)
+        if not some:
+            break
+        found = some.find(b"\n")
+        if found >= 0:
+            return at + found + 1
+        at += len(some)
+    return size
+
+
 def _by_reader(spark: SparkSession, root: str, content: bool) -> DataFrame:
     base = paths.absolute(spark, root).rstrip("/") + "/"
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)

@@ -40,6 +40,39 @@ def test_content(spark, root):
     assert {r.path: bytes(r.content) for r in rows} == FILES
 
 
+@pytest.mark.parametrize("piece", [1, 3, 7, 10**6])
+def test_pieces_hold_every_line_once_and_whole(spark, root, monkeypatch, piece):
+    monkeypatch.setattr(files, "_READ", 2)
+    texts = {"a": b"one\ntwo\n\n\nthree and more\n", "b": b"\n", "c": b"no end", "d": b"", "e": b"\n\nx\nyy"}
+    write(root, {f"t/{name}": text for name, text in texts.items()})
+    found = tm.scan_files(spark, str(root), content=True, piece=piece).filter("path like 't/%'")
+    assert found.columns == ["path", "modified", "length", "start", "content"]
+    parts = {}
+    for r in sorted(found.collect(), key=lambda r: (r.path, r.start)):
+        parts.setdefault(r.path[2:], []).append((r.start, bytes(r.content)))
+        assert r.length == len(texts[r.path[2:]])
+    for name, text in texts.items():
+        assert b"".join(c for _, c in parts[name]) == text
+        assert all(text[at : at + len(c)] == c and (c or not text) for at, c in parts[name])
+        assert all(c.endswith(b"\n") for _, c in parts[name][:-1])
+        assert all(at == 0 or text[at - 1 : at] == b"\n" for at, _ in parts[name])
+
+
+def test_contents_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, root, monkeypatch):
+    monkeypatch.setattr(files, "_TASK_BYTES", 10)
+    write(root, {f"many/{i}": b"line\n" * 20 for i in range(20)})
+    for how in ({}, {"piece": 10}):
+        found = tm.scan_files(spark, str(root), content=True, **how)
+        assert found.rdd.getNumPartitions() > 100
+        assert found.filter("path like 'many/%'").agg(F.sum(F.octet_length("content"))).first()[0] == 2000
+
+
+def test_pieces_need_content(spark, root):
+    for how in ({"piece": 5}, {"piece": 5, "content": True, "hidden": "skip"}, {"piece": 0, "content": True}):
+        with pytest.raises(ScanError):
+            tm.scan_files(spark, str(root), **how)
+
+
 def test_names_that_spark_hides(spark, root):
     write(root, {".hidden": b"x", "logs/_tmp": b"x", "_folder/file": b"x"})
     everything = FILES.keys() | {".hidden", "logs/_tmp", "_folder/file"}
