@@ -13,7 +13,8 @@ words stay whose beginning (``BEGINNINGS`` letters), or which with their neighbo
 times as common in toxic documents as in ordinary ones, by more than chance: the log-likelihood
 ratio of its counts is one that not one of twenty samples would show for any of all the
 beginnings, or of all the pairs of words, that were tested. What the dictionary holds is then the
-trainer's choice: whole words, stems with their endings, parts of both.
+trainer's choice: whole words, stems with their endings, parts of both. Near copies of a document
+of the sample bear witness once: a few of one toxic text would else make all its words telling.
 
 Case marks where a word begins: all text is lower-cased, then the first ``MARKED`` letters of each word
 are written in capitals, so a beginning does not match the middle of another word.
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemirror.llm.common import LETTERS, arrow_map, ship
+from tablemirror.llm.jaccard import shingle_sets
 
 #: Words in a window.
 WINDOW = 8
@@ -49,6 +51,10 @@ MAX_FIT_WINDOWS = 1 << 15
 #: Beginnings and pairs of words that are kept at most, of either.
 MAX_TELLING = 4096
 RATIO, CHANCE = 3.0, 0.05
+#: Pairs of least hashes of which near copies share one: at a Jaccard similarity of 0.8, 0.5, 0.2 of
+#: their word 5-grams with a probability of 0.998, 0.82, 0.22.
+BANDS = 6
+_FACTORS = np.random.default_rng(4).integers(1, 1 << 63, 2 * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ORDINARY_BYTES, TOXIC_BYTES = 2048, 1 << 13
 #: Sizes of segments and of the strings they are found by, for the trainer.
 SEGMENT, PART = 48, 6
@@ -172,6 +178,33 @@ def _sample(docs: DataFrame, named: DataFrame, max_rows: int) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
 
 
+def _bands(text: str | None) -> list[int]:
+    """Hashes, one of each band, that near copies mostly share; none for a text without words."""
+    (shingles,) = shingle_sets([text])
+    if not len(shingles):
+        return []
+    least = np.array([(shingles * f).min() for f in _FACTORS])
+    mixed = least[::2] ^ (least[1::2] * _FACTORS[0] >> np.uint64(1))
+    return mixed.view(np.int64).tolist()
+
+
+def _apart(sample: DataFrame) -> DataFrame:
+    """``sample`` with one of each group of near copies of a kind: rows that share a band with a
+    smaller id of their kind are left out."""
+    types = dict(sample.dtypes)
+
+    def each(ids, toxic, texts):
+        return [ids, toxic, [_bands(t) for t in texts]]
+
+    marked = arrow_map(
+        sample.select("doc_id", "toxic", "text"), each, f"doc_id {types['doc_id']}, toxic int, bands array<long>"
+    )
+    banded = marked.select("doc_id", "toxic", F.posexplode("bands").alias("place", "band"))
+    first = banded.groupBy("toxic", "place", "band").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    copies = banded.join(first.filter("n > 1"), ["toxic", "place", "band"]).filter("doc_id > first")
+    return sample.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 def _beginnings(word: str) -> list[str]:
     return [word[:k] for k in BEGINNINGS if len(word) >= k]
 
@@ -228,7 +261,9 @@ def _left_over(words: list[str], telling: set[str]) -> list[str]:
 
 def _fit_windows(sample: DataFrame, each) -> list[bytes]:
     found = arrow_map(sample, each, "w binary").filter(F.length("w") > 2)
-    return sorted(bytes(r.w) for r in found.orderBy(F.xxhash64("w"), "w").limit(MAX_FIT_WINDOWS).collect())
+    # in the order of their hash: zstandard's trainer takes segments from one stretch of the windows after
+    # another and ends after some that give nothing new, so that in order of text it misses the last words
+    return [bytes(r.w) for r in found.orderBy(F.xxhash64("w"), "w").limit(MAX_FIT_WINDOWS).collect()]
 
 
 def _plain_windows(sample: DataFrame, toxic: int, telling: set[str]) -> list[bytes]:
@@ -268,8 +303,8 @@ def _trained(blocks: list[bytes], size: int) -> bytes:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Model | float:
     """A model for ``labels.toxic``; a bare share of toxic labels if only one kind is there.
 
-    Three quarters of the sample train the dictionaries, the rest the scale, so that the
-    scale is fitted on texts that the dictionaries have not seen. Where one of the two parts
+    Three quarters of the sample, without near copies, train the dictionaries, the rest the scale, so
+    that the scale is fitted on texts that the dictionaries have not seen. Where one of the two parts
     lacks a kind, the whole sample does both. The rows of the scale weigh as many labels as they
     stand for, so that its intercept does not depend on which kind ``max_rows`` has cut.
     """
@@ -277,6 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
     named = _named(labels)
     counts = {r[0]: r[1] for r in named.groupBy("toxic").count().collect()}
     sample = _sample(docs, named, max_rows).persist()
+    held = [sample]
     try:
         quarter = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 3
         cells = {(r[0], r[1]) for r in sample.select("toxic", quarter).distinct().collect()}
@@ -284,6 +320,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
             return float(sample.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0])
         whole = len(cells) < 4
         learn, scale = (sample, sample) if whole else (sample.filter(~quarter), sample.filter(quarter))
+        learn = _apart(learn).persist()
+        held.append(learn)
         telling = _telling(learn)
         left = _toxic_windows(learn, telling) if telling else _plain_windows(learn, 1, telling)
         common = _trained(_plain_windows(learn, 0, telling), ORDINARY_BYTES) or b"\0" * 8
@@ -298,7 +336,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Mod
             scale.select("text", "toxic"), each, "toxic int, f array<double>"
         ).collect()
     finally:
-        sample.unpersist()
+        for table in held:
+            table.unpersist()
     y = np.array([r.toxic for r in rows], float)
     x = np.array([r.f for r in rows])
     order = np.lexsort(np.column_stack([y, x]).T)

@@ -398,6 +398,45 @@ def test_toxicity_of_many_rare_words_and_of_phrases(spark, monkeypatch):
     assert right_on_held_out(spark, "phrase") > 0.9
 
 
+def test_toxicity_counts_near_copies_once(spark):
+    """Groups of near copies of toxic texts do not make their ordinary words telling."""
+    rng = np.random.default_rng(21)
+    common = ["".join(rng.choice(list("abcdefghijklm"), rng.integers(2, 6))) for _ in range(400)]
+    texts = []
+    for _ in range(30):
+        group = list(rng.choice(common, 60))
+        for copy in range(12):
+            words = list(group)
+            words[int(rng.integers(60))] = rng.choice(common)
+            words[int(rng.integers(60))] = rng.choice(["xyzzyish", "qwertied"])
+            texts.append((" ".join(words), 1))
+    texts += [(" ".join([*rng.choice(common, 40), "xyzzyish", "qwertied"]), 1) for _ in range(60)]
+    texts += [(" ".join(rng.choice(common, 60)), 0) for _ in range(400)]
+    sample = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, toxic int")
+    kept = toxicity._apart(sample)
+    n = {r[0]: r[1] for r in kept.groupBy("toxic").count().collect()}
+    assert 90 <= n[1] < 120 and n[0] == 400
+    told = toxicity._telling(kept)
+    assert {"xyzzyi", "qwerti"} <= told
+    assert all("xyzz" in t or "qwer" in t for t in told)
+    assert any("xyzz" not in t and "qwer" not in t for t in toxicity._telling(sample))
+    same = spark.createDataFrame([(i, t, 1) for i, t in enumerate([None, "", "1 ,", "a b", "A b", "a b"])], sample.schema)
+    assert sorted(r.doc_id for r in toxicity._apart(same).collect()) == [0, 1, 2, 3]
+
+
+def test_toxicity_dictionary_holds_words_of_every_initial(spark):
+    rng = np.random.default_rng(22)
+    first = ["awful", "banal", "clown", "dirty"]
+    last = [f"w{a}{b}zzle{a}" for a in "aeiou" for b in "klmnt"]
+    texts = [" ".join(rng.choice(first, 8)) for _ in range(3000)]
+    texts += [" ".join(rng.choice(last, 8)) for _ in range(200)]
+    sample = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, toxic int")
+    blocks = toxicity._toxic_windows(sample, {w[:5] for w in first + last})
+    assert len(blocks) == len(texts)
+    held = toxicity._trained(blocks, toxicity.TOXIC_BYTES)
+    assert all(w[:6].upper().encode() in held for w in first + last)
+
+
 def test_toxicity_keeps_a_model_where_no_segment_stands_out(spark):
     docs = awkward.documents(spark, [(i, f"words of text {i}") for i in range(12)])
     labels = spark.createDataFrame([(i, 1, int(i < 2)) for i in range(12)], LABELS)
