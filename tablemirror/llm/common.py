@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablemirror.workers import ship
@@ -141,18 +141,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     ``edges`` has two long columns ``a`` and ``b``; self-links are allowed. Large-star and
     small-star rounds: every round each vertex hands its neighbours its smallest one, until
-    no edge changes. Each round is one aggregate and one join over the edges, and is
-    checkpointed, so lineage stays short. Nothing is collected but one checksum a round.
+    no edge changes. Each round is three shuffles of the edges and is stored, so lineage stays
+    short and the next round reads few files, not one task's worth for each partition of the
+    last; the driver keeps a record of every task. Nothing is collected but one checksum a round.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    links = edges.filter("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct().checkpoint()
+    links = stored(
+        edges.filter("a <> b").select(
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+        ).distinct(),
+        "edges",
+    )
     before = None
     for _ in range(rounds):
-        links = _star(_star(links, large=True), large=False).checkpoint()
+        links = stored(_star(_star(links, large=True), large=False).distinct(), "edges")
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -163,13 +164,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Links (a > b) with each vertex's neighbours moved to its smallest neighbour."""
+    """Links (a > b), some of them repeated, with each vertex's neighbours moved to its smallest
+    neighbour."""
+    both = links.select("a", "b")
     if large:
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = links
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    joined = both.join(least, "a").withColumn("m", F.least("m", "a"))
+        ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = both.select(F.explode(ends).alias("e")).select("e.a", "e.b")
+    least = F.least(F.min("b").over(Window.partitionBy("a")), "a")
+    joined = both.withColumn("m", least)
     if large:
         moved = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -177,4 +179,4 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
             F.col("m").alias("b"),
         )
-    return moved.filter("a <> b").distinct()
+    return moved.filter("a <> b")

@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablemirror.llm.common import arrow_map, components, give_back, ship, stored
@@ -441,11 +441,9 @@ def _star_pairs(shared: DataFrame, centres: int, turn: int) -> DataFrame:
     rule = F.xxhash64("v", F.pmod("token", F.lit(centres)), F.lit(turn))
     me = F.struct("size", "component", rule.alias("rule"), "v", "n")
     sizes = shared.select("v", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
-    sized = shared.join(sizes, "component")
-    middle = sized.groupBy("token").agg(F.max(me).alias("m"))
-    met = sized.join(middle, "token").filter(
-        (F.col("component") != F.col("m.component")) & _may_link("n", "m.n")
-    )
+    # windows, not joins of a table with its own groups: fewer stages and tasks for the driver to hold
+    sized = shared.join(sizes, "component").withColumn("m", F.max(me).over(Window.partitionBy("token")))
+    met = sized.filter((F.col("component") != F.col("m.component")) & _may_link("n", "m.n"))
     return met.select(F.least("v", "m.v").alias("a"), F.greatest("v", "m.v").alias("b")).distinct()
 
 
@@ -473,11 +471,13 @@ def _bounded(pairs: DataFrame, maps: DataFrame) -> DataFrame:
 
 def _across(shared: DataFrame) -> DataFrame:
     """The rows of groups in which two components meet, with the size of the group."""
-    groups = shared.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
+    token = Window.partitionBy("token")
+    met = (
+        shared.withColumn("low", F.min("component").over(token))
+        .withColumn("high", F.max("component").over(token))
+        .withColumn("members", F.count("*").over(token))
     )
-    meeting = groups.filter("low <> high").select("token", "members")
-    return shared.join(meeting, "token")
+    return met.filter("low <> high").drop("low", "high")
 
 
 def _renamed(shared: DataFrame, joined: DataFrame) -> DataFrame:

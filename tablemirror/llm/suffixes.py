@@ -360,7 +360,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     still_hot = run_contexts.filter(F.col("different") > GROUP).withColumn("start", F.col("low"))
     windows = stored(finer(still_hot, 1, length), "windows")
     window_copies, _ = _grams(windows, "start")
-    return whole.union(near).union(run_copies).union(run_near).union(window_copies)
+    # stored, so that two searches and the texts are not one plan, whose tasks the driver holds at a time
+    return stored(whole.union(near).union(run_copies).union(run_near).union(window_copies), "spans")
 
 
 def _cut(content: bytes | None, runs: list | None, length: int) -> tuple[bytes, int, int]:

@@ -98,3 +98,26 @@ def test_components(spark, shape):
         groups.tie(a, b)
     used = {x for e in edges for x in e}
     assert got == {(x, groups.top(x)) for x in used if groups.top(x) != x}
+
+
+def test_rounds_of_components_run_few_tasks(spark):
+    """The driver keeps a record of every task; edges that fit one file are no reason for many."""
+    n, edges = 40, [(50, i) for i in range(60, 90)]
+    partitions, context = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    context.setJobGroup("components", "tasks of components")
+    try:
+        got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+        told = context.statusTracker()
+        stages = {s for j in told.getJobIdsForGroup("components") for s in told.getJobInfo(j).stageIds}
+        infos = [told.getStageInfo(s) for s in stages]
+        tasks = sum(i.numCompletedTasks for i in infos if i)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    assert {tuple(r) for r in got} == {(i, 50) for i in range(60, 90)}
+    assert tasks < 10 * n  # a shuffle of all edges, then two rounds of three
