@@ -122,7 +122,8 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.removal(_table(spark, sf_dir, "documents"), "doc_id")
+    """Removal of repeated 400-byte strings, and the words in repeated passages of over 50 words."""
+    return suffixes.removal(_table(spark, sf_dir, "documents"), "doc_id", words=suffixes.WORDS)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ corpus. Sorting every suffix of the corpus in one order is not needed for that:
    windows mostly share an anchor: about one anchor per 170 bytes is shuffled, as digests,
    no text.
 2. Contexts. The bytes of all windows of one anchor are its context. Equal contexts are
-   counted before anything else: where one occurs twice, all its windows repeat.
+   counted before anything else, within a slice of texts already: where one occurs twice, all
+   its windows repeat.
 3. Suffix arrays. Only grams with several different contexts are left. One copy of each such
    context goes to the task of its gram; contexts are strung together into blocks, whose
    suffix array is built by two-stage sorting: suffixes smaller than their successors are
@@ -21,6 +22,9 @@ corpus. Sorting every suffix of the corpus in one order is not needed for that:
    far more selective grams. A gram that is still hot is split into single windows, of which
    equal ones are counted.
 
+On request the same passes find repeated passages of so many words, which may have any number of
+bytes: ``passages`` makes their anchors and compares their contexts.
+
 A window belongs to one anchor, hence to one context, and has all its bytes there alone, so
 a common prefix of LENGTH bytes always means two different places.
 
@@ -33,18 +37,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablemirror.llm import passages
 from tablemirror.llm.common import WORD, arrow_map, give_back, ship, stored
 
 LENGTH = 400
-#: Words of a passage that ``without_passages`` removes too, at any number of bytes.
+#: Words of a passage that ``without_passages`` removes too and op8 counts, at any number of bytes.
 WORDS = 51
 GRAM = 64
 #: Different contexts that a gram may have in a suffix array; about 0.4 MB.
@@ -99,10 +105,35 @@ def _anchors_of(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[t
         at += len(piece)
 
 
-def anchors(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows ``gram, digest, key, low, high, at`` of ``texts``, which has ``key`` and ``bytes``.
-
-    Windows that start from ``low`` to ``high`` have their anchor at ``at``.
+def _folded(rows: list[np.ndarray], keys: np.ndarray) -> list[np.ndarray]:
+    """``words, gram, d1, d2, text, low, high, at, start, size`` and ``times``: the rows with one row for each
+    context, found so many times. Where the others lie is known to repeat: runs of their windows follow, each
+    a gram of its own, with 0 times. A text that goes on repeating itself has a context at every word."""
+    of_words, grams, d1, d2, text, low, high, _, _, _ = rows
+    order = np.lexsort((low, text, d2, d1, grams, of_words))
+    ids = np.stack([of_words[order], grams[order], d1[order], d2[order]])
+    head = np.flatnonzero(np.r_[True, (ids[:, 1:] != ids[:, :-1]).any(0)]) if len(order) else order
+    times = np.diff(np.r_[head, len(order)])
+    again = np.delete(order, head)
+    again = again[np.lexsort((low[again], text[again], of_words[again]))]
+    w, t, a, b = of_words[again], text[again], low[again], high[again]
+    new = np.r_[True, (w[1:] != w[:-1]) | (t[1:] != t[:-1]) | (a[1:] > b[:-1] + 1)][: len(again)]
+    begin = np.flatnonzero(new)
+    end = np.r_[begin[1:], len(again)][: len(begin)] - 1
+    w, t, a, b, none = w[begin], t[begin], a[begin], b[end], np.zeros(len(begin), np.int64)
+    own = (keys[t].astype(np.uint64) + a.astype(np.uint64) * np.uint64(_BASE) + t.astype(np.uint64) * _TABLE[0]).view(np.int64)
+    runs = [w, own, none, none, t, a, b, none, none, none]
+    kept = order[head]
+    return [np.concatenate([x[kept], y]) for x, y in zip(rows, runs, strict=True)] + [np.r_[times, none]]
+
+
+def anchors(texts: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """Rows ``words, gram, d1, d2, key, low, high, at, start, size, times`` of ``texts``, which has ``key``
+    and ``bytes``.
+
+    Windows that start from ``low`` to ``high`` have their anchor at ``at``; ``d1`` and ``d2`` are the
+    digest of their context, the ``size`` bytes from ``start`` on. With ``words``, windows of so many
+    words follow, where ``low``, ``high`` and ``at`` count words. ``times`` is as ``_folded`` says.
     """
 
     def each(keys, contents):
@@ -124,14 +155,22 @@ def anchors(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                 if held >= _PIECE:
                     flush()
         flush()
-        if not rows:
-            return [[], [], [], [], [], []]
-        docs, low, high, at, grams, digests = zip(*rows, strict=True)
-        return [grams, digests, [keys[i] for i in docs], low, high, at]
+        docs, low, high, at, grams, digests = zip(*rows, strict=True) if rows else [()] * 6
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        docs, low, high, at, grams = (np.array(x, np.int64) for x in (docs, low, high, at, grams))
+        found = [np.zeros(len(rows), np.int64), grams, halves[:, 0], halves[:, 1], docs, low, high, at, low, high - low + length]
+        if words:
+            docs, low, high, at, *gram, start, size = passages.anchors(contents, words)
+            more = [np.ones(len(docs), np.int64), *gram, docs, low, high, at, start, size]
+            found = [np.concatenate(x) for x in zip(found, more, strict=True)]
+        heads = np.array([int.from_bytes(k[:8], "big") for k in keys], np.uint64)
+        of_words, grams, d1, d2, docs, *rest = _folded(found, heads)
+        return [of_words.astype(bool), grams, d1, d2, [keys[i] for i in docs.tolist()], *rest]
 
     return arrow_map(
         texts.select("key", "bytes"), each,
-        "gram long, digest binary, key binary, low int, high int, at int",
+        "words boolean, gram long, d1 long, d2 long, key binary, low int, high int, at int, start int, size int, "
+        "times long",
     )
 
 
@@ -139,28 +178,29 @@ def finer(contexts: DataFrame, width: int, length: int = LENGTH) -> DataFrame:
     """Contexts ``key, at, start, low, high, context`` split by windows into runs of ``width``.
 
     ``context`` begins at ``start`` of its text; the windows from ``low`` to ``high`` are in
-    question. Rows are those of ``anchors`` with ``start`` added; the gram of a run is a hash of
-    the bytes that all its possible windows share. A window's run depends on its distance to
-    its anchor alone, so equal windows fall into equal runs.
+    question. Rows are those of ``anchors`` but for ``size``, none folded; ``start`` is that of the
+    given context. The gram of a run is a hash of the bytes that all its possible windows share. A
+    window's run depends on its distance to its anchor alone, so equal windows fall into equal runs.
     """
 
     def each(keys, ats, starts, lows, highs, contents):
-        out: list[list] = [[], [], [], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], [], []]
         for key, at, start, low, high, content in zip(keys, ats, starts, lows, highs, contents, strict=True):
             for run in range((at - high) // width, (at - low) // width + 1):
                 first, last = max(low, at - width * run - width + 1), min(high, at - width * run)
                 core = at - width * run - start  # where all windows of the run have begun
                 shared = content[core : core + length - width + 1]
                 gram = xxhash.xxh3_64_intdigest(shared, run) - (1 << 63)
-                digest = xxhash.xxh3_128_digest(content[first - start : last - start + length])
-                for column, value in zip(out, (gram, digest, key, first, last, at, start), strict=True):
+                d1, d2 = struct.unpack("=qq", xxhash.xxh3_128_digest(content[first - start : last - start + length]))
+                for column, value in zip(out, (gram, d1, d2, key, first, last, at, start), strict=True):
                     column.append(value)
         return out
 
-    return arrow_map(
+    rows = arrow_map(
         contexts.select("key", "at", "start", "low", "high", "context"), each,
-        "gram long, digest binary, key binary, low int, high int, at int, start int",
+        "gram long, d1 long, d2 long, key binary, low int, high int, at int, start int",
     )
+    return rows.withColumn("words", F.lit(False)).withColumn("times", F.lit(1))
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -264,22 +304,30 @@ def _runs(hit: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True)
 
 
-def mark(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``key, low, high``: runs of repeated windows of contexts that lie in order of their
+def mark(contexts: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``words, key, low, high``: runs of repeated windows of contexts that lie in order of their
     gram; the rows of a gram are never parted. Contexts found more than once (``n``) have been
     marked by that and only bear witness."""
     ship(contexts.sparkSession)
-    arrow = pa.schema([("key", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
+    arrow = pa.schema([("words", pa.bool_()), ("key", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
 
     def block(rows: list[dict]) -> pa.RecordBatch:
-        owned = [r["high"] - r["low"] + 1 for r in rows]
-        hits = repeated_starts([r["context"] for r in rows], owned, length)
-        marks = [
-            (r["key"], r["low"] + a, r["low"] + b)
-            for r, hit in zip(rows, hits, strict=True) if r["n"] == 1
-            for a, b in _runs(hit)
-        ]
-        columns = list(zip(*marks, strict=True)) if marks else [[]] * 3
+        marks = []
+        for kind in (False, True):
+            own = [r for r in rows if r["words"] == kind]
+            texts = [r["context"] for r in own]
+            if not own:
+                continue
+            if kind:
+                hits = passages.repeated_starts(texts, words)
+            else:
+                hits = repeated_starts(texts, [r["high"] - r["low"] + 1 for r in own], length)
+            marks += [
+                (kind, r["key"], r["low"] + a, r["low"] + b)
+                for r, hit in zip(own, hits, strict=True) if r["n"] == 1
+                for a, b in _runs(hit)
+            ]
+        columns = list(zip(*marks, strict=True)) if marks else [[]] * 4
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
         )
@@ -300,68 +348,76 @@ def mark(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
         held = []
         give_back()
 
-    return contexts.mapInArrow(blocks, "key binary, low int, high int")
+    return contexts.mapInArrow(blocks, "words boolean, key binary, low int, high int")
 
 
 # ---------------------------------------------------------------- operator
 
 
-_SPAN = ["key", "low", "high"]
+_SPAN = ["words", "key", "low", "high"]
+_CONTEXT = ["words", "gram", "d1", "d2"]
 
 
-def _grams(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+def _grams(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Spans of the rows whose context occurs twice, and one row for each context of the grams
-    that occur twice, with the counts ``n`` of the context and ``different`` of the gram."""
-    one = F.min(F.struct("key", "low", "high", "at", *more)).alias("one")
-    same = rows.groupBy("gram", "digest").agg(F.count("*").alias("n"), one)
-    per_gram = same.groupBy("gram").agg(F.count("*").alias("different"), F.sum("n").alias("total"))
-    known = stored(
-        same.join(per_gram.filter("total > 1"), "gram").select("gram", "digest", "n", "one.*", "different"),
-        "grams",
-    )
-    copied = rows.join(known.filter("n > 1").select("gram", "digest"), ["gram", "digest"], "left_semi")
-    return copied.select(*_SPAN).distinct(), known
-
+    that have several, with the counts ``n`` of the context and ``different`` of the gram.
 
-def _in_order(contexts: DataFrame) -> DataFrame:
-    """Contexts of grams few enough for one suffix array, each gram in one task."""
-    few = contexts.filter((F.col("different") > 1) & (F.col("different") <= GROUP))
-    return few.select("gram", "key", "low", "high", "n", "context").repartition("gram").sortWithinPartitions("gram")
+    One shuffle and one sort serve all counts.
+    """
+    same, gram = Window.partitionBy(*_CONTEXT), Window.partitionBy(*_CONTEXT[:2])
+    counted = (
+        rows.repartition("gram")
+        .withColumn("nth", F.row_number().over(same.orderBy("key", "low")))
+        .withColumn("n", F.sum("times").over(same))
+        .withColumn("different", F.sum(((F.col("nth") == 1) & (F.col("times") > 0)).cast("int")).over(gram))
+    )
+    repeated = stored(counted.filter("n > 1 or different > 1 or times = 0"), "grams")
+    spans = repeated.filter("n > 1 or times = 0").select(*_SPAN).distinct()
+    return spans, repeated.filter("nth = 1 and times > 0 and different > 1")
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``key, low, high``: runs of window starts that repeat. ``texts`` has one row per
-    document with ``key`` (a digest of the content) and ``bytes``."""
-    long_ones = texts.filter(F.length("bytes") >= length)
-    every = stored(anchors(long_ones, length), "anchors")
-    whole, known = _grams(every)
+def _hot() -> Column:
+    return F.col("different") > F.when(F.col("words"), passages.GROUP).otherwise(GROUP)
 
-    def part(low, high, start):
-        size = F.col(high) - F.col(low) + length
-        return F.substring("bytes", F.col(low) - F.col(start) + 1 if start else F.col(low) + 1, size)
 
+def _in_order(contexts: DataFrame) -> DataFrame:
+    """Contexts of grams few enough to be compared at once, each gram in one task."""
+    few = contexts.filter(~_hot()).select("words", "gram", "key", "low", "high", "n", "context")
+    return few.repartition("gram").sortWithinPartitions("gram")
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``words, key, low, high``: runs of window starts that repeat. ``texts`` has one row per
+    document with ``key`` (a digest of the content) and ``bytes``. With ``words``, runs of windows
+    of so many words too, counted in words, where the column ``words`` is true."""
+    least = min(length, 2 * words - 1) if words else length
+    long_ones = texts.filter(F.length("bytes") >= least)
+    whole, known = _grams(anchors(long_ones, length, words))
     one_text = long_ones.groupBy("key").agg(F.any_value("bytes").alias("bytes"))
     contexts = stored(
-        known.filter("different > 1").join(one_text, "key")
-        .select(*known.columns, part("low", "high", None).alias("context")),
+        known.join(one_text, "key")
+        .select(*known.columns, F.substring("bytes", F.col("start") + 1, F.col("size")).alias("context")),
         "contexts",
     )
-    near = mark(_in_order(contexts), length)
+    near = mark(_in_order(contexts), length, words)
 
     # hot grams: their contexts again, by runs of windows, then by single windows
-    hot = contexts.filter(F.col("different") > GROUP).withColumn("start", F.col("low"))
-    runs = stored(finer(hot, FINE, length), "runs")
-    run_copies, run_grams = _grams(runs, "start")
+    hot = contexts.filter(_hot() & ~F.col("words"))
+    run_copies, run_grams = _grams(finer(hot, FINE, length))
     sources = hot.select("key", "start", F.col("context").alias("bytes")).dropDuplicates(["key", "start"])
-    run_contexts = run_grams.filter("different > 1").join(sources, ["key", "start"]).select(
-        *run_grams.columns, part("low", "high", "start").alias("context")
+    size = F.col("high") - F.col("low") + length
+    run_contexts = run_grams.join(sources, ["key", "start"]).select(
+        *run_grams.columns, F.substring("bytes", F.col("low") - F.col("start") + 1, size).alias("context")
     )
     run_near = mark(_in_order(run_contexts), length)
-    still_hot = run_contexts.filter(F.col("different") > GROUP).withColumn("start", F.col("low"))
-    windows = stored(finer(still_hot, 1, length), "windows")
-    window_copies, _ = _grams(windows, "start")
+    still_hot = run_contexts.filter(_hot()).withColumn("start", F.col("low"))
+    window_copies, _ = _grams(finer(still_hot, 1, length))
+    spans = whole.union(near).union(run_copies).union(run_near).union(window_copies)
+    if words:
+        hot_words = contexts.filter(_hot() & F.col("words"))
+        spans = spans.union(passages.repeated_windows(hot_words, words).select(F.lit(True).alias("words"), *_SPAN[1:]))
     # stored, so that two searches and the texts are not one plan, whose tasks the driver holds at a time
-    return stored(whole.union(near).union(run_copies).union(run_near).union(window_copies), "spans")
+    return stored(spans, "spans")
 
 
 def _cut(content: bytes | None, runs: list | None, length: int) -> tuple[bytes, int, int]:
@@ -382,33 +438,50 @@ def _cut(content: bytes | None, runs: list | None, length: int) -> tuple[bytes,
     return b"".join(kept), n, removed
 
 
-def _with_runs(docs: DataFrame, text: str, length: int) -> DataFrame:
+def _with_runs(docs: DataFrame, text: str, length: int, words: int | None = None) -> DataFrame:
     content = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     keyed = docs.withColumn("bytes", content).withColumn("key", F.unhex(F.md5("bytes")))
-    spans = repeated_spans(keyed.select("key", "bytes"), length)
-    per_key = spans.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    spans = repeated_spans(keyed.select("key", "bytes"), length, words)
+    run = F.struct("low", "high")
+    per_key = spans.groupBy("key").agg(
+        F.collect_list(F.when(~F.col("words"), run)).alias("runs"),
+        F.collect_list(F.when(F.col("words"), run)).alias("word_runs"),
+    )
     return keyed.join(per_key, "key", "left")
 
 
-def removal(docs: DataFrame, *keep: str, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """Columns ``keep``, ``n_bytes, n_removed, n_spans, kept_sha256`` of every whole text."""
+def removal(
+    docs: DataFrame, *keep: str, text: str = "text", length: int = LENGTH, words: int | None = None
+) -> DataFrame:
+    """Columns ``keep``, ``n_bytes, n_removed, n_spans, kept_sha256`` of every whole text.
+
+    With ``words``, two further columns: ``n_passage_words``, the words covered by a run of so many
+    words that also starts anywhere else, and ``n_passages``, the maximal runs of these. They are
+    judged on the input too and remove nothing.
+    """
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
-    joined = _with_runs(own, "_text", length)
+    joined = _with_runs(own, "_text", length, words)
     names = [f"c{i}" for i in range(len(keep))]
     types = "".join(f"{c} {t}, " for c, t in own.dtypes[:-1])
 
     def each(*cols):
-        kept, n, removed = zip(*(_cut(b, r, length) for b, r in zip(cols[-2], cols[-1], strict=True)), strict=True)
-        return [
-            *cols[:-2], [len(b or b"") for b in cols[-2]], removed, n,
+        *kept_cols, contents, runs, word_runs = cols
+        kept, n, removed = zip(*(_cut(b, r, length) for b, r in zip(contents, runs, strict=True)), strict=True)
+        out = [
+            *kept_cols, [len(b or b"") for b in contents], removed, n,
             [hashlib.sha256(k).hexdigest() for k in kept],
         ]
+        if words:
+            _, n, covered = zip(*(_cut(None, r, words) for r in word_runs), strict=True)
+            out += [covered, n]
+        return out
 
+    further = ["n_passage_words", "n_passages"] if words else []
     out = arrow_map(
-        joined.select(*names, "bytes", "runs"), each,
-        types + "n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+        joined.select(*names, "bytes", "runs", "word_runs"), each,
+        types + ", ".join(["n_bytes long, n_removed long, n_spans long, kept_sha256 string", *(f"{c} long" for c in further)]),
     )
-    return out.toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", *further)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -473,7 +546,7 @@ def without_passages(
     """
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     at = docs.columns.index(text)
-    joined = _with_runs(own, f"c{at}", length)
+    joined = _with_runs(own, f"c{at}", length).drop("word_runs")
     keyed = own.select(F.coalesce(F.col(f"c{at}").cast("binary"), F.lit(b"")).alias("bytes"))
     encoded = _encoded(keyed.withColumn("key", F.unhex(F.md5("bytes"))), words)
     per_key = (

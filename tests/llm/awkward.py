@@ -107,6 +107,20 @@ def without_passages(texts: list, words: int = 51, length: int = 400) -> list[st
     return [bytes(b for b, g in zip(c, mark) if not g).decode("utf-8", "ignore") for c, mark in zip(contents, gone)]
 
 
+def passage_words(texts: list, words: int = 51) -> list[tuple[int, int]]:
+    """Words covered by runs of ``words`` words that start anywhere else too, and maximal runs of them."""
+    runs = [WORD.findall(t or "") for t in texts]
+    seen: dict[tuple, list] = {}
+    for d, run in enumerate(runs):
+        for k in range(len(run) - words + 1):
+            seen.setdefault(tuple(run[k : k + words]), []).append((d, k))
+    covered = [bytearray(len(run)) for run in runs]
+    for where in seen.values():
+        for d, k in where if len(where) > 1 else ():
+            covered[d][k : k + words] = b"\1" * words
+    return [(sum(c), len(re.findall(b"\1+", c))) for c in covered]
+
+
 def repeated_bytes(contents: list[bytes], length: int) -> list[bytes]:
     """A one for each byte that a repeated string of ``length`` bytes covers."""
     seen: dict[bytes, int] = {}

@@ -29,7 +29,12 @@ def test_dedup_query_against_every_window(spark):
         (r.doc_id, len(r.text.encode()), gone, runs, hashlib.sha256(kept).hexdigest())
         for r, (kept, gone, runs) in zip(docs, plain)
     ]
-    awkward.same_rows(queries.op8_suffix_dedup(spark, SF).collect(), want)
+    got = queries.op8_suffix_dedup(spark, SF)
+    assert got.columns[5:] == ["n_passage_words", "n_passages"]
+    awkward.same_rows(got.select(*got.columns[:5]).collect(), want)
+    passages = awkward.passage_words([r.text for r in docs])
+    awkward.same_rows(got.select("doc_id", *got.columns[5:]).collect(), [(r.doc_id, *p) for r, p in zip(docs, passages)])
+    assert any(n for n, _ in passages)
 
 
 def test_base_columns_of_personal_data(spark):
